@@ -123,7 +123,7 @@ def video_id(url: Column) -> Column:
                                                    _qs_decode(F.substring(x, F.instr(x, "=") + 1,
                                                                           F.lit(1 << 30))).alias("v"))),
                     lambda p: (p["k"] == "v") & (p["v"] != ""))
-    v = F.element_at(vals, 1)["v"]
+    v = F.try_element_at(vals, F.lit(1))["v"]
     shorts = F.regexp_extract(url, r"youtube\.com/shorts/([^?&/]+)", 1)
     return (F.when(url.contains("youtu.be/"), tail)
             .when(v.isNotNull(), v)

@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "curation.plans.q_pages",
+    "curation.plans.q_docs",
 ]
 
 
