@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "curation.plans.q_pages",
     "curation.plans.q_docs",
+    "curation.plans.q_events",
 ]
 
 
