@@ -8,6 +8,7 @@ MODULES = [
     "curation.plans.q_pages",
     "curation.plans.q_docs",
     "curation.plans.q_events",
+    "curation.plans.q_notes",
 ]
 
 
