@@ -9,6 +9,7 @@ MODULES = [
     "curation.plans.q_docs",
     "curation.plans.q_events",
     "curation.plans.q_notes",
+    "curation.plans.q_feeds",
 ]
 
 
