@@ -31,25 +31,32 @@ PROVIDE_YOUTUBE = "导出音频文件 OR 视频文件 OR 提供可访问字幕"
 
 
 def platform(url: Column, vocab: str = "collector", match: str = "substring") -> Column:
-    """E5: platform of a link by its lower-cased host.
+    """E5: platform of a link by its lower-cased host (first rule wins).
 
-    ``collector``: youtube / x / web.  ``wide`` adds wechat and xhs.
+    Vocabularies: ``collector`` youtube / x / web; ``inject`` (raw-text
+    intake) adds xhs and wechat; ``workflow`` adds weixin and xiaohongshu.
     ``match='substring'`` keeps the loose host test (``netflix.com`` counts
-    as x); ``match='domain'`` requires the host or a sub-domain.
+    as x); ``match='domain'`` requires the host or one of its sub-domains.
     """
     h = F.lower(netloc(url))
 
-    def has(s: str) -> Column:
-        if match == "domain" and "." in s:
-            return (h == s) | h.endswith("." + s)
-        return F.instr(h, s) > 0
-
-    rules = [(has("youtu"), "youtube"), (has("x.com") | has("twitter.com"), "x")]
-    if vocab == "wide":
-        rules = [(has("youtu"), "youtube"),
-                 (has("weixin") | has("wemp.app"), "wechat"),
-                 (has("xiaohongshu") | has("xhslink"), "xhs"),
-                 (has("x.com") | has("twitter.com"), "x")]
+    def has(*needles: str) -> Column:
+        cond = F.lit(False)
+        for s in needles:
+            if match == "domain" and "." in s:
+                cond = cond | (h == s) | h.endswith("." + s)
+            else:
+                cond = cond | (F.instr(h, s) > 0)
+        return cond
+
+    rules = {
+        "collector": [(has("youtu"), "youtube"), (has("x.com", "twitter.com"), "x")],
+        "inject": [(has("youtu"), "youtube"), (has("x.com", "twitter"), "x"),
+                   (has("xiaohongshu", "xhslink"), "xhs"), (has("weixin", "wemp"), "wechat")],
+        "workflow": [(has("youtu"), "youtube"), (has("x.com", "twitter.com"), "x"),
+                     (has("weixin", "wemp.app", "mp.weixin"), "weixin"),
+                     (has("xiaohongshu", "xhslink"), "xiaohongshu")],
+    }[vocab]
     expr = None
     for cond, name in rules:
         expr = F.when(cond, name) if expr is None else expr.when(cond, name)

@@ -10,6 +10,7 @@ MODULES = [
     "curation.plans.q_events",
     "curation.plans.q_notes",
     "curation.plans.q_feeds",
+    "curation.plans.q_records",
 ]
 
 
