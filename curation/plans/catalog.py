@@ -11,6 +11,7 @@ MODULES = [
     "curation.plans.q_notes",
     "curation.plans.q_feeds",
     "curation.plans.q_records",
+    "curation.plans.q_digest",
 ]
 
 

@@ -26,32 +26,47 @@ def page_sources(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_pages(pages, keep=["page_id"]).withColumnRenamed("page_id", "ordinal")
 
 
-_PAGES_SQL = f"""pages_src AS (
+def pages_sql(domains=PRIORITY_DOMAINS, where: str = "", prefix: str = "") -> str:
+    """CTEs ``{prefix}src``, ``{prefix}scored2`` and ``{prefix}best`` (deduped)."""
+    x = prefix
+    cond = f"WHERE {where}" if where else ""
+    return f"""{x}pages_src AS (
   SELECT page_id AS ordinal, url, {S.canonical_url('url')} AS canonical_url,
          {S.page_title_or_empty('html')} AS t0, {S.page_body('html')} AS body
-  FROM pages),
-src AS (
+  FROM pages {cond}),
+{x}src AS (
   SELECT ordinal, url, canonical_url, CASE WHEN t0 <> '' THEN t0 ELSE canonical_url END AS title, body,
          'web' AS source_type, 'fetch' AS method, 0 AS nerrors
-  FROM pages_src),
-scored AS (
-  SELECT *, {S.domain_priority('canonical_url', PRIORITY_DOMAINS)} AS priority,
+  FROM {x}pages_src),
+{x}scored AS (
+  SELECT *, {S.domain_priority('canonical_url', domains)} AS priority,
          {S.tokens('title', 'body')} AS approx_tokens
-  FROM src),
-scored2 AS (
-  SELECT *, {S.quality('priority', 'title', 'body', 'method', 'nerrors')} AS quality_score FROM scored),
-best AS (
+  FROM {x}src),
+{x}scored2 AS (
+  SELECT *, {S.quality('priority', 'title', 'body', 'method', 'nerrors')} AS quality_score FROM {x}scored),
+{x}best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY quality_score DESC, ordinal) AS rn0
-                 FROM scored2) WHERE rn0 = 1)"""
+                 FROM {x}scored2) WHERE rn0 = 1)"""
 
 
-def _selection_sql(budget: int = BUDGET, per_source: int = PER_SOURCE) -> str:
-    return f"""WITH RECURSIVE {_PAGES_SQL},
-ranked AS (SELECT *, row_number() OVER (ORDER BY quality_score DESC, priority DESC, canonical_url) AS rn FROM best),
-{S.budget_walk('ranked', budget, per_source)},
-sel AS (
+_PAGES_SQL = pages_sql()
+
+
+def selection_sql(budget: int = BUDGET, per_source: int = PER_SOURCE, domains=PRIORITY_DOMAINS, where: str = "",
+                  prefix: str = "", recursive: bool = True) -> str:
+    """CTEs ending in ``{prefix}sel``: every deduped page with the walk result."""
+    x = prefix
+    head = "WITH RECURSIVE " if recursive else ""
+    return f"""{head}{pages_sql(domains, where, x)},
+{x}ranked AS (SELECT *, row_number() OVER (ORDER BY quality_score DESC, priority DESC, canonical_url) AS rn FROM {x}best),
+{S.budget_walk(x + 'ranked', budget, per_source, name=x + 'walk')},
+{x}sel AS (
   SELECT r.*, w.take AS selected, CASE WHEN w.take THEN w.needed ELSE 0 END AS selected_tokens
-  FROM ranked r JOIN walk w ON r.rn = w.rn)"""
+  FROM {x}ranked r JOIN {x}walk w ON r.rn = w.rn)"""
+
+
+def _selection_sql(budget: int = BUDGET, per_source: int = PER_SOURCE) -> str:
+    return selection_sql(budget, per_source)
 
 
 @register("canonical_urls", oracle=f"SELECT page_id, url, {S.canonical_url('url')} AS canonical_url FROM pages")

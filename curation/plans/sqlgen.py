@@ -161,14 +161,14 @@ def quality(priority: str, title: str, body: str, method: str, nerrors: str) ->
             f" - (CASE WHEN {nerrors} > 0 THEN 20 ELSE 0 END))")
 
 
-def budget_walk(ranked: str, budget: int, per_source: int, keys: Sequence[str] = ()) -> str:
+def budget_walk(ranked: str, budget: int, per_source: int, keys: Sequence[str] = (), name: str = "walk") -> str:
     """Recursive CTE body: walk ``ranked`` (needs ``rn`` from 1 and
     ``approx_tokens``) and return ``(keys..., rn, take, needed)``."""
     k = list(keys)
     kj = "".join(f" AND r.{c} = w.{c}" for c in k)
     ksel_r = "".join(f"r.{c}, " for c in k)
     kseed = "".join(f"{c}, " for c in k)
-    return f"""walk AS (
+    return f"""{name} AS (
   SELECT {kseed}rn, least(approx_tokens, {per_source}) AS needed,
          least(approx_tokens, {per_source}) <= {budget} AS take,
          CASE WHEN least(approx_tokens, {per_source}) <= {budget} THEN {budget} - least(approx_tokens, {per_source}) ELSE {budget} END AS remaining
@@ -177,5 +177,5 @@ def budget_walk(ranked: str, budget: int, per_source: int, keys: Sequence[str] =
   SELECT {ksel_r}r.rn, least(r.approx_tokens, {per_source}),
          least(r.approx_tokens, {per_source}) <= w.remaining,
          CASE WHEN least(r.approx_tokens, {per_source}) <= w.remaining THEN w.remaining - least(r.approx_tokens, {per_source}) ELSE w.remaining END
-  FROM walk w JOIN {ranked} r ON r.rn = w.rn + 1{kj}
+  FROM {name} w JOIN {ranked} r ON r.rn = w.rn + 1{kj}
 )"""
