@@ -12,6 +12,7 @@ MODULES = [
     "curation.plans.q_feeds",
     "curation.plans.q_records",
     "curation.plans.q_digest",
+    "curation.plans.q_extract",
 ]
 
 
