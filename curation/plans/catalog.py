@@ -13,6 +13,7 @@ MODULES = [
     "curation.plans.q_records",
     "curation.plans.q_digest",
     "curation.plans.q_extract",
+    "curation.plans.q_stream",
 ]
 
 
