@@ -2,8 +2,7 @@
 
 Tag and whitespace handling are JVM regexes.  Entity decoding uses the full
 HTML5 table of Python's standard library inside one Arrow-batched
-``pandas_udf``; rows without "&" are sent as NULL so that only rows that can
-change cross into Python.
+``pandas_udf``, applied after tags are stripped so fewer bytes cross.
 """
 
 from __future__ import annotations
@@ -18,17 +17,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
-from curation.functions.text import SPACE, clean_lines, collapse_ws
+from curation.functions.text import SPACE, clean_lines, collapse_ws, let
+
+
+def _unescape_one(x):
+    if x is None or "&" not in x:
+        return x
+    return _html.unescape(x)
 
 
 @pandas_udf(StringType())
 def _unescape_batch(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else _html.unescape(x))
+    return s.map(_unescape_one)
 
 
 def unescape(c: Column) -> Column:
-    """``html.unescape`` (named, numeric and legacy entities)."""
-    return F.coalesce(_unescape_batch(F.when(F.instr(c, "&") > 0, c)), c)
+    """``html.unescape`` (named, numeric and legacy entities).
+
+    The input is referenced exactly once (it is usually a long regex chain
+    that must not be evaluated twice); rows without "&" return unchanged on
+    the Python side without calling the decoder."""
+    return _unescape_batch(c)
 
 
 def strip_tags(raw: Column) -> Column:
@@ -54,20 +63,46 @@ def _meta_patterns(name: str) -> list[str]:
     ]
 
 
+# Characters Python's case-insensitive matching folds onto ASCII letters
+# (long s, dotless i, Kelvin sign, dotted capital I), mapped before lower().
+_FOLD_FROM, _FOLD_TO = "\u017f\u0131\u212a\u0130", "sikI"
+
+
+def _folded(raw: Column) -> Column:
+    return F.lower(F.translate(raw, _FOLD_FROM, _FOLD_TO))
+
+
+def _group_of(pat: str):
+    # Group 1 taken from the (short) whole match instead of a second scan
+    # of the document; NULL when the pattern did not match.
+    return lambda m: F.when(m != "", F.regexp_extract(m, pat, 1))
+
+
+def first_match(raw: Column, patterns: Iterable[str]) -> Column:
+    """Group 1 of the first pattern that matches anywhere (NULL if none)."""
+    expr = None
+    for pat in patterns:
+        val = let(F.regexp_extract(raw, pat, 0), _group_of(pat))
+        expr = val if expr is None else F.coalesce(expr, val)
+    return expr
+
+
 def meta_raw(raw: Column, names: Iterable[str]) -> Column:
     """Raw content of the first matching meta tag; NULL when none matches.
 
     Names are tried in order, each with three attribute orders; the first
-    pattern that matches anywhere wins even if its content is empty.
+    pattern that matches anywhere wins even if its content is empty.  A
+    name's patterns only run when the case-folded document contains it.
     """
-    has_meta = F.instr(F.lower(raw), "<meta") > 0
-    expr = None
-    for name in names:
-        for pat in _meta_patterns(name):
-            hit = F.regexp_extract(raw, pat, 0) != ""
-            val = F.regexp_extract(raw, pat, 1)
-            expr = F.when(hit, val) if expr is None else expr.when(hit, val)
-    return F.when(has_meta, expr)
+    names = list(names)
+
+    def body(low: Column) -> Column:
+        expr = None
+        for name in names:
+            val = F.when(F.instr(low, name.lower()) > 0, first_match(raw, _meta_patterns(name)))
+            expr = val if expr is None else F.coalesce(expr, val)
+        return F.when(F.instr(low, "<meta") > 0, expr)
+    return let(_folded(raw), body)
 
 
 def meta_content(raw: Column, names: Iterable[str]) -> Column:
@@ -84,8 +119,7 @@ COLLECTOR_DESCRIPTION_NAMES = ["og:description", "description"]
 def title_tag(raw: Column) -> Column:
     """Text of the first ``<title>`` element, collapsed and decoded."""
     pat = r"(?isu)<title[^>]*>(.*?)</title>"
-    hit = F.regexp_extract(raw, pat, 0) != ""
-    return F.when(hit, unescape(collapse_ws(F.regexp_extract(raw, pat, 1)))).otherwise(F.lit(""))
+    return F.coalesce(unescape(collapse_ws(first_match(raw, [pat]))), F.lit(""))
 
 
 def page_title(raw: Column) -> Column:
@@ -96,14 +130,11 @@ def page_title(raw: Column) -> Column:
 
 def _meta_only(raw: Column, names: Iterable[str]) -> Column:
     """Collector meta lookup: one pattern order (property/name first)."""
-    expr = None
+    pats = []
     for name in names:
         attr = "property" if ":" in name else "name"
-        pat = rf"""(?isu)<meta[^>]+{attr}=["']{re.escape(name)}["'][^>]+content=["'](.*?)["']"""
-        hit = F.regexp_extract(raw, pat, 0) != ""
-        val = F.regexp_extract(raw, pat, 1)
-        expr = F.when(hit, val) if expr is None else expr.when(hit, val)
-    return F.coalesce(unescape(collapse_ws(expr)), F.lit(""))
+        pats.append(rf"""(?isu)<meta[^>]+{attr}=["']{re.escape(name)}["'][^>]+content=["'](.*?)["']""")
+    return F.coalesce(unescape(collapse_ws(first_match(raw, pats))), F.lit(""))
 
 
 def collector_meta(raw: Column) -> Column:

@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curation.functions.text import py_strip
+from curation.functions.text import let, py_strip
 from curation.functions.urls import netloc
 
 # Separators of outline sentences.
@@ -78,14 +78,6 @@ def quality_gate(title: Column, body: Column, min_chars: int = 300) -> Column:
 
 def outline(url: Column, body: Column) -> Column:
     """struct(core_claim, support_points, quote_zh, quote_en, tags)."""
-    text = py_strip(F.coalesce(body, F.lit("")))
-    lines = F.filter(F.transform(F.split(text, OUTLINE_SPLIT), lambda x: py_strip(x)), lambda x: x != "")
-    core = F.when(F.size(lines) > 0, F.try_element_at(lines, F.lit(1))).otherwise(F.substring(text, 1, 80))
-    rest = F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))
-    supports = F.transform(F.slice(F.filter(rest, lambda x: F.length(x) >= 12), 1, 3),
-                           lambda x: F.substring(x, 1, 140))
-    en = F.try_element_at(F.filter(lines, lambda x: x.rlike("[A-Za-z]{3,}")), F.lit(1))
-    zh = F.try_element_at(F.filter(lines, lambda x: x.rlike(CJK)), F.lit(1))
     host = F.lower(netloc(url))
     tags = None
     for needles, tg in PLATFORM_TAGS:
@@ -95,15 +87,27 @@ def outline(url: Column, body: Column) -> Column:
         arr = F.array(*[F.lit(t) for t in tg])
         tags = F.when(cond, arr) if tags is None else tags.when(cond, arr)
     tags = tags.otherwise(F.array().cast("array<string>"))
-    empty = text == ""
-    return F.when(empty, F.struct(F.lit("").alias("core_claim"),
-                                  F.array().cast("array<string>").alias("support_points"),
-                                  F.lit("").alias("quote_zh"), F.lit("").alias("quote_en"),
-                                  F.array().cast("array<string>").alias("tags"))).otherwise(
-        F.struct(F.substring(core, 1, 120).alias("core_claim"), supports.alias("support_points"),
-                 F.coalesce(F.substring(zh, 1, 80), F.lit("")).alias("quote_zh"),
-                 F.coalesce(F.substring(en, 1, 120), F.lit("")).alias("quote_en"),
-                 F.slice(tags, 1, 3).alias("tags")))
+    empty_arr = F.array().cast("array<string>")
+
+    def build(t: Column) -> Column:
+        # ``t`` is the stripped text; ``lines`` is computed once below.
+        def from_lines(lines: Column) -> Column:
+            core = F.when(F.size(lines) > 0, F.try_element_at(lines, F.lit(1))).otherwise(F.substring(t, 1, 80))
+            rest = F.slice(lines, 2, F.greatest(F.size(lines), F.lit(1)))
+            supports = F.transform(F.slice(F.filter(rest, lambda x: F.length(x) >= 12), 1, 3),
+                                   lambda x: F.substring(x, 1, 140))
+            en = F.try_element_at(F.filter(lines, lambda x: x.rlike("[A-Za-z]{3,}")), F.lit(1))
+            zh = F.try_element_at(F.filter(lines, lambda x: x.rlike(CJK)), F.lit(1))
+            return F.struct(F.substring(core, 1, 120).alias("core_claim"), supports.alias("support_points"),
+                            F.coalesce(F.substring(zh, 1, 80), F.lit("")).alias("quote_zh"),
+                            F.coalesce(F.substring(en, 1, 120), F.lit("")).alias("quote_en"),
+                            F.slice(tags, 1, 3).alias("tags"))
+        lines = F.filter(F.transform(F.split(t, OUTLINE_SPLIT), lambda x: py_strip(x)), lambda x: x != "")
+        blank = F.struct(F.lit("").alias("core_claim"), empty_arr.alias("support_points"),
+                         F.lit("").alias("quote_zh"), F.lit("").alias("quote_en"), empty_arr.alias("tags"))
+        return F.when(t == "", blank).otherwise(let(lines, from_lines))
+
+    return let(py_strip(F.coalesce(body, F.lit(""))), build)
 
 
 def fail_reason(errors: Column) -> Column:

@@ -50,9 +50,23 @@ INLINE_SPACE = _java_class(_minus(PY_SPACE_CODEPOINTS, PY_LINE_BREAK_CODEPOINTS)
 LINE_BREAK_SEQ = "\\r\\n|" + LINE_BREAK
 
 
+# The same set as a plain string of characters (for ``trim(str, chars)``).
+SPACE_CHARS = "".join(chr(c) for lo, hi in PY_SPACE_CODEPOINTS for c in range(lo, hi + 1))
+
+
 def py_strip(c: Column) -> Column:
-    """Python ``str.strip()`` (Unicode whitespace on both ends)."""
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """Python ``str.strip()`` (Unicode whitespace on both ends).
+
+    ``trim(str, chars)`` removes any of the given characters from both ends
+    in one pass over the ends only (no regex over the whole text)."""
+    return F.trim(c, F.lit(SPACE_CHARS))
+
+
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a lambda), e.g. when
+    an expensive array is used several times; lambda bodies are not covered
+    by common-subexpression elimination."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def collapse_ws(c: Column) -> Column:
@@ -61,15 +75,16 @@ def collapse_ws(c: Column) -> Column:
 
 
 def clean_lines(c: Column) -> Column:
-    """Per line: collapse whitespace and strip; drop blank lines; join by "\\n".
+    """Per line: collapse whitespace and strip; drop blank lines; join by "\n".
 
-    Equals ``"\\n".join(l for l in (re.sub(r"\\s+"," ",x).strip()
-    for x in s.splitlines()) if l)`` without materialising an array.
+    Equals ``"\n".join(l for l in (re.sub(r"\s+"," ",x).strip()
+    for x in s.splitlines()) if l)`` without materialising an array: a
+    whitespace run that holds a line break becomes one "\n", any other run
+    one space, then the ends are trimmed.
     """
-    t = F.regexp_replace(c, LINE_BREAK_SEQ, "\n")
+    t = F.regexp_replace(c, f"{INLINE_SPACE}*(?:{LINE_BREAK}{INLINE_SPACE}*)+", "\n")
     t = F.regexp_replace(t, f"{INLINE_SPACE}+", " ")
-    t = F.regexp_replace(t, " *\n[ \n]*", "\n")
-    return F.regexp_replace(t, "^[ \n]+|[ \n]+$", "")
+    return F.trim(t, F.lit(" \n"))
 
 
 def utf16_length(c: Column) -> Column:

@@ -16,6 +16,7 @@ from curation.functions.scoring import lifecycle_status, score_sources
 from curation.functions.urls import source_id
 from curation.operators.budget import BROADCAST_MAX_ROWS, select_for_budget
 from curation.operators.dedupe import dedupe_best
+from curation.session import materialize
 
 # Defaults of a digest run (token budget, per-source cap).
 DEFAULT_BUDGET = 4000
@@ -50,6 +51,16 @@ def run_selection(sources: DataFrame, domains: Sequence[str], budget: int = DEFA
             .withColumn("id", source_id(F.col("canonical_url"))))
 
 
+def run_digest(sources: DataFrame, domains: Sequence[str], warnings: DataFrame, budget: int = DEFAULT_BUDGET,
+               per_source: int = DEFAULT_PER_SOURCE, key: str = "ordinal"):
+    """Selection + digest lines of one run.  The narrow selection feeds five
+    digest sections, so it is materialised once (reliable checkpoint)."""
+    from curation.plans.digest import digest_lines
+    sel = materialize(run_selection(sources, domains, budget, per_source))
+    bodies = attach_bodies(sel, sources, budget, key).select("canonical_url", "body")
+    return sel, digest_lines(sel, bodies, warnings, budget)
+
+
 def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
                   key: str = "ordinal") -> DataFrame:
     """Bodies for the selected rows only: a semi-join by ``key`` with at most

@@ -13,7 +13,7 @@ from curation.operators.dedupe import dedupe_best as dedupe_op
 from curation.operators.topk import top_digest
 from curation.plans import digest as D
 from curation.plans import sqlgen as S
-from curation.plans.harvest import attach_bodies, run_selection
+from curation.plans.harvest import run_digest, run_selection
 from curation.plans.q_docs import _REC_SQL, _excerpt_sql, doc_sources
 from curation.plans.q_feeds import _DOCS_SQL as FEED_SQL
 from curation.plans.q_feeds import feed_documents
@@ -170,11 +170,9 @@ def state_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _digest(spark: SparkSession, sf: str) -> DataFrame:
-    src = page_sources(spark, sf)
-    sel = run_selection(src, PRIORITY_DOMAINS, BUDGET, PER_SOURCE)
-    bodies = attach_bodies(sel, src, BUDGET).select("canonical_url", "body")
     warnings = spark.createDataFrame([], "idx int, warning string")
-    return D.digest_lines(sel, bodies, warnings, BUDGET)
+    _sel, lines = run_digest(page_sources(spark, sf), PRIORITY_DOMAINS, warnings, BUDGET, PER_SOURCE)
+    return lines
 
 
 def _digest_sql() -> str:

@@ -51,9 +51,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back
+    (reliable ``checkpoint``: cuts lineage, survives executor loss); used
+    where several outputs read the same narrow intermediate."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def spread(df):
+    """Spread a scan over the cluster when it has fewer splits than cores.
+
+    Text jobs are CPU-bound per row; a table stored as one row group is one
+    task.  Large inputs already have more splits than cores and are left
+    alone (no extra shuffle); only an under-split scan is repartitioned
+    round-robin (deterministic on retry, order carried by id columns)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
