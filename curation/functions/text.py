@@ -75,7 +75,7 @@ def collapse_ws(c: Column) -> Column:
 
 
 def clean_lines(c: Column) -> Column:
-    """Per line: collapse whitespace and strip; drop blank lines; join by "\n".
+    r"""Per line: collapse whitespace and strip; drop blank lines; join by "\n".
 
     Equals ``"\n".join(l for l in (re.sub(r"\s+"," ",x).strip()
     for x in s.splitlines()) if l)`` without materialising an array: a

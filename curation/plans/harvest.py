@@ -22,7 +22,7 @@ from curation.session import materialize
 DEFAULT_BUDGET = 4000
 DEFAULT_PER_SOURCE = 900
 
-NARROW = ["ordinal", "canonical_url", "title", "source_type", "method", "errors", "priority",
+NARROW = ["ordinal", "canonical_url", "title", "source_type", "method", "errors", "metadata", "priority",
           "quality_score", "approx_tokens"]
 
 
@@ -69,5 +69,54 @@ def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
     picked = selection.filter("selected").select(key)
     if budget <= BROADCAST_MAX_ROWS:
         picked = F.broadcast(picked)
-    bodies = sources.join(picked, key, "left_semi").select(key, "body", "metadata")
+    bodies = sources.join(picked, key, "left_semi").select(key, "body")
     return selection.filter("selected").join(bodies, key, "left")
+
+
+def collect_sources(links: DataFrame, landed: DataFrame, manual: DataFrame | None = None,
+                    feed_sources: DataFrame | None = None, star_sources: DataFrame | None = None) -> DataFrame:
+    """U1 for one run: links (in order) -> social posts (S9, manual text)
+    or landed pages (S8; a link without a landed page is ``fetch_failed``
+    unless manual text exists), then starred repos, then feed items.
+
+    ``links(pos, url)``; ``landed(url, html)`` keyed by fetched URL;
+    ``manual(url, text)``; ``feed_sources`` / ``star_sources`` in the
+    sources schema with ``pos``.  Returns sources with ``ordinal``.
+    """
+    from curation.functions.text import py_strip
+    from curation.functions.urls import canonical_url, is_x_url
+    from curation.operators.records import attach_manual_text, short_post_sources
+    from curation.sources.pages import ingest_pages
+
+    spark = links.sparkSession
+    manual = manual if manual is not None else spark.createDataFrame([], "url string, text string")
+    lk = attach_manual_text(links, manual).withColumn("canonical_url", canonical_url(F.col("url")))
+    social = short_post_sources(lk.filter(is_x_url(F.col("canonical_url"))).drop("canonical_url")
+                                .withColumnRenamed("pos", "_pos"))
+    social = social.join(lk.select(F.col("url").alias("_u"), "pos"), F.col("url") == F.col("_u")).drop("_u")
+    web = lk.filter(~is_x_url(F.col("canonical_url")))
+    pages = ingest_pages(landed.withColumn("_can", canonical_url(F.col("url"))), keep=["_can"]) \
+        .drop("url", "canonical_url")
+    web = web.join(pages, web["canonical_url"] == pages["_can"], "left").drop("_can")
+    failed = F.col("body").isNull()
+    has_manual = F.col("manual_text") != ""
+    web = web.select(
+        "pos", "url", "canonical_url",
+        F.when(failed, F.col("canonical_url")).otherwise(F.col("title")).alias("title"),
+        F.when(failed & has_manual, py_strip(F.col("manual_text"))).otherwise(F.coalesce("body", F.lit("")))
+        .alias("body"),
+        F.lit("web").alias("source_type"),
+        F.when(failed & has_manual, "manual_text").when(failed, "fetch_failed").otherwise(F.col("method"))
+        .alias("method"),
+        F.when(failed, F.array(F.lit("fetch_failed: page not landed"))).otherwise(F.col("errors")).alias("errors"),
+        F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"))
+    out = web.unionByName(social, allowMissingColumns=True).withColumn("ordinal", F.col("pos").cast("long"))
+    family = 1
+    for extra in (star_sources, feed_sources):
+        if extra is not None:
+            family += 1
+            e = extra.withColumn("ordinal", F.lit(family * 1_000_000_000) + F.col("pos").cast("long"))
+            out = out.unionByName(e, allowMissingColumns=True)
+    if "priority" not in out.columns:
+        out = out.withColumn("priority", F.lit(0))
+    return out.withColumn("priority", F.coalesce("priority", F.lit(0)))
