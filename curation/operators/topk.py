@@ -67,8 +67,9 @@ def limit_per_feed(items: DataFrame, limits: DataFrame, max_limit: int = 1000) -
     of every feed limit) lets the group limit fire before the shuffle.
     """
     valid = items.filter(F.col("url").isNotNull() & (F.col("url") != ""))
-    lim = F.broadcast(limits.filter(F.col("limit") > 0))
-    valid = valid.join(lim, "feed_id", "inner")
+    # The feed table is configuration, not data with a proven bound: AQE
+    # broadcasts it at run time when its measured size is small.
+    valid = valid.join(limits.filter(F.col("limit") > 0), "feed_id", "inner")
     w = Window.partitionBy("feed_id").orderBy("pos")
     return (valid.withColumn("_r", F.row_number().over(w))
             .filter((F.col("_r") <= F.lit(max_limit)) & (F.col("_r") <= F.col("limit"))).drop("_r"))

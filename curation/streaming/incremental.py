@@ -13,14 +13,16 @@ aggregation (``max_by`` per job) kept in Spark's state store; each update
 is written per batch and the latest row per job is the state.
 
 All folders live under the session's ``spark.checkpoint.dir`` (a shared
-folder on a cluster).
+folder on a cluster).  Landed posts are partitioned by day so a run reads
+only the days inside its lookback; the seen log is filtered by age.  A
+long-running deployment compacts both by rewriting them to a new path.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curation.operators.feeds import (KEEP_PER_ACCOUNT, POST_LOOKBACK_HOURS, SEEN_RETENTION_DAYS,
@@ -49,12 +51,16 @@ def replay_files(df: DataFrame, root: str, day_col: str = "ts") -> list[str]:
 
 def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str, seen_log: str,
               sink: str, fetch_per_account: int, keep: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{landing}/batch_id={batch_id}")
+    (batch.withColumn("day", F.to_date("created_at")).write.mode("overwrite").partitionBy("day")
+     .parquet(f"{landing}/batch_id={batch_id}"))
     as_of_row = batch.agg(F.max("created_at").alias("t")).collect()[0]
     if as_of_row["t"] is None:
         return
     as_of = F.lit(as_of_row["t"]).cast("timestamp")
-    landed = spark.read.parquet(landing).filter(F.col("batch_id") <= batch_id).drop("batch_id")
+    first_day = F.to_date(as_of - F.expr(f"INTERVAL {POST_LOOKBACK_HOURS} HOURS"))
+    # Day partitions outside the lookback are pruned before any file is read.
+    landed = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= first_day))
+              .drop("batch_id", "day"))
     posts = exclude_types(lookback(landed, "created_at", as_of, POST_LOOKBACK_HOURS))
     try:
         seen = (spark.read.parquet(seen_log).filter(F.col("batch_id") < batch_id)
@@ -97,14 +103,12 @@ def run_job_state_stream(spark: SparkSession, source_dir: str, schema: str, root
     agg = job_states(stream)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .parquet(f"{sink}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
     q = (agg.writeStream.outputMode("update").foreachBatch(handle)
          .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     updates = spark.read.parquet(sink)
-    from pyspark.sql import Window
     w = Window.partitionBy("job_id").orderBy(F.col("batch_id").desc())
     return updates.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r", "batch_id")
 

@@ -51,3 +51,16 @@ def test_driver_contract(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert {"canonical_url", "quality_score", "selected_tokens"} <= set(df.columns)
+
+
+def test_first_delivery_drops_repeats_within_retention(spark):
+    from curation.streaming.incremental import first_delivery
+    root = scratch_root(spark, "test-seen")
+    base = dt.datetime(2024, 1, 1)
+    rows = [("a", base), ("a", base + dt.timedelta(days=1)), ("b", base + dt.timedelta(days=2))]
+    spark.createDataFrame(rows, "id string, ts timestamp").write.parquet(f"{root}/src")
+    stream = spark.readStream.schema("id string, ts timestamp").parquet(f"{root}/src")
+    q = (first_delivery(stream, "id", "ts").writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b"]
