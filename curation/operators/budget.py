@@ -78,6 +78,8 @@ def select_for_budget(df: DataFrame, budget: int = 4000, per_source: int = 900,
 
     ``df`` needs ``canonical_url`` (unique per key), ``quality_score``,
     ``priority`` and ``approx_tokens``; ``keys`` give one budget per key.
+    ``df`` is read twice (candidates, join back): pass a narrow,
+    materialised table when it is expensive to compute.
     """
     keys = list(keys)
     cand = budget_candidates(df, budget, per_source, keys)

@@ -43,7 +43,9 @@ def run_selection(sources: DataFrame, domains: Sequence[str], budget: int = DEFA
                   per_source: int = DEFAULT_PER_SOURCE, extra: Sequence[str] = ()) -> DataFrame:
     """Every deduped source with ``selected``, ``selected_tokens``, ``status``
     and the 16-hex state ``id``."""
-    best = best_sources(sources, domains, extra)
+    # The deduped narrow table is read twice (candidates and the join back);
+    # writing it once keeps the page extraction to a single pass.
+    best = materialize(best_sources(sources, domains, extra))
     sel = select_for_budget(best, budget, per_source)
     body_flag = F.when(F.col("has_body"), F.lit("x")).otherwise(F.lit(""))
     return (sel.withColumn("status", lifecycle_status(F.col("method"), F.col("errors"), body_flag,

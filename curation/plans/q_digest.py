@@ -19,7 +19,7 @@ from curation.plans.q_feeds import _DOCS_SQL as FEED_SQL
 from curation.plans.q_feeds import feed_documents
 from curation.plans.q_pages import BUDGET, PER_SOURCE, PRIORITY_DOMAINS, page_sources, pages_sql, selection_sql
 from curation.plans.registry import register
-from curation.session import read_table
+from curation.session import materialize, read_table
 from curation.sources import feeds as FE
 
 RUN_ID = "run-1"
@@ -131,8 +131,11 @@ FROM ranked r JOIN walk w ON r.source = w.source AND r.rn = w.rn""")
 def lifecycle(spark: SparkSession, sf: str) -> DataFrame:
     """Inbox / selected / extracted per source after a per-source run."""
     s = score_sources(lifecycle_sources(spark, sf), [])
+    s = materialize(s.select("source", "canonical_url", "method", "errors", (F.col("body") != "").alias("has_body"),
+                             "quality_score", "priority", "approx_tokens"))
     sel = select_for_budget(s, 4000, 900, keys=["source"])
-    st = lifecycle_status(F.col("method"), F.col("errors"), F.col("body"), F.col("selected"))
+    st = lifecycle_status(F.col("method"), F.col("errors"),
+                          F.when(F.col("has_body"), F.lit("x")).otherwise(F.lit("")), F.col("selected"))
     return sel.select("canonical_url", "method", "quality_score", "selected_tokens", st.alias("status"))
 
 

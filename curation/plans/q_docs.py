@@ -15,7 +15,7 @@ from curation.operators.chunk import chunk_documents
 from curation.operators.topk import DEEP_DIVE_KEYWORDS, top_digest
 from curation.plans import sqlgen as S
 from curation.plans.registry import register
-from curation.session import read_table
+from curation.session import materialize, read_table
 from curation.sources.pages import empty_errors, empty_meta
 
 # Keywords that make a note a promote candidate.
@@ -247,5 +247,6 @@ FROM ranked r JOIN walk w ON r.source = w.source AND r.rn = w.rn""")
 def budget_by_source(spark: SparkSession, sf: str) -> DataFrame:
     """W1 per key: one 4000-token budget per document source."""
     s = score_sources(doc_sources(spark, sf), [])
+    s = materialize(s.select("source", "canonical_url", "quality_score", "priority", "approx_tokens"))
     sel = select_for_budget(s, 4000, 900, keys=["source"])
     return sel.select("source", "canonical_url", "quality_score", "approx_tokens", "selected_tokens", "selected")
