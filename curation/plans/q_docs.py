@@ -250,3 +250,17 @@ def budget_by_source(spark: SparkSession, sf: str) -> DataFrame:
     s = materialize(s.select("source", "canonical_url", "quality_score", "priority", "approx_tokens"))
     sel = select_for_budget(s, 4000, 900, keys=["source"])
     return sel.select("source", "canonical_url", "quality_score", "approx_tokens", "selected_tokens", "selected")
+
+
+@register("handoff_need_materials", oracle=f"""WITH {_REC_SQL}
+SELECT doc_id, url AS source_url, '标题「' || title || '」' AS got,
+  CASE WHEN length({S.strip('body')}) = 0 THEN '正文内容' ELSE '正文不足300字（当前' || length({S.strip('body')}) || '）' END AS missing,
+  CASE WHEN {_host_sql('lang')} LIKE '%youtu%' THEN '导出音频文件 OR 视频文件 OR 提供可访问字幕' ELSE '复制正文 OR 截图' END AS provide,
+  'content_empty' AS fail_reason, []::VARCHAR[] AS errors
+FROM rec WHERE length({S.strip('body')}) < 300""")
+def handoff_need_materials(spark: SparkSession, sf: str) -> DataFrame:
+    """K4: need-material rows mapped to the hand-off schema with defaults."""
+    from curation.operators.records import handoff_need_materials as op
+    nm = need_materials(spark, sf)
+    return op(nm).join(nm.select("doc_id", "source"), F.col("source_url") == F.col("source")) \
+        .select("doc_id", "source_url", "got", "missing", "provide", "fail_reason", "errors")

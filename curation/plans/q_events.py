@@ -298,3 +298,26 @@ def job_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
                     .when(F.col("event_type") == "purchase", "done")
                     .otherwise("failed").alias("status"))
     return job_states(log)
+
+
+@register("fleet_advice", oracle=f"""WITH {_LOG_SQL}
+SELECT bool_or(verdict = 'PASS') AS any_pass, bool_or(verdict = 'BLOCKED') AS any_blocked FROM v""")
+def fleet_advice(spark: SparkSession, sf: str) -> DataFrame:
+    """A10 fleet summary: is any exit usable, is any exit blocked."""
+    from curation.streaming.jobs import fleet_advice as op
+    return op(fetch_log(_events(spark, sf)))
+
+
+# Planned article filter (documented): minimum read count and maximum age.
+MIN_READ_COUNT = 100
+MAX_AGE_DAYS = 7
+
+
+@register("article_filters", oracle=f"""SELECT event_id, user_id, ts, CAST(trunc(value * 10) AS BIGINT) AS read_count FROM events
+WHERE CAST(trunc(value * 10) AS BIGINT) >= {MIN_READ_COUNT} AND ts >= {AS_OF_SQL} - INTERVAL {MAX_AGE_DAYS} DAY""")
+def article_filters(spark: SparkSession, sf: str) -> DataFrame:
+    """articles (events, read count = value x 10) with at least 100
+    reads and at most 7 days old at the run clock (pushed to the scan)."""
+    ev = _events(spark, sf).select("event_id", "user_id", "ts", (F.col("value") * 10).cast("long").alias("read_count"))
+    return ev.filter((F.col("read_count") >= MIN_READ_COUNT)
+                     & (F.col("ts") >= _as_of() - F.expr(f"INTERVAL {MAX_AGE_DAYS} DAYS")))
