@@ -190,8 +190,6 @@ def length_route(n_chars: Column, full_below: int = 3000, light_above: int = 100
 
 
 def keyword_any(text: Column, words: Sequence[str]) -> Column:
-    low = F.lower(text)
-    cond = F.lit(False)
-    for w in words:
-        cond = cond | (F.instr(low, w.lower()) > 0)
-    return cond
+    """True when the lower-cased text contains any of the words."""
+    from curation.functions.scoring import any_keyword
+    return any_keyword(text, words)

@@ -7,7 +7,7 @@ from typing import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curation.functions.text import approx_tokens
+from curation.functions.text import approx_tokens, let
 from curation.functions.urls import domain
 
 # Methods that count as a real extraction for the score.
@@ -71,9 +71,11 @@ def lifecycle_status(method: Column, errors: Column, body: Column, selected: Col
 
 
 def any_keyword(text: Column, words: Sequence[str]) -> Column:
-    """True when the lower-cased text contains any of the words."""
-    low = F.lower(text)
-    cond = F.lit(False)
-    for w in words:
-        cond = cond | (F.instr(low, w) > 0)
-    return cond
+    """True when the lower-cased text contains any of the words (the text is
+    lower-cased once, also inside filters, which get no CSE)."""
+    def hit(low: Column) -> Column:
+        cond = F.lit(False)
+        for w in words:
+            cond = cond | (F.instr(low, w.lower()) > 0)
+        return cond
+    return let(F.lower(text), hit)

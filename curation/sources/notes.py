@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curation.functions.scoring import any_keyword
-from curation.functions.text import LINE_BREAK_SEQ, SPACE, py_strip
+from curation.functions.text import LINE_BREAK_SEQ, SPACE, let, py_strip
 
 # Front-matter fields every source note must carry.
 REQUIRED_SOURCE_FIELDS = ["title", "source_url", "source_type", "captured_at", "status"]
@@ -65,7 +65,9 @@ def ingest_notes(notes: DataFrame) -> DataFrame:
 def missing_fields(notes: DataFrame, required: Sequence[str] = REQUIRED_SOURCE_FIELDS) -> DataFrame:
     """Source notes with required fields absent or empty."""
     req = F.array(*[F.lit(f) for f in required])
-    miss = F.filter(req, lambda f: F.coalesce(F.col("fm")[f], F.lit("")) == "")
+    # The map is bound once; a plain reference inside the lambda would be
+    # re-evaluated for every required field.
+    miss = let(F.col("fm"), lambda m: F.filter(req, lambda f: F.coalesce(m[f], F.lit("")) == ""))
     return (notes.filter("is_source").select("path", miss.alias("missing"))
             .filter(F.size("missing") > 0))
 
