@@ -67,14 +67,16 @@ def _walk_factory(budget: int, keys: list[str]):
             if n <= remaining:
                 take[i] = True
                 remaining -= n
-        out = pdf.loc[take, keys + ["canonical_url", "needed"]]
-        return out.rename(columns={"needed": "selected_tokens"})
+        out = pdf.loc[take, keys + ["canonical_url", "needed"]].rename(columns={"needed": "selected_tokens"})
+        out["pick_rank"] = np.arange(1, len(out) + 1, dtype=np.int32)  # order among the picks
+        return out
     return walk
 
 
 def select_for_budget(df: DataFrame, budget: int = 4000, per_source: int = 900,
                       keys: Sequence[str] = ()) -> DataFrame:
-    """Mark every source ``selected`` or not and set ``selected_tokens``.
+    """Mark every source ``selected`` or not and set ``selected_tokens`` and
+    ``pick_rank`` (1-based rank among the picks of its key, else NULL).
 
     ``df`` needs ``canonical_url`` (unique per key), ``quality_score``,
     ``priority`` and ``approx_tokens``; ``keys`` give one budget per key.
@@ -87,7 +89,7 @@ def select_for_budget(df: DataFrame, budget: int = 4000, per_source: int = 900,
     if not keys:
         cand = cand.withColumn("_g", F.lit(0))
     schema = ", ".join([f"{k} {dict(df.dtypes)[k]}" for k in keys] + ["canonical_url string",
-                                                                        "selected_tokens int"])
+                                                                        "selected_tokens int", "pick_rank int"])
     picks = cand.groupBy(*group).applyInPandas(_walk_factory(budget, keys), schema)
     if not keys and budget <= BROADCAST_MAX_ROWS:
         picks = F.broadcast(picks)

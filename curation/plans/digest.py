@@ -111,10 +111,8 @@ def digest_lines(sel: DataFrame, bodies: DataFrame, warnings: DataFrame, budget:
 
     one = spark.range(1)
     phead = one.select(*_lines(2, 0, [F.lit("## Priority Sources")]))
-    picked = sel.filter("selected").join(bodies, "canonical_url", "left")
-    # Rank among the selected only: at most ``budget`` rows.
-    w = Window.orderBy(F.col("quality_score").desc(), F.col("priority").desc(), F.col("canonical_url"))
-    picked = picked.withColumn("_rank", F.row_number().over(w))
+    # The walk numbers its picks in rank order, so no global window is needed.
+    picked = sel.filter("selected").join(bodies, "canonical_url", "left").withColumn("_rank", F.col("pick_rank"))
     meta = F.col("metadata") if "metadata" in picked.columns else F.create_map().cast("map<string,string>")
     state = F.when(needs_follow_up(F.col("method"), F.col("errors")), "inbox").otherwise("selected")
     ex = excerpt(F.col("body"), F.col("selected_tokens"))
