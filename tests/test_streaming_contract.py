@@ -64,3 +64,14 @@ def test_first_delivery_drops_repeats_within_retention(spark):
          .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(f"{root}/out").collect()) == ["a", "b"]
+
+
+def test_every_batch_plan_avoids_nested_loops_and_cartesian_products(spark):
+    import __spark_entry__ as E
+    for name, fn in sorted(E.queries().items()):
+        if name in ("incremental_feed", "job_stream"):
+            continue
+        df = fn(spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan, name
+        assert not any(t.startswith(("struct", "map")) for _, t in df.dtypes), name
