@@ -94,7 +94,7 @@ SELECT substr(sha256(canonical_url), 1, 16) AS id, '{RUN_ID}' AS run_id,
 FROM sel""")
 def state_manifest(spark: SparkSession, sf: str) -> DataFrame:
     """One state item per source of the run."""
-    m = D.state_manifest(_run(spark, sf), RUN_ID, F.to_timestamp(F.lit(SEEN_AT)))
+    m = D.state_manifest(_run(spark, sf), RUN_ID, F.to_timestamp_ntz(F.lit(SEEN_AT)))
     return m.select("id", "run_id", "status", "canonical_url", "title", "source_type", "method", "quality_score",
                     "approx_tokens", "selected_tokens", F.size("errors").alias("n_errors"), "last_seen_at")
 
@@ -144,10 +144,10 @@ _RUN2_WHERE = "starts_with(url, 'https:')"
 
 
 def _manifests(spark: SparkSession, sf: str) -> DataFrame:
-    m1 = D.state_manifest(_run(spark, sf), "run-1", F.to_timestamp(F.lit("2024-01-30 00:00:00")))
+    m1 = D.state_manifest(_run(spark, sf), "run-1", F.to_timestamp_ntz(F.lit("2024-01-30 00:00:00")))
     src2 = page_sources(spark, sf).filter(F.col("url").startswith("https:"))
     m2 = D.state_manifest(run_selection(src2, _RUN2_DOMAINS, 3000, PER_SOURCE), "run-2",
-                          F.to_timestamp(F.lit("2024-01-31 00:00:00")))
+                          F.to_timestamp_ntz(F.lit("2024-01-31 00:00:00")))
     return m1.unionByName(m2)
 
 

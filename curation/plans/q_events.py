@@ -17,7 +17,7 @@ AS_OF_SQL = f"TIMESTAMP '{AS_OF}'"
 
 
 def _as_of():
-    return F.to_timestamp(F.lit(AS_OF))
+    return F.to_timestamp_ntz(F.lit(AS_OF))
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,7 +187,7 @@ def error_records(ev: DataFrame) -> DataFrame:
            .when(F.col("value") < 5, "yt-dlp_fail: Sign in to confirm you are not a bot")
            .otherwise("yt-dlp_fail: HTTP Error 403"))
     errs = (ev.filter(F.col("event_type").isin("error", "signup") & (F.col("ts") >= F.lit("2024-01-30 00:00:00")
-                                                                      .cast("timestamp")))
+                                                                      .cast("timestamp_ntz")))
             .groupBy("user_id").agg(F.collect_list(txt).alias("errors")))
     users = ev.select("user_id").distinct()
     return users.join(errs, "user_id", "left")

@@ -53,10 +53,13 @@ def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str
               sink: str, fetch_per_account: int, keep: int) -> None:
     (batch.withColumn("day", F.to_date("created_at")).write.mode("overwrite").partitionBy("day")
      .parquet(f"{landing}/batch_id={batch_id}"))
-    as_of_row = batch.agg(F.max("created_at").alias("t")).collect()[0]
+    # The run clock is the newest post of the batch, carried as text and cast
+    # back to the column's own type (independent of time zones).
+    ts_type = dict(batch.dtypes)["created_at"]
+    as_of_row = batch.agg(F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).collect()[0]
     if as_of_row["t"] is None:
         return
-    as_of = F.lit(as_of_row["t"]).cast("timestamp")
+    as_of = F.lit(as_of_row["t"]).cast(ts_type)
     first_day = F.to_date(as_of - F.expr(f"INTERVAL {POST_LOOKBACK_HOURS} HOURS"))
     # Day partitions outside the lookback are pruned before any file is read.
     landed = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= first_day))

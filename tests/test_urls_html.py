@@ -82,3 +82,10 @@ def test_title_and_meta_order(spark):
     # og:title matches first (empty) so the <title> element is used; content-first meta order is found.
     assert title == "Plain & title"
     assert desc == "Desc first"
+
+
+def test_strip_is_character_aware(spark):
+    from curation.functions.text import py_strip
+    cases = ["à", "\xa0à\xa0", "　x　", " é ", "x\x85", "  zà", "\x1c\x1fq\x1d", ""]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    assert [r[0] for r in df.select(py_strip(F.col("s"))).collect()] == [c.strip() for c in cases]
