@@ -6,9 +6,11 @@ still fits, otherwise skips it and goes on.  This is not a running sum, but
 it prunes exactly: if a source of class ``needed = n`` is taken, every
 earlier-ranked source of the same class was taken too (the remaining budget
 only shrinks), so at most ``floor(B / n)`` sources per class can ever be
-chosen.  A window per class keeps those, which bounds the rows that reach
-the sequential walk by ``B * H(cap)`` whatever the input size; the walk then
-runs per budget key in ``applyInPandas``.
+chosen.  Each map task keeps only those per class (an exact partial top-k,
+so a dense class ships at most ``floor(B / n)`` rows per task), and a window
+per class after the shuffle applies the same bound.  At most ``B * H(cap)``
+rows reach the sequential walk whatever the input size; the walk then runs
+per budget key in ``applyInPandas``.
 """
 
 from __future__ import annotations
@@ -41,15 +43,42 @@ def _ensure_group_limit(spark: SparkSession, limit: int) -> None:
         spark.conf.set(key, str(limit))
 
 
+def _partial_topk_factory(budget: int, keys: list[str]):
+    """Per map task: keep, for every (key, needed) class, only its first
+    ``floor(budget / needed)`` rows in rank order.  Batches are folded one at
+    a time, so memory stays bounded by ``budget * H(cap)`` rows per key."""
+    group = keys + ["needed"]
+    order = group + ["quality_score", "priority", "canonical_url"]
+    ascending = [True] * len(group) + [False, False, True]
+
+    def keep_top(it):
+        kept = None
+        for pdf in it:
+            cur = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            cur = cur.sort_values(order, ascending=ascending, kind="mergesort")
+            rank = cur.groupby(group, sort=False).cumcount().to_numpy()
+            kept = cur[rank < (budget // cur["needed"].to_numpy())]
+        if kept is not None and len(kept):
+            yield kept
+    return keep_top
+
+
 def budget_candidates(df: DataFrame, budget: int, per_source: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows that could possibly be selected (exact superset of the picks)."""
+    """Rows that could possibly be selected (exact superset of the picks).
+
+    Map side: an exact per-class top-``floor(B/n)`` in every task (tight
+    for every class, unlike one literal group limit).  After the shuffle by
+    class: the same bound with a window (literal ``B`` so Spark's group limit
+    also applies).
+    """
     if per_source < 1:
         raise ValueError("per_source_token_limit must be >= 1")
     keys = list(keys)
-    needed = F.least(F.col("approx_tokens"), F.lit(per_source))
+    needed = F.least(F.col("approx_tokens"), F.lit(per_source)).cast("int")
     narrow = df.select(*keys, "canonical_url", "quality_score", "priority", needed.alias("needed"))
     if budget <= 0:
         return narrow.limit(0).withColumn("_c", F.lit(0))
+    narrow = narrow.mapInPandas(_partial_topk_factory(budget, keys), narrow.schema)
     _ensure_group_limit(df.sparkSession, budget)
     w = Window.partitionBy(*keys, "needed").orderBy(*rank_order())
     return (narrow.withColumn("_c", F.row_number().over(w))
