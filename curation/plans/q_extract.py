@@ -143,7 +143,21 @@ def domain_priority(spark: SparkSession, sf: str) -> DataFrame:
                                                                                   "priority")
 
 
-@register("message_chunks")
+def _message_chunks_sql(size: int = 4000, min_split: int = 2000) -> str:
+    # Last newline at index <= size (0-based) inside the remaining text.
+    win = f"substr(rest, 1, {size + 1})"
+    at = f"(CASE WHEN strpos({win}, chr(10)) > 0 THEN length(regexp_extract({win}, '(?s)^(.*)\n', 1)) ELSE -1 END)"
+    return f"""WITH RECURSIVE c(doc_id, part_no, part, rest) AS (
+  SELECT doc_id, -1, CAST(NULL AS VARCHAR), text FROM documents WHERE text <> ''
+  UNION ALL
+  SELECT doc_id, part_no + 1,
+         CASE WHEN length(rest) <= {size} THEN rest ELSE substr(rest, 1, split) END,
+         CASE WHEN length(rest) <= {size} THEN '' ELSE substr(rest, split + 1) END
+  FROM (SELECT *, CASE WHEN {at} < {min_split} THEN {size} ELSE {at} END AS split FROM c WHERE rest <> ''))
+SELECT doc_id, part_no, part, length(part) AS part_chars FROM c WHERE part_no >= 0"""
+
+
+@register("message_chunks", oracle=_message_chunks_sql())
 def message_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """K5 message profile: 4000 UTF-16 units, newline cut (not before 2000),
     nothing stripped; parts re-join to the whole text."""
