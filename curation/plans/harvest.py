@@ -54,24 +54,32 @@ def run_selection(sources: DataFrame, domains: Sequence[str], budget: int = DEFA
 
 
 def run_digest(sources: DataFrame, domains: Sequence[str], warnings: DataFrame, budget: int = DEFAULT_BUDGET,
-               per_source: int = DEFAULT_PER_SOURCE, key: str = "ordinal"):
+               per_source: int = DEFAULT_PER_SOURCE, key: str = "ordinal", raw: DataFrame | None = None,
+               extract=None):
     """Selection + digest lines of one run.  The narrow selection feeds five
-    digest sections, so it is materialised once (reliable checkpoint)."""
+    digest sections, so it is materialised once (reliable checkpoint).
+
+    With ``raw`` (un-extracted rows keyed by ``key``) and ``extract`` (raw ->
+    sources), bodies are extracted only for the selected rows."""
     from curation.plans.digest import digest_lines
     sel = materialize(run_selection(sources, domains, budget, per_source))
-    bodies = attach_bodies(sel, sources, budget, key).select("canonical_url", "body")
+    bodies = attach_bodies(sel, sources, budget, key, raw=raw, extract=extract).select("canonical_url", "body")
     return sel, digest_lines(sel, bodies, warnings, budget)
 
 
 def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
-                  key: str = "ordinal") -> DataFrame:
-    """Bodies for the selected rows only: a semi-join by ``key`` with at most
-    ``budget`` keys (broadcast when that bound is small) before the body
-    column is computed."""
+                  key: str = "ordinal", raw: DataFrame | None = None, extract=None) -> DataFrame:
+    """Bodies for the selected rows only, by a semi-join on ``key`` with at
+    most ``budget`` keys (broadcast when that bound is small).  Given ``raw``
+    and ``extract``, the semi-join runs on the raw rows first, so the
+    (expensive) extraction touches the selected rows alone."""
     picked = selection.filter("selected").select(key)
     if budget <= BROADCAST_MAX_ROWS:
         picked = F.broadcast(picked)
-    bodies = sources.join(picked, key, "left_semi").select(key, "body")
+    if raw is not None and extract is not None:
+        bodies = extract(raw.join(picked, key, "left_semi")).select(key, "body")
+    else:
+        bodies = sources.join(picked, key, "left_semi").select(key, "body")
     return selection.filter("selected").join(bodies, key, "left")
 
 

@@ -21,6 +21,7 @@ from curation.plans.q_pages import BUDGET, PER_SOURCE, PRIORITY_DOMAINS, page_so
 from curation.plans.registry import register
 from curation.session import materialize, read_table
 from curation.sources import feeds as FE
+from curation.sources.pages import ingest_pages
 
 RUN_ID = "run-1"
 SEEN_AT = "2024-01-31 00:00:00"
@@ -174,7 +175,9 @@ def state_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 def _digest(spark: SparkSession, sf: str) -> DataFrame:
     warnings = spark.createDataFrame([], "idx int, warning string")
-    _sel, lines = run_digest(page_sources(spark, sf), PRIORITY_DOMAINS, warnings, BUDGET, PER_SOURCE)
+    raw = read_table(spark, sf, "pages").withColumnRenamed("page_id", "ordinal")
+    _sel, lines = run_digest(page_sources(spark, sf), PRIORITY_DOMAINS, warnings, BUDGET, PER_SOURCE,
+                             raw=raw, extract=lambda df: ingest_pages(df, keep=["ordinal"]))
     return lines
 
 
