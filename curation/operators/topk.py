@@ -59,20 +59,25 @@ def oldest_unseen(videos: DataFrame, seen: DataFrame, as_of: Column, hours: int
     return cand.orderBy("published_at", "channel_order", "pos").limit(1)
 
 
-def limit_per_feed(items: DataFrame, limits: DataFrame, max_limit: int = 1000) -> DataFrame:
+def limit_per_feed(items: DataFrame, limits: DataFrame) -> DataFrame:
     """The first ``limit`` items with a URL of each feed, in document
     order.  ``limits(feed_id, limit)``; feeds with ``limit <= 0`` read nothing.
 
-    The per-feed bound is data, so the literal ``max_limit`` (an upper bound
-    of every feed limit) lets the group limit fire before the shuffle.
+    The per-feed bound is data; the largest configured limit (one value from
+    the small feed table) becomes the literal group limit, so the limit fires
+    before the shuffle and no feed is ever cut below its own limit.
     """
+    live = limits.filter(F.col("limit") > 0)
+    top = live.agg(F.max("limit")).first()[0]
     valid = items.filter(F.col("url").isNotNull() & (F.col("url") != ""))
+    if top is None:
+        return valid.join(live, "feed_id", "inner").limit(0)
     # The feed table is configuration, not data with a proven bound: AQE
     # broadcasts it at run time when its measured size is small.
-    valid = valid.join(limits.filter(F.col("limit") > 0), "feed_id", "inner")
+    valid = valid.join(live, "feed_id", "inner")
     w = Window.partitionBy("feed_id").orderBy("pos")
     return (valid.withColumn("_r", F.row_number().over(w))
-            .filter((F.col("_r") <= F.lit(max_limit)) & (F.col("_r") <= F.col("limit"))).drop("_r"))
+            .filter((F.col("_r") <= F.lit(int(top))) & (F.col("_r") <= F.col("limit"))).drop("_r"))
 
 
 def bounded_sample(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:

@@ -29,7 +29,6 @@ ATOM_SCHEMA = ("title string, entry array<struct<title:string, link:array<struct
 REPOS_SCHEMA = ("array<struct<html_url:string, full_name:string, name:string, description:string, "
                 "topics:array<string>, language:string, stargazers_count:bigint>>")
 DEFAULT_FEED_LIMIT = 20
-MAX_FEED_LIMIT = 1000
 
 
 def _text(c: Column) -> Column:
@@ -102,7 +101,7 @@ def feed_sources(items: DataFrame, feeds: DataFrame, method: str = "feed_fetch")
     ``feeds(feed_id, limit, priority)``."""
     lim = feeds.select("feed_id", F.coalesce("limit", F.lit(DEFAULT_FEED_LIMIT)).alias("limit"),
                        F.coalesce("priority", F.lit(0)).alias("priority"))
-    kept = limit_per_feed(items, lim, MAX_FEED_LIMIT)
+    kept = limit_per_feed(items, lim)
     meta = F.map_concat(
         F.create_map(F.lit("feed_url"), F.col("feed_url")),
         F.when(F.col("feed_title") != "", F.create_map(F.lit("feed_title"), F.col("feed_title")))

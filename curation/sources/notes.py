@@ -45,7 +45,7 @@ def front_matter(md: Column) -> Column:
     entries = F.transform(lines, lambda x: F.struct(
         py_strip(F.substring_index(x, ":", 1)).alias("k"),
         F.regexp_replace(py_strip(F.substring(x, F.instr(x, ":") + 1, F.lit(1 << 30))), '^"+|"+$', "").alias("v")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.lit(1 << 20)),
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))),
                                                     lambda o: o["k"] == e["k"]))
     fm = F.map_from_entries(last)
     return F.when(hit, fm).otherwise(F.create_map().cast("map<string,string>"))
