@@ -13,12 +13,37 @@ from curation.session import read_table
 from curation.streaming.incremental import (replay_files, run_incremental_feed, run_job_state_stream,
                                             scratch_root)
 
-FEED_POST_COLUMNS = ("account string, id string, created_at timestamp, type string, text string, url string, "
+FEED_POST_COLUMNS = ("account string, id string, created_at timestamp_ntz, type string, text string, url string, "
                      "likes int, retweets int, replies int, is_quote boolean, quoted_id string")
-JOB_LOG_COLUMNS = "job_id bigint, event_id bigint, ts timestamp, status string"
+JOB_LOG_COLUMNS = "job_id bigint, event_id bigint, ts timestamp_ntz, status string"
 
 
-@register("incremental_feed")
+# One feed run per landed day as a recursive CTE: the state is the list of
+# picked ids with their run clock; each step selects the next day's run.
+_INCREMENTAL_SQL = """WITH RECURSIVE p AS (
+  SELECT 'u' || user_id AS account, CAST(event_id AS VARCHAR) AS id, ts AS created_at,
+         CASE WHEN event_type = 'error' THEN 'reply' ELSE 'post' END AS type FROM events),
+d AS (SELECT day, row_number() OVER (ORDER BY day) AS k, as_of FROM (
+        SELECT CAST(created_at AS DATE) AS day, max(created_at) AS as_of FROM p GROUP BY 1)),
+r(k, picked) AS (
+  SELECT 0, []::STRUCT(id VARCHAR, account VARCHAR, t TIMESTAMP, k BIGINT, created_at TIMESTAMP)[]
+  UNION ALL
+  SELECT r.k + 1, list_concat(r.picked, coalesce((
+     SELECT list({'id': y.id, 'account': y.account, 't': y.as_of, 'k': r.k + 1, 'created_at': y.created_at})
+     FROM (SELECT x.*, row_number() OVER (PARTITION BY x.account ORDER BY x.created_at DESC, x.id DESC) AS rn2
+           FROM (SELECT w.*, dd.as_of, row_number() OVER (PARTITION BY w.account ORDER BY w.created_at DESC, w.id DESC) AS rn
+                 FROM p w JOIN d dd ON dd.k = r.k + 1
+                 WHERE CAST(w.created_at AS DATE) <= dd.day AND w.created_at >= dd.as_of - INTERVAL 24 HOUR
+                   AND w.type NOT IN ('retweet', 'reply')) x
+           WHERE x.rn <= 5 AND NOT list_contains(
+               list_transform(list_filter(r.picked, lambda s: s.t >= x.as_of - INTERVAL 7 DAY), lambda s: s.id), x.id)) y
+     WHERE y.rn2 <= 3), []))
+  FROM r WHERE r.k < (SELECT max(k) FROM d))
+SELECT s.k - 1 AS batch_id, s.t AS run_at, s.account, s.id, s.created_at
+FROM (SELECT unnest(picked) AS s FROM r WHERE k = (SELECT max(k) FROM d))"""
+
+
+@register("incremental_feed", oracle=_INCREMENTAL_SQL)
 def incremental_feed(spark: SparkSession, sf: str) -> DataFrame:
     """One feed run per landed day; seen-state with 7-day prune;
     unselected posts stay eligible.  Result: every post picked by any run."""
