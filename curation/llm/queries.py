@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from .archive import OP8_SQL, op8_warc_archive
+from .decontaminate import OP10_SQL, op10_decontamination
 from .packing import op1_packing
+from .simhash import op6_simhash
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op6_simhash": op6_simhash,
     "op8_warc_archive": op8_warc_archive,
+    "op10_decontamination": op10_decontamination,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES = {
     "op8_warc_archive": OP8_SQL,
+    "op10_decontamination": OP10_SQL,
 }
