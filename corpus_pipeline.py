@@ -9,7 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from curation.llm.common import shared_path, table
+from curation.llm.decontaminate import decontaminate
 from curation.llm.packing import pack
+from curation.llm.pii import mask
+from curation.llm.simhash import one_of_each
+from curation.llm.toxicity import reject_toxic
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that score 0.7 or more."""
+    return reject_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group: 3-word shingles, 2 bits."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Without the documents that hold a window of a benchmark item."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind."""
+    return mask(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,7 +43,13 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [
+    ("toxicity", toxicity),
+    ("simhash", near_duplicates),
+    ("decontamination", decontamination),
+    ("pii", personal_data),
+    ("packing", packing),
+]
 
 #: Several stages are beyond SQL; tests hold run() against brute force.
 ORACLE_SQL = None

@@ -234,6 +234,19 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return near_groups(checkpoint(fingerprints(docs, id_col, text_col, shingle)), radius, shard_rows)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                radius: int = RADIUS) -> DataFrame:
+    """The document of the smallest id of every group, with its own columns.
+    Rows of one id are one document, of which the smallest row stays; rows
+    with a null id all stay, as no group can name them."""
+    groups = simhash_groups(docs, id_col, text_col, shingle, radius)
+    stay = groups.where("id = component_id").select(F.col("id").alias("_stay")).distinct()
+    one = (docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id"))
+           .agg(F.min(F.struct(*docs.columns)).alias("_row")))
+    return (one.join(stay, F.col("_id") == F.col("_stay"), "left_semi").select("_row.*")
+            .unionByName(docs.where(F.col(id_col).isNull())))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents``: 3-word shingles, links at 2 or fewer bits."""
     out = simhash_groups(table(spark, sf_dir, "documents"))
