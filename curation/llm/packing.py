@@ -12,16 +12,17 @@ sentence (costs ``inside_penalty``).  The dynamic program
 finds the cheapest cuts.  As padding is ``window - (pos[j] - pos[i])``, the
 minimum of ``best[i] + pos[i]`` over a sliding range of i is wanted, which a
 monotone queue keeps in constant time per cut point.  A window whose length
-is a power of two needs no padding; the powers from an eighth of the window
-on (shorter windows are not wanted) are looked up beside the queue.
+is a power of two needs no padding; the powers from half of the window on
+(shorter windows are not wanted) are looked up beside the queue.
 
 Bounded memory: the program runs over blocks of about ``block`` ids.  All
 but the last windows of a block are final; the rest of the ids opens the
 next block.  A document longer than a block is spread over several.
 
-Tokens: white-space separated chunks are encoded on their own, each distinct
-chunk once per task.  The tokenizer drops white space before it merges, so
-this gives the ids of the whole text (tests hold it against the tokenizer).
+Tokens: chunks between which the tokenizer always cuts are encoded on their
+own, each distinct chunk once per task.  The tokenizer never merges over
+such a cut, so this gives the ids of the whole text (tests hold it against
+the tokenizer).
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each time; an empty table gives no rows; other columns are ignored.
@@ -40,28 +41,45 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import ranges, table, text_slices
+from .common import LOWER, NON_SPACE, flat_text, ranges, table, text_slices
 
 WINDOW = 2048
 END_ID = 1
 SENTENCE_PENALTY = 8
 INSIDE_PENALTY = 48
-GRID = 32
+GRID = 64
 BLOCK = 1 << 18
 #: Distinct chunks that a task keeps encoded.
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 300_000
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 
 
+#: Classes of bytes: white space and controls 0, others (non-ASCII) are not cut.
+_LETTER, _DIGIT, _SIGN, _OTHER = 1, 2, 3, 4
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[0x30:0x3A] = _DIGIT
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = _LETTER
+_KIND[0x80:] = _OTHER
+
+
 def _grown(a: np.ndarray, n: int) -> np.ndarray:
     """``a``, doubled if it holds fewer than ``n`` entries."""
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n - len(a), len(a)), a.dtype)])
 
 
 class ChunkEncoder:
-    """Token ids of texts by a cache of encoded white-space chunks."""
+    """Token ids of texts by a cache of encoded chunks.
+
+    Chunks are cut at ASCII white space, and between an ASCII or Latin-1
+    letter, a digit and an ASCII sign, where the tokenizer cuts as well.  No
+    cut stands between an apostrophe and what follows it (``'s`` is one
+    piece).  A-Z are lower-cased unless a non-ASCII byte follows, which might
+    compose with the letter.  A slice that may hold a special token's text is
+    cut at white space alone.
+    """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
@@ -70,10 +88,12 @@ class ChunkEncoder:
         self.limit = limit
         self._clear()
         vocab = self.tok.get_vocab()
-        ends = [i for t, i in vocab.items()
-                if t.endswith("</w>") and t[:-4] and set(t[:-4]) <= set(".!?")]
         self.sentence_end = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        self.sentence_end[ends] = True
+        self.word_end = self.sentence_end.copy()
+        for t, i in vocab.items():
+            if t.endswith("</w>"):
+                self.word_end[i] = True
+                self.sentence_end[i] = t[:-4] != "" and set(t[:-4]) <= set(".!?")
 
     def _clear(self) -> None:
         self.slot: dict[bytes, int] = {}
@@ -81,34 +101,73 @@ class ChunkEncoder:
         self.ends = np.zeros(1 << 14, np.int64)  # where each chunk's ids end
         self.used = 0
 
+    def _add(self, chunks: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+        k = len(self.slot)
+        self.flat = _grown(self.flat, self.used + len(ids))
+        self.ends = _grown(self.ends, k + len(chunks))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.ends[k:k + len(chunks)] = self.used + np.cumsum(counts)
+        self.used += len(ids)
+        self.slot.update(zip(chunks, range(k, k + len(chunks))))
+
     def _learn(self, chunks: list[bytes]) -> None:
-        new = list(dict.fromkeys(c for c in chunks if c not in self.slot))
-        for at in range(0, len(new), 20_000):
-            part = new[at:at + 20_000]
+        new = set(chunks).difference(self.slot)
+        words = [c for c in new if c.isalpha() or (not c.isascii() and c.decode().isalpha())]
+        others = list(new.difference(words))
+        # a line of words: each word ends at an id that closes a word
+        for at in range(0, len(words), 4000):
+            part = words[at:at + 4000]
+            ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) == len(part):
+                self._add(part, ids, np.diff(ends, prepend=0))
+            else:  # some letter of these is more than one piece
+                others += part
+        for at in range(0, len(others), 4000):
+            part = others[at:at + 4000]
             got = [e.ids for e in self.tok.encode_batch_fast([c.decode() for c in part],
                                                              add_special_tokens=False)]
-            n, k = sum(map(len, got)), len(self.slot)
-            self.flat = _grown(self.flat, self.used + n)
-            self.ends = _grown(self.ends, k + len(part))
-            self.flat[self.used:self.used + n] = np.fromiter(chain.from_iterable(got), np.uint32, n)
-            self.ends[k:k + len(part)] = self.used + np.cumsum([len(g) for g in got])
-            self.used += n
-            self.slot.update(zip(part, range(k, k + len(part))))
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+            n = np.fromiter(map(len, got), np.int64, len(got))
+            self._add(part, np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n)
+
+    def _chunks(self, data: np.ndarray, offs: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """The chunks of some texts, and the number of them in each."""
+        n = len(data)
+        solid = NON_SPACE[data]
+        row = np.zeros(n + 1, dtype=bool)
+        row[offs] = True
+        before = np.append(False, solid[:-1])
+        cut = row[:-1].copy()
+        if b"<|" not in data.tobytes():
+            kind = _KIND[data]
+            # the second byte of a Latin-1 letter
+            latin = np.append(False, data[:-1] == 0xC3) & (data != 0x97) & (data != 0xB7)
+            left = np.append(0, np.where(latin, _LETTER, kind)[:-1])
+            cut |= (kind == _SIGN) & ((left == _LETTER) | (left == _DIGIT))
+            cut |= (kind == _DIGIT) & (left != 0) & (left != _OTHER)
+            cut |= (kind == _LETTER) & (left == _DIGIT)
+            cut |= (kind == _LETTER) & (left == _SIGN) & (np.append(0, data[:-1]) != 0x27)
+            data = np.where(np.append(data[1:], 0) < 0x80, LOWER[data], data)
+        first = np.flatnonzero(solid & (~before | cut))
+        spaced = np.full(n + int(cut.sum()), 0x20, np.uint8)
+        spaced[np.arange(n) + np.cumsum(cut)] = data
+        return spaced.tobytes().split(), np.diff(np.searchsorted(first, offs))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of them in each text."""
-        split = [(t or "").encode().split() for t in texts]
-        chunks = [c for s in split for c in s]
+        data, offs = flat_text(texts)
+        if len(data) == 0:
+            return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
+        chunks, per_text = self._chunks(data, offs)
         if len(self.slot) > self.limit:
             self._clear()
         self._learn(chunks)
         slots = np.fromiter(map(self.slot.__getitem__, chunks), dtype=np.int64, count=len(chunks))
+        del chunks
         first = np.where(slots > 0, self.ends[slots - 1], 0)
         n = self.ends[slots] - first
         ids = self.flat[ranges(first, n)]
-        ends = np.cumsum([len(s) for s in split])
-        total = np.concatenate([[0], np.cumsum(n)])[ends] if len(split) else np.zeros(0, np.int64)
-        return ids, np.diff(total, prepend=0)
+        return ids, np.diff(np.append(0, np.cumsum(n))[np.cumsum(per_text)], prepend=0)
 
 
 def best_cuts(pos: list[int], penalty: list[float], window: int) -> list[int]:
@@ -120,7 +179,7 @@ def best_cuts(pos: list[int], penalty: list[float], window: int) -> list[int]:
     queue: deque[int] = deque([0])  # key best + pos rises from left to right
     key = [0.0] * n
     at = {pos[0]: 0}
-    powers = [1 << b for b in range(window.bit_length()) if window <= (8 << b) and 1 << b < window]
+    powers = [1 << b for b in range(window.bit_length()) if window <= (2 << b) and 1 << b < window]
     for j in range(1, n):
         p = pos[j]
         low = p - window
@@ -211,7 +270,7 @@ def _packer(path: str, window: int, block: int, grid: int, costs: tuple[float, f
 
         for batch in batches:
             for part in text_slices(batch, "text"):
-                ids, counts = enc.encode(part.column("text").to_pylist())
+                ids, counts = enc.encode(part.column("text"))
                 ends = np.cumsum(counts)
                 for doc, n, e in zip(part.column("doc_id").to_pylist(), counts.tolist(), ends.tolist()):
                     whole = np.append(ids[e - n:e], np.uint32(end_id))
