@@ -35,8 +35,8 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges do no harm, edges with a null end are dropped,
     and an empty edge table gives an empty result.
     """
-    e = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-         .distinct())
+    e = checkpoint(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                   .distinct())  # a step reads it several times
     seen = None
     while True:
         e = checkpoint(_small_star(_large_star(e)))
