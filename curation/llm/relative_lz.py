@@ -22,8 +22,8 @@ the blocks of its own anchors: no other block can hold one of its windows.
    indexed: the first (smallest) reference of each window.
 4. Each of these texts meets the references of its own windows and is parsed.
 
-Scale: texts cross one shuffle at most, and only those with shared anchors
-go on.  All grouping is minima and maxima, which tasks combine first, so a
+Scale: a text crosses two shuffles at most, and only if it may have shared
+anchors (a broadcast sieve of fixed size holds most others back).  All grouping is minima and maxima, which tasks combine first, so a
 passage or text that a third of all documents hold ships one row per task;
 the joins back are equi-joins against one row per key, which AQE can split.
 Each text gathers its own windows only.  Window keys are 96 bits of hash.
@@ -50,6 +50,8 @@ from .common import (NON_SPACE, checkpoint, flat_text, list_column, ranges, tabl
 WINDOW = 50
 #: Words of the runs whose hashes are anchors.
 SEED_WORDS = 18
+#: Bits of the sieve of document ids (2 MB), a power of two.
+SIEVE_BITS = 1 << 24
 
 
 def sliding_minimum(h: np.ndarray, w: int) -> np.ndarray:
@@ -210,11 +212,33 @@ _FACTORED = ("digest binary, n_removed long, kept_sha256 string, kept string, "
              "factors array<struct<start:long,length:long,ref:long,ref_start:long>>")
 
 
+def _slot(id_col: str):
+    return F.pmod(F.xxhash64(id_col), F.lit(SIEVE_BITS))
+
+
+def _maybe_in(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """``texts`` without most of those whose id is not among ``ids``: a sieve
+    of ``SIEVE_BITS`` bits, broadcast as bitmaps.  It lets through all that
+    are among them, and spares the others the shuffle.  With many more ids
+    than bits it lets all through."""
+    bitmap_bits = 8 * 4096  # of Spark's bitmap functions
+    slot = _slot(ids.columns[0])
+    sieve = (ids.select((slot / bitmap_bits).cast("long").alias("_map"), (slot % bitmap_bits).alias("_bit"))
+             .groupBy("_map").agg(F.bitmap_construct_agg("_bit").alias("_bits")))
+    at = (_slot("id") % bitmap_bits).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (texts.withColumn("_map", (_slot("id") / bitmap_bits).cast("long"))
+            .join(F.broadcast(sieve), "_map")  # SIEVE_BITS / 8 bytes at most
+            .where(F.floor(byte / F.pow(F.lit(2.0), at % 8)) % 2 == 1)
+            .drop("_map", "_bits"))
+
+
 def factor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
            seed_words: int = SEED_WORDS) -> tuple[DataFrame, DataFrame]:
-    """``(rows, parsed)``: for every row id, n_words, digest and ``first_id``
-    (the smallest id of its text); and for the texts with factors, by
-    digest: n_removed, kept_sha256, kept (the text left) and factors."""
+    """``(rows, parsed)``: for every row id, n_words, digest, ``first_id``
+    (the smallest id of its text), n_removed, kept_sha256 and factors (null
+    where nothing was found); and for the texts with factors, by digest, the
+    same with kept (the text left)."""
     if not 0 < seed_words <= window:
         raise ValueError("need 0 < seed_words <= window")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -222,15 +246,14 @@ def factor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
                                          "id long, n_words long, digest binary, anchors array<long>"))
     one = checkpoint(survey.where("id is not null").groupBy("digest").agg(F.min(F.struct("id", "anchors")).alias("m"))
                      .select("digest", "m.id", "m.anchors"))
-    rows = (survey.select("id", "n_words", "digest")
-            .join(one.select("digest", F.col("id").alias("first_id")), "digest", "left"))
     # two texts of one id are told apart by their digests; references need another id
     placed = one.select("digest", "id", F.explode("anchors").alias("anchor"))
     shared = checkpoint(placed.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
                         .where("lo < hi").select("anchor"))
     wanted = placed.join(shared, "anchor").groupBy("digest", "id").agg(F.collect_list("anchor").alias("shared"))
     wanted = wanted.withColumnRenamed("id", "_id")
-    source = checkpoint(texts.join(wanted, texts["id"] == wanted["_id"]).drop("_id")
+    wanted = checkpoint(wanted)
+    source = checkpoint(_maybe_in(texts, wanted.select("_id")).join(wanted, F.col("id") == F.col("_id")).drop("_id")
                         .mapInArrow(_own_text, "id long, text string, digest binary, shared array<long>"))
     index = source.select("id", "text", "shared").mapInArrow(_index(window, seed_words),
                                                             "a long, b int, id long, at int")
@@ -242,18 +265,19 @@ def factor(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
            .withColumnRenamed("id", "_id"))
     parsed = (source.join(met, source["id"] == met["_id"]).select("digest", "text", "firsts")
               .mapInArrow(_factor(window), _FACTORED))
-    return rows, parsed
+    # rows that repeat an id and its text were parsed each
+    facts = checkpoint(one.select("digest", F.col("id").alias("first_id"))
+                       .join(parsed.drop("kept").dropDuplicates(["digest"]), "digest", "left"))
+    return survey.select("id", "n_words", "digest").join(facts, "digest", "left"), parsed
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                 seed_words: int = SEED_WORDS) -> DataFrame:
     """For every row: id, n_words, n_removed, kept_sha256, factors (null where
     the whole text is the copy of a smaller id's)."""
-    rows, parsed = factor(docs, id_col, text_col, window, seed_words)
+    out, _ = factor(docs, id_col, text_col, window, seed_words)
     own = F.lower(F.hex("digest"))
     copy = (F.col("id") > F.col("first_id")) & (F.col("n_words") >= window)
-    # rows that repeat an id and its text were parsed each
-    out = rows.join(parsed.drop("kept").dropDuplicates(["digest"]), "digest", "left")
     # a null id has no smaller one
     lone = F.col("id").isNull()
     return out.select(
