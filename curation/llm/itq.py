@@ -66,7 +66,7 @@ def learn(sample: np.ndarray, rotations: int = ROTATIONS) -> tuple[np.ndarray, n
     """The mean of the unit vectors and the projections, side by side."""
     x = sample / np.linalg.norm(sample, axis=1, keepdims=True)
     mean = x.mean(axis=0)
-    axes = np.linalg.svd(x - mean, full_matrices=True)[2].T
+    axes = np.linalg.eigh((x - mean).T @ (x - mean))[1]
     y = (x - mean) @ axes
     return mean, np.concatenate([axes @ learn_rotation(y, s) for s in range(rotations)], axis=1)
 

@@ -41,8 +41,9 @@ from .common import (ALNUM, LOWER, checkpoint, flat_text, mix64, ranges, table,
 #: Labelled examples of each class, and vocabulary terms, at most.
 EXAMPLES = 2000
 MAX_TERMS = 8192
-#: A term needs so many toxic examples, such odds and such a chi-square.
-MIN_TOXIC, MIN_ODDS, MIN_CHI2 = 4, 4.0, 25.0
+#: A term needs so many toxic examples, such a share of them (the words of a
+#: text with some copies do not make a term), such odds and such a chi-square.
+MIN_TOXIC, MIN_SHARE, MIN_ODDS, MIN_CHI2 = 4, 0.01, 4.0, 25.0
 NEIGHBOURS = 15
 BLOCK = 64
 THRESHOLD = 0.7
@@ -138,7 +139,8 @@ class Model:
         """The score of one text with terms, its neighbours and cosines."""
         best, cos = self.index.nearest(term, unit_tfidf(term, count, self.idf), self.k)
         w = cos * self.class_weight[self.labels[best]]
-        pull = self.class_weight.max()  # as much as one neighbour at cosine 1
+        # as much as one neighbour of the rarer class at cosine 1
+        pull = self.class_weight[self.class_weight > 0].min()
         vote = (w * self.labels[best]).sum() + pull * self.base
         return vote / (w.sum() + pull), best, cos
 
@@ -198,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", te
     odds = ((pos + 0.5) / (n1 + 1)) / ((neg + 0.5) / (n0 + 1))
     counted = (rows.mapInArrow(_all_terms, "term long, y int").groupBy("term")
                .agg(F.sum("y").cast("double").alias("pos"), F.sum(1 - F.col("y")).cast("double").alias("neg"))
-               .where((pos >= MIN_TOXIC) & (odds >= MIN_ODDS) & (chi2 >= MIN_CHI2)))
+               .where((pos >= max(MIN_TOXIC, MIN_SHARE * n1)) & (odds >= MIN_ODDS) & (chi2 >= MIN_CHI2)))
     top = counted.orderBy(chi2.desc(), "term").limit(max_terms).select("term").collect()
     vocab = np.sort(np.array([r[0] for r in top], dtype=np.int64).view(np.uint64))
     vocab_b = sc.broadcast(vocab)
