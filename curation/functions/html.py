@@ -43,7 +43,7 @@ def unescape(c: Column) -> Column:
 def strip_tags(raw: Column) -> Column:
     """Drop script/style blocks, turn ``<br>`` and ``</p>`` into newlines and
     every other tag into a space (no entity decoding yet)."""
-    t = F.regexp_replace(raw, r"(?isu)<(script|style).*?>.*?</\1>", " ")
+    t = F.regexp_replace(raw, r"(?isu)<(script|style)[^>]*+>.*?</\1>", " ")
     t = F.regexp_replace(t, f"(?isu)<br{SPACE}*/?>", "\n")
     t = F.regexp_replace(t, f"(?isu)</p{SPACE}*>", "\n")
     return F.regexp_replace(t, r"(?isu)<[^>]+>", " ")

@@ -121,6 +121,17 @@ def fail_reason(errors: Column) -> Column:
             .otherwise("content_empty"))
 
 
+def fail_reason_of(error: Column) -> Column:
+    """E17 as an aggregate over error rows: the first rule that any of a
+    group's errors matches (a group without rows is ``content_empty``)."""
+    blocked = (F.instr(error, "TranscriptsDisabled") > 0) | (F.instr(error, "Sign in") > 0) \
+        | (F.instr(F.lower(error), "bot") > 0)
+    return (F.when(F.bool_or(blocked), "youtube_blocked")
+            .when(F.bool_or(F.instr(error, "transcript_api_fail") > 0), "transcript_unavailable")
+            .when(F.bool_or(F.instr(error, "yt-dlp_fail") > 0), "download_failed")
+            .otherwise("fetch_failed"))
+
+
 def need_material(url: Column, platform_col: Column, title: Column, body: Column, errors: Column,
                   min_chars: int = 300) -> Column:
     """struct(source, got, missing, provide, fail_reason, errors<=3)."""

@@ -25,24 +25,11 @@ from pyspark.sql import functions as F
 def rank_order():
     return [F.col("quality_score").desc(), F.col("priority").desc(), F.col("canonical_url").asc()]
 
-# A broadcast of the selected rows is safe only while its size is bounded;
-# it is at most ``budget`` rows per key (every pick costs at least 1 token).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
 def rank_sources(df: DataFrame) -> DataFrame:
     """The total order used for selection and the digest."""
     return df.orderBy(*rank_order())
 
 
-def _ensure_group_limit(spark: SparkSession, limit: int) -> None:
-    # WindowGroupLimit only fires for literal bounds up to this threshold.
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    cur = int(spark.conf.get(key, "1000"))
-    if limit > cur:
-        spark.conf.set(key, str(limit))
-
-
 def _partial_topk_factory(budget: int, keys: list[str]):
     """Per map task: keep, for every (key, needed) class, only its first
     ``floor(budget / needed)`` rows in rank order.  Batches are folded one at
@@ -79,7 +66,6 @@ def budget_candidates(df: DataFrame, budget: int, per_source: int, keys: Sequenc
     if budget <= 0:
         return narrow.limit(0).withColumn("_c", F.lit(0))
     narrow = narrow.mapInPandas(_partial_topk_factory(budget, keys), narrow.schema)
-    _ensure_group_limit(df.sparkSession, budget)
     w = Window.partitionBy(*keys, "needed").orderBy(*rank_order())
     return (narrow.withColumn("_c", F.row_number().over(w))
             .filter((F.col("_c") <= F.lit(budget)) & (F.col("_c") <= F.floor(F.lit(budget) / F.col("needed")))))
@@ -120,8 +106,6 @@ def select_for_budget(df: DataFrame, budget: int = 4000, per_source: int = 900,
     schema = ", ".join([f"{k} {dict(df.dtypes)[k]}" for k in keys] + ["canonical_url string",
                                                                         "selected_tokens int", "pick_rank int"])
     picks = cand.groupBy(*group).applyInPandas(_walk_factory(budget, keys), schema)
-    if not keys and budget <= BROADCAST_MAX_ROWS:
-        picks = F.broadcast(picks)
     out = df.join(picks, on=keys + ["canonical_url"], how="left")
     return (out.withColumn("selected", F.col("selected_tokens").isNotNull())
             .withColumn("selected_tokens", F.coalesce(F.col("selected_tokens"), F.lit(0))))

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from curation.functions.urls import domain
 
-# The list is broadcast only below this many domains (checked with a count).
-BROADCAST_MAX_DOMAINS = 1_000_000
-
 
 def host_suffixes(host: Column) -> Column:
     """``a.b.c`` -> ``[a.b.c, b.c, c]`` (the host and every dot suffix)."""
@@ -38,8 +35,6 @@ def domain_priority_join(df: DataFrame, url: str, domains: DataFrame, out: str =
     d = normalise_domains(domains)
     n_domains = d.count()
     best = d.groupBy("domain").agg(F.min("idx").alias("idx"))
-    if n_domains <= BROADCAST_MAX_DOMAINS:
-        best = F.broadcast(best)
     # Priority depends on the host only: resolve each distinct host once.
     with_host = df.withColumn("_host", domain(F.col(url)))
     hosts = with_host.select("_host").distinct()

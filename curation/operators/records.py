@@ -8,6 +8,8 @@ its size is bounded by the request, never by the table.
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,14 +124,15 @@ def attach_manual_text(links: DataFrame, manual: DataFrame, url: str = "url") ->
     return out.withColumn("manual_text", F.coalesce("_rt", "_ct", F.lit(""))).drop("_ru", "_rt", "_cu", "_ct", "_can")
 
 
-def short_post_sources(links: DataFrame, url: str = "url") -> DataFrame:
+def short_post_sources(links: DataFrame, url: str = "url", keep: Sequence[str] = ()) -> DataFrame:
     """Social links are not fetched: title from the status id, body from
-    manual text, else an error asking for a manual fallback."""
+    manual text, else an error asking for a manual fallback.  ``keep`` are
+    own columns to carry along."""
     pid = post_id(F.col(url))
     manual = F.coalesce("manual_text", F.lit(""))
     has = manual != ""
     return links.filter(is_x_url(canonical_url(F.col(url)))).select(
-        F.col(url).alias("url"), canonical_url(F.col(url)).alias("canonical_url"),
+        *keep, F.col(url).alias("url"), canonical_url(F.col(url)).alias("canonical_url"),
         F.when(pid != "", F.concat(F.lit("X/Twitter post "), pid)).otherwise(F.lit("X/Twitter link")).alias("title"),
         py_strip(manual).alias("body"), F.lit("x").alias("source_type"),
         F.when(has, "manual_metadata").otherwise("metadata_only").alias("method"),

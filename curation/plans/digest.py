@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from curation.functions.scoring import needs_follow_up
 from curation.functions.text import excerpt, py_strip
 
-STATE_SCHEMA_NAME = "content-link-harvest.source_state.v1"
 NO_BODY = "(No extracted body. Add manual text in config.)"
 FOLLOW_UP = ": add full text, screenshots, transcript, or corrected URL."
 LINE_COLS = ["section", "part", "grp", "nq", "np", "url", "sub", "line"]
@@ -63,8 +62,10 @@ def state_manifest(sel: DataFrame, run_id: str, seen_at: Column) -> DataFrame:
 
 
 def write_state_manifest(manifest: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append one run's items to the state log, partitioned by run."""
-    manifest.write.mode("append").partitionBy("run_id").format(fmt).save(path)
+    """Write one run's items to the state log, partitioned by run; a repeated
+    run replaces its own items."""
+    (manifest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+     .format(fmt).save(path))
 
 
 def latest_state(manifests: DataFrame, published: DataFrame | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from curation.functions.scoring import lifecycle_status, score_sources
 from curation.functions.urls import source_id
-from curation.operators.budget import BROADCAST_MAX_ROWS, select_for_budget
+from curation.operators.budget import select_for_budget
 from curation.operators.dedupe import dedupe_best
 from curation.session import materialize
 
@@ -70,12 +70,10 @@ def run_digest(sources: DataFrame, domains: Sequence[str], warnings: DataFrame,
 def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
                   key: str = "ordinal", raw: DataFrame | None = None, extract=None) -> DataFrame:
     """Bodies for the selected rows only, by a semi-join on ``key`` with at
-    most ``budget`` keys (broadcast when that bound is small).  Given ``raw``
+    most ``budget`` keys (AQE broadcasts them when they are few).  Given ``raw``
     and ``extract``, the semi-join runs on the raw rows first, so the
     (expensive) extraction touches the selected rows alone."""
     picked = selection.filter("selected").select(key)
-    if budget <= BROADCAST_MAX_ROWS:
-        picked = F.broadcast(picked)
     if raw is not None and extract is not None:
         bodies = extract(raw.join(picked, key, "left_semi")).select(key, "body")
     else:
@@ -101,11 +99,12 @@ def collect_sources(links: DataFrame, landed: DataFrame, manual: DataFrame | Non
     spark = links.sparkSession
     manual = manual if manual is not None else spark.createDataFrame([], "url string, text string")
     lk = attach_manual_text(links, manual).withColumn("canonical_url", canonical_url(F.col("url")))
-    social = short_post_sources(lk.filter(is_x_url(F.col("canonical_url"))).drop("canonical_url")
-                                .withColumnRenamed("pos", "_pos"))
-    social = social.join(lk.select(F.col("url").alias("_u"), "pos"), F.col("url") == F.col("_u")).drop("_u")
+    social = short_post_sources(lk.filter(is_x_url(F.col("canonical_url"))).drop("canonical_url"), keep=["pos"])
     web = lk.filter(~is_x_url(F.col("canonical_url")))
-    pages = ingest_pages(landed.withColumn("_can", canonical_url(F.col("url"))), keep=["_can"]) \
+    # one landing of a canonical URL: that of the smallest fetched URL
+    landed = (landed.groupBy(canonical_url(F.col("url")).alias("_can"))
+              .agg(F.min(F.struct("url", "html")).alias("l")).select("_can", "l.url", "l.html"))
+    pages = ingest_pages(landed, keep=["_can"]) \
         .drop("url", "canonical_url")
     web = web.join(pages, web["canonical_url"] == pages["_can"], "left").drop("_can")
     failed = F.col("body").isNull()

@@ -145,7 +145,7 @@ def feed_assembly(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("account_lookup", oracle="""WITH acc AS (SELECT DISTINCT 'User' || user_id AS handle FROM events),
 users AS (SELECT 'USER' || c_custkey AS username, c_custkey AS user_id, c_name AS name, c_mktsegment AS bio
-          FROM customer WHERE c_mktsegment = 'BUILDING')
+          FROM customer)
 SELECT a.handle, u.user_id, u.name, u.bio,
        CASE WHEN u.user_id IS NULL THEN 'X API: User not found: ' || a.handle END AS error
 FROM acc a LEFT JOIN users u ON lower(a.handle) = lower(u.username)""")
@@ -153,7 +153,7 @@ def account_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Resolve account handles case-insensitively; report the rest."""
     ev = _events(spark, sf)
     acc = ev.select(F.concat(F.lit("User"), F.col("user_id")).alias("handle")).distinct()
-    cust = read_table(spark, sf, "customer").filter(F.col("c_mktsegment") == "BUILDING")
+    cust = read_table(spark, sf, "customer")
     users = cust.select(F.concat(F.lit("USER"), F.col("c_custkey")).alias("username"),
                         F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"),
                         F.col("c_mktsegment").alias("bio"))
@@ -181,16 +181,12 @@ def layered_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_records(ev: DataFrame) -> DataFrame:
-    """Per user: the error texts of its last-day error and signup events."""
+    """One row for each error and signup event: user and error text."""
     txt = (F.when((F.col("event_type") == "error") & (F.col("value") < 10), "transcript_api_fail: NoTranscriptFound")
            .when(F.col("event_type") == "error", "fetch_fail: HTTP Error 500")
            .when(F.col("value") < 5, "yt-dlp_fail: Sign in to confirm you are not a bot")
            .otherwise("yt-dlp_fail: HTTP Error 403"))
-    errs = (ev.filter(F.col("event_type").isin("error", "signup") & (F.col("ts") >= F.lit("2024-01-30 00:00:00")
-                                                                      .cast("timestamp_ntz")))
-            .groupBy("user_id").agg(F.collect_list(txt).alias("errors")))
-    users = ev.select("user_id").distinct()
-    return users.join(errs, "user_id", "left")
+    return ev.filter(F.col("event_type").isin("error", "signup")).select("user_id", txt.alias("error"))
 
 
 @register("fail_reasons", oracle="""WITH e AS (
@@ -199,7 +195,7 @@ def error_records(ev: DataFrame) -> DataFrame:
          WHEN event_type = 'error' THEN 'fetch_fail: HTTP Error 500'
          WHEN value < 5 THEN 'yt-dlp_fail: Sign in to confirm you are not a bot'
          ELSE 'yt-dlp_fail: HTTP Error 403' END AS t
-  FROM events WHERE event_type IN ('error', 'signup') AND ts >= TIMESTAMP '2024-01-30 00:00:00'),
+  FROM events WHERE event_type IN ('error', 'signup')),
 u AS (SELECT DISTINCT user_id FROM events),
 g AS (SELECT u.user_id,
         count(e.t) AS n_errors,
@@ -212,9 +208,12 @@ SELECT user_id, CAST(n_errors AS INTEGER) AS n_errors,
        WHEN n_errors > 0 THEN 'fetch_failed' ELSE 'content_empty' END AS fail_reason FROM g""")
 def fail_reasons(spark: SparkSession, sf: str) -> DataFrame:
     """Failure reason of every record from its error list."""
-    r = error_records(_events(spark, sf))
-    return r.select("user_id", F.coalesce(F.size("errors"), F.lit(0)).cast("int").alias("n_errors"),
-                    Q.fail_reason(F.col("errors")).alias("fail_reason"))
+    ev = _events(spark, sf)
+    errs = error_records(ev).groupBy("user_id").agg(F.count("*").cast("int").alias("n_errors"),
+                                                    Q.fail_reason_of(F.col("error")).alias("fail_reason"))
+    return ev.select("user_id").distinct().join(errs, "user_id", "left").select(
+        "user_id", F.coalesce("n_errors", F.lit(0)).alias("n_errors"),
+        F.coalesce("fail_reason", F.lit("content_empty")).alias("fail_reason"))
 
 
 def fetch_log(ev: DataFrame) -> DataFrame:
@@ -283,17 +282,17 @@ def errors_by_origin(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("job_lifecycle", oracle="""WITH j AS (
   SELECT user_id AS job_id, event_id, ts,
-    CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'processing' WHEN 'purchase' THEN 'done'
-                    WHEN 'error' THEN 'failed' END AS status
-  FROM events WHERE event_type <> 'view')
+    CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'pending' WHEN 'click' THEN 'processing'
+                    WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' END AS status
+  FROM events)
 SELECT job_id, arg_max(status, (ts, event_id)) AS status, min(ts) FILTER (WHERE status = 'pending') AS created_at,
        max(ts) FILTER (WHERE status = 'processing') AS picked_at, count(*) AS n_events
 FROM j GROUP BY job_id""")
 def job_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
     """T3 (batch form): latest state of every job from its event log."""
-    ev = _events(spark, sf).filter(F.col("event_type") != "view")
+    ev = _events(spark, sf)
     log = ev.select(F.col("user_id").alias("job_id"), "event_id", "ts",
-                    F.when(F.col("event_type") == "signup", "pending")
+                    F.when(F.col("event_type").isin("signup", "view"), "pending")
                     .when(F.col("event_type") == "click", "processing")
                     .when(F.col("event_type") == "purchase", "done")
                     .otherwise("failed").alias("status"))

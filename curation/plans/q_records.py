@@ -116,30 +116,31 @@ def mirror_urls(spark: SparkSession, sf: str) -> DataFrame:
 
 def manual_table(spark: SparkSession, sf: str) -> DataFrame:
     """Manual texts keyed by raw link (English docs) or by canonical link
-    (French docs), joined to links through doc_id = page_id."""
+    (other docs); every document is dealt to a page by its id."""
+    n_pages = read_table(spark, sf, "pages").count()
     d = read_table(spark, sf, "documents").select("doc_id", "lang", "text")
     l = platform_links(spark, sf)
-    j = d.join(l, d["doc_id"] == l["page_id"], "inner")
-    return j.filter(F.col("lang").isin("en", "fr")).select(
+    j = d.join(l, F.pmod(d["doc_id"], F.lit(n_pages)) == l["page_id"], "inner")
+    return j.select(
         F.when(F.col("lang") == "en", F.col("url")).otherwise(canonical_url(F.col("url"))).alias("url"),
         F.col("text"))
 
 
 _MANUAL_SQL = f"""man AS (
   SELECT CASE WHEN d.lang = 'en' THEN l.url ELSE {S.canonical_url('l.url')} END AS url, max(d.text) AS text
-  FROM documents d JOIN links l ON d.doc_id = l.page_id WHERE d.lang IN ('en', 'fr') AND d.text <> '' GROUP BY 1),
+  FROM documents d JOIN links l ON d.doc_id % (SELECT count(*) FROM pages) = l.page_id WHERE d.text <> '' GROUP BY 1),
 lm AS (
   SELECT l.page_id, l.url, coalesce(a.text, b.text, '') AS manual_text
   FROM links l LEFT JOIN man a ON l.url = a.url LEFT JOIN man b ON {S.canonical_url('l.url')} = b.url)"""
 
 
 @register("manual_text", oracle=f"""WITH {_LINKS_SQL}, {_MANUAL_SQL}
-SELECT page_id, url, length(manual_text) AS manual_chars, substr(manual_text, 1, 40) AS manual_head FROM lm""")
+SELECT page_id, url, length(manual_text) AS manual_chars, sha256(manual_text) AS manual_sha256 FROM lm""")
 def manual_text(spark: SparkSession, sf: str) -> DataFrame:
     """Manual text per link by raw URL, else by canonical URL."""
     j = R.attach_manual_text(platform_links(spark, sf), manual_table(spark, sf))
     return j.select("page_id", "url", F.length("manual_text").alias("manual_chars"),
-                    F.substring("manual_text", 1, 40).alias("manual_head"))
+                    F.sha2("manual_text", 256).alias("manual_sha256"))
 
 
 @register("short_posts", oracle=f"""WITH {_LINKS_SQL}, {_MANUAL_SQL},

@@ -58,9 +58,9 @@ def incremental_feed(spark: SparkSession, sf: str) -> DataFrame:
 def job_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Job states from the replayed job log via a streaming aggregation;
     equals the batch job_lifecycle result."""
-    ev = read_table(spark, sf, "events").filter(F.col("event_type") != "view")
+    ev = read_table(spark, sf, "events")
     log = ev.select(F.col("user_id").alias("job_id"), "event_id", "ts",
-                    F.when(F.col("event_type") == "signup", "pending")
+                    F.when(F.col("event_type").isin("signup", "view"), "pending")
                     .when(F.col("event_type") == "click", "processing")
                     .when(F.col("event_type") == "purchase", "done")
                     .otherwise("failed").alias("status"))

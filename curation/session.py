@@ -28,6 +28,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # the literal bound of the budget's group limit (default budget)
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "4000")
         .config("spark.driver.memory", os.environ.get("CURATION_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
@@ -69,18 +71,5 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread(df):
-    """Spread a scan over the cluster when it has fewer splits than cores.
-
-    Text jobs are CPU-bound per row; a table stored as one row group is one
-    task.  Large inputs already have more splits than cores and are left
-    alone (no extra shuffle); only an under-split scan is repartitioned
-    round-robin (deterministic on retry, order carried by id columns)."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spread(spark.read.parquet(table_path(sf_dir, name)))
+    return spark.read.parquet(table_path(sf_dir, name))

@@ -58,7 +58,7 @@ def item_body(desc: Column, published: Column) -> Column:
 def parse_rss(feeds: DataFrame) -> DataFrame:
     """``feeds(feed_id, feed_url, xml)`` -> one row per ``<item>`` with its
     position: ``<channel>`` items, else root-level items."""
-    p = feeds.select("feed_id", "feed_url", F.from_xml("xml", RSS_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"))
+    p = feeds.select("feed_id", "feed_url", F.from_xml("xml", RSS_SCHEMA, {"mode": "PERMISSIVE", "ignoreNamespace": "true"}).alias("p"))
     items = F.when(F.size(F.coalesce(F.col("p.channel.item"), F.array())) > 0, F.col("p.channel.item")) \
         .otherwise(F.col("p.item"))
     out = p.filter(F.col("p._corrupt_record").isNull()).select(
@@ -80,7 +80,7 @@ def parse_atom(feeds: DataFrame) -> DataFrame:
     """``feeds(feed_id, feed_url, xml)`` -> one row per ``<entry>``; the URL is
     the first alternate link (a missing rel counts as alternate), else the
     first link with an href."""
-    p = feeds.select("feed_id", "feed_url", F.from_xml("xml", ATOM_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"))
+    p = feeds.select("feed_id", "feed_url", F.from_xml("xml", ATOM_SCHEMA, {"mode": "PERMISSIVE", "ignoreNamespace": "true"}).alias("p"))
     out = p.filter(F.col("p._corrupt_record").isNull()).select(
         "feed_id", "feed_url", _text(F.col("p.title")).alias("feed_title"),
         F.posexplode(F.col("p.entry")).alias("pos", "e"))
@@ -124,7 +124,7 @@ def feed_diagnostics(configs: DataFrame, fetched: DataFrame) -> DataFrame:
     missing = configs.filter(F.col("url").isNull() | (F.col("url") == "")).select(
         "idx", F.concat(F.lit("rss_feed_skipped:"), F.col("idx"), F.lit(": missing url")).alias("warning"))
     live = configs.filter((F.col("url") != "") & (F.coalesce("limit", F.lit(DEFAULT_FEED_LIMIT)) > 0))
-    parsed = fetched.select("feed_url", F.from_xml("xml", RSS_SCHEMA, {"mode": "PERMISSIVE"}).alias("p"))
+    parsed = fetched.select("feed_url", F.from_xml("xml", RSS_SCHEMA, {"mode": "PERMISSIVE", "ignoreNamespace": "true"}).alias("p"))
     bad = parsed.filter(F.col("p._corrupt_record").isNotNull()).select("feed_url")
     failed = live.join(bad, live["url"] == bad["feed_url"], "inner").select(
         "idx", F.concat(F.lit("rss_feed_failed:"), F.col("url"), F.lit(": "),

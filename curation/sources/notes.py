@@ -31,8 +31,10 @@ LINT_URL_RE = f"https?://[^{_SPACE_BODY})>'\"]+"
 
 def read_notes(spark: SparkSession, path_glob: str) -> DataFrame:
     """Markdown files as ``notes(path, md)``, one row per whole file."""
-    return (spark.read.option("wholetext", "true").text(path_glob)
-            .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("md")))
+    raw = spark.read.text(path_glob, wholetext=True)
+    # paths come percent-encoded; a plus sign in a name is no blank
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return raw.select(path.alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("md"))
 
 
 def front_matter(md: Column) -> Column:

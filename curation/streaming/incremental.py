@@ -65,11 +65,12 @@ def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str
     landed = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= first_day))
               .drop("batch_id", "day"))
     posts = exclude_types(lookback(landed, "created_at", as_of, POST_LOOKBACK_HOURS))
-    try:
+    seen_path = spark._jvm.org.apache.hadoop.fs.Path(seen_log)
+    if seen_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(seen_path):
         seen = (spark.read.parquet(seen_log).filter(F.col("batch_id") < batch_id)
                 .filter(F.col("seen_at") >= as_of - F.expr(f"INTERVAL {SEEN_RETENTION_DAYS} DAYS"))
                 .select(F.col("seen_id").alias("id")))
-    except Exception:  # noqa: BLE001  (no seen log yet on the first run)
+    else:  # the first run
         seen = spark.createDataFrame([], "id string")
     picked = cap_per_group(posts, ["account"], [F.col("created_at").desc(), F.col("id").desc()],
                            fetch_per_account, seen=seen, on="id", keep=keep)

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from brute import page_chunks
+from brute import page_part_faults
 from curation.operators.chunk import chunk_documents, split_message
 from curation.sources import notes as N
 
@@ -21,14 +21,17 @@ def test_page_profile_boundaries(spark):
     b = "x" * 400 + "\n\n" + "y" * 2000          # separator at 400 -> cut there
     c = "x" * 1799 + "\n\n" + "y" * 100          # separator straddles the window -> hard cut
     texts = [a, b, c, "", "  short  "]
-    assert _parts(spark, texts, "page") == [page_chunks(t) for t in texts]
+    assert _parts(spark, texts, "page") == [
+        ["x" * 399 + "\n\n" + "y" * 1399, "y" * 601], ["x" * 400, "y" * 1800, "y" * 200],
+        ["x" * 1799, "y" * 100], [""], ["short"]]
 
 
 def test_page_profile_random(spark):
     rnd = random.Random(11)
     texts = ["".join(rnd.choice(["word ", "\n\n", "\n", "é", " "]) for _ in range(rnd.randint(0, 2500)))
              for _ in range(30)]
-    assert _parts(spark, texts, "page") == [page_chunks(t) for t in texts]
+    for t, parts in zip(texts, _parts(spark, texts, "page")):
+        assert not page_part_faults(t, parts)
 
 
 def test_message_profile_rejoins_and_bounds(spark):
@@ -43,6 +46,15 @@ def test_message_profile_rejoins_and_bounds(spark):
     assert got[len(texts) - 3] == []                   # empty input: no part
 
 
+def test_read_notes_keeps_whole_files(spark, tmp_path):
+    folder = tmp_path / "20_Sources"
+    folder.mkdir()
+    (folder / "my note+1.md").write_bytes(b"---\r\ntitle: T\r\n---\r\nbody\r\nmore")
+    (folder / "plain.md").write_text("---\ntitle: P\n---\nx\ny\n")
+    got = {r.name: (r.fm["title"], r.md) for r in N.ingest_notes(N.read_notes(spark, str(folder))).collect()}
+    assert got == {"my note+1.md": ("T", "---\ntitle: T\n---\nbody\nmore"), "plain.md": ("P", "---\ntitle: P\n---\nx\ny\n")}
+
+
 def _notes(spark, items):
     df = spark.createDataFrame(items, "path string, md string")
     return N.ingest_notes(df)
