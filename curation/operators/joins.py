@@ -33,7 +33,7 @@ def domain_priority_join(df: DataFrame, url: str, domains: DataFrame, out: str =
     distinct host.
     """
     d = normalise_domains(domains)
-    n_domains = d.count()
+    n_domains = d.agg(F.count("*")).scalar()
     best = d.groupBy("domain").agg(F.min("idx").alias("idx"))
     # Priority depends on the host only: resolve each distinct host once.
     with_host = df.withColumn("_host", domain(F.col(url)))
@@ -41,5 +41,5 @@ def domain_priority_join(df: DataFrame, url: str, domains: DataFrame, out: str =
     sfx = hosts.select("_host", F.explode(host_suffixes(F.col("_host"))).alias("domain"))
     hits = sfx.join(best, "domain").groupBy("_host").agg(F.min("idx").alias("_idx"))
     res = with_host.join(hits, "_host", "left")
-    pr = F.when(F.col("_idx").isNull(), F.lit(0)).otherwise(F.greatest(F.lit(1), F.lit(n_domains) - F.col("_idx")))
+    pr = F.when(F.col("_idx").isNull(), F.lit(0)).otherwise(F.greatest(F.lit(1), n_domains - F.col("_idx")))
     return res.withColumn(out, pr.cast("int")).drop("_host", "_idx")

@@ -166,7 +166,7 @@ def digest_order() -> list[Column]:
 def selected_digest_document(lines: DataFrame) -> DataFrame:
     """Header and selected items as one Markdown document (bounded by the
     budget: at most ``budget`` items)."""
-    bounded = lines.filter(F.col("section") <= 2)
+    bounded = lines.filter(F.col("section").isin(0, 2))  # warnings have no bound
     parts = F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in LINE_COLS])))
     return bounded.agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n").alias("md"))
 

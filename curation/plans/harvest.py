@@ -1,15 +1,15 @@
 """Digest run: sources -> score -> dedupe -> budget -> manifest / digest.
 
-Bodies never travel through a shuffle: scoring runs where the page is read,
-dedupe and selection move only narrow rows, and bodies are re-attached for
-the selected rows alone (a broadcast of at most ``budget`` keys).
+Scoring runs where the page is read, dedupe and selection move only narrow
+rows, and bodies are re-attached for the selected rows alone (at most
+``budget`` keys).
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curation.functions.scoring import lifecycle_status, score_sources
@@ -67,6 +67,12 @@ def run_digest(sources: DataFrame, domains: Sequence[str], warnings: DataFrame,
     return sel, digest_lines(sel, bodies, warnings, budget)
 
 
+def arrival(family: int, part: Column, pos: Column) -> Column:
+    """Arrival order as a struct: family of inputs (links, starred repos,
+    feeds), place of the page or feed in it, place of the item in that."""
+    return F.struct(F.lit(family).alias("family"), part.cast("long").alias("part"), pos.cast("long").alias("pos"))
+
+
 def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
                   key: str = "ordinal", raw: DataFrame | None = None, extract=None) -> DataFrame:
     """Bodies for the selected rows only, by a semi-join on ``key`` with at
@@ -77,7 +83,9 @@ def attach_bodies(selection: DataFrame, sources: DataFrame, budget: int,
     if raw is not None and extract is not None:
         bodies = extract(raw.join(picked, key, "left_semi")).select(key, "body")
     else:
-        bodies = sources.join(picked, key, "left_semi").select(key, "body")
+        # an inner join on distinct keys: Spark 4.1 fails to push a semi-join
+        # into a union one of whose inputs is empty
+        bodies = sources.join(picked.distinct(), key).select(key, "body")
     return selection.filter("selected").join(bodies, key, "left")
 
 
@@ -89,7 +97,8 @@ def collect_sources(links: DataFrame, landed: DataFrame, manual: DataFrame | Non
 
     ``links(pos, url)``; ``landed(url, html)`` keyed by fetched URL;
     ``manual(url, text)``; ``feed_sources`` / ``star_sources`` in the
-    sources schema with ``pos``.  Returns sources with ``ordinal``.
+    sources schema with ``pos`` and, if items of several pages or feeds are
+    in it, ``page_no`` or ``feed_id``.  Returns sources with ``ordinal``.
     """
     from curation.functions.text import py_strip
     from curation.functions.urls import canonical_url, is_x_url
@@ -119,12 +128,11 @@ def collect_sources(links: DataFrame, landed: DataFrame, manual: DataFrame | Non
         .alias("method"),
         F.when(failed, F.array(F.lit("fetch_failed: page not landed"))).otherwise(F.col("errors")).alias("errors"),
         F.coalesce("metadata", F.create_map().cast("map<string,string>")).alias("metadata"))
-    out = web.unionByName(social, allowMissingColumns=True).withColumn("ordinal", F.col("pos").cast("long"))
-    family = 1
-    for extra in (star_sources, feed_sources):
+    out = web.unionByName(social, allowMissingColumns=True).withColumn("ordinal", arrival(0, F.lit(0), F.col("pos")))
+    for family, part, extra in ((1, "page_no", star_sources), (2, "feed_id", feed_sources)):
         if extra is not None:
-            family += 1
-            e = extra.withColumn("ordinal", F.lit(family * 1_000_000_000) + F.col("pos").cast("long"))
+            place = F.col(part) if part in extra.columns else F.lit(0)
+            e = extra.withColumn("ordinal", arrival(family, place, F.col("pos")))
             out = out.unionByName(e, allowMissingColumns=True)
     if "priority" not in out.columns:
         out = out.withColumn("priority", F.lit(0))

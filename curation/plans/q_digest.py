@@ -13,10 +13,10 @@ from curation.operators.dedupe import dedupe_best as dedupe_op
 from curation.operators.topk import top_digest
 from curation.plans import digest as D
 from curation.plans import sqlgen as S
-from curation.plans.harvest import run_digest, run_selection
+from curation.plans.harvest import arrival, collect_sources, run_digest, run_selection
 from curation.plans.q_docs import _REC_SQL, _excerpt_sql, doc_sources
 from curation.plans.q_feeds import _DOCS_SQL as FEED_SQL
-from curation.plans.q_feeds import feed_documents
+from curation.plans.q_feeds import feed_documents, star_pages
 from curation.plans.q_pages import BUDGET, PER_SOURCE, PRIORITY_DOMAINS, page_sources, pages_sql, selection_sql
 from curation.plans.registry import register
 from curation.session import materialize, read_table
@@ -25,7 +25,6 @@ from curation.sources.pages import ingest_pages
 
 RUN_ID = "run-1"
 SEEN_AT = "2024-01-31 00:00:00"
-FEED_FAMILY = 1_000_000_000
 
 
 def _run(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,11 +33,12 @@ def _run(spark: SparkSession, sf: str) -> DataFrame:
 
 def collected_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Links (landed pages) then feed items, in that arrival order."""
-    pages = page_sources(spark, sf).withColumn("priority", F.lit(0))
+    pages = page_sources(spark, sf).withColumn("priority", F.lit(0)) \
+        .withColumn("ordinal", arrival(0, F.lit(0), F.col("ordinal")))
     docs = feed_documents(spark, sf)
     live = docs.filter(F.col("url_cfg").isNotNull())
     feeds = FE.feed_sources(FE.parse_rss(live), live.select("feed_id", "limit", "priority"))
-    feeds = feeds.withColumn("ordinal", F.lit(FEED_FAMILY) + F.col("feed_id") * 10 + F.col("pos"))
+    feeds = feeds.withColumn("ordinal", arrival(2, F.col("feed_id"), F.col("pos")))
     return pages.unionByName(feeds, allowMissingColumns=True)
 
 
@@ -47,22 +47,70 @@ kept AS (
   SELECT i.* FROM items i JOIN cfg c ON i.feed_id = c.feed_id
   WHERE c.url_cfg IS NOT NULL AND c.lim > 0 AND i.url <> '' AND i.pos < (CASE WHEN c.lim = 1 THEN 1 ELSE 2 END)),
 u AS (
-  SELECT ordinal, canonical_url, title, body, 'fetch' AS method, 0 AS own FROM pg_src
+  SELECT 0 AS family, 0 AS part, ordinal AS pos, canonical_url, title, body, 'fetch' AS method, 0 AS own FROM pg_src
   UNION ALL
-  SELECT {FEED_FAMILY} + feed_id * 10 + pos, {S.canonical_url('url')},
+  SELECT 2, feed_id, pos, {S.canonical_url('url')},
          CASE WHEN item_title <> '' THEN item_title ELSE url END,
          CASE WHEN pos = 0 THEN {S.collapse('"desc"')} || chr(10) || published ELSE 'copy of item' END,
          'feed_fetch', 1 FROM kept),
 sc AS (SELECT *, greatest(own, {S.domain_priority('canonical_url', PRIORITY_DOMAINS)}) AS priority FROM u),
 sc2 AS (SELECT *, {S.quality('priority', 'title', 'body', 'method', '0')} AS quality_score FROM sc)
-SELECT canonical_url, ordinal, method, quality_score FROM (
-  SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY quality_score DESC, ordinal) AS rn FROM sc2)
+SELECT canonical_url, family, part, pos, method, quality_score FROM (
+  SELECT *, row_number() OVER (PARTITION BY canonical_url ORDER BY quality_score DESC, family, part, pos) AS rn FROM sc2)
 WHERE rn = 1""")
 def dedupe_best(spark: SparkSession, sf: str) -> DataFrame:
     """One source per canonical URL; best score, first arrival on ties."""
     s = score_sources(collected_sources(spark, sf), PRIORITY_DOMAINS)
     best = dedupe_op(s.select("canonical_url", "ordinal", "method", "quality_score"))
-    return best.select("canonical_url", "ordinal", "method", "quality_score")
+    return best.select("canonical_url", "ordinal.*", "method", "quality_score")
+
+
+@register("collected_run", oracle=f"""WITH {pages_sql(prefix='pg_')}, {FEED_SQL},
+kept AS (
+  SELECT i.* FROM items i JOIN cfg c ON i.feed_id = c.feed_id
+  WHERE c.url_cfg IS NOT NULL AND c.lim > 0 AND i.url <> '' AND i.pos < (CASE WHEN c.lim = 1 THEN 1 ELSE 2 END)),
+lk AS (
+  SELECT 2 * page_id AS pos, url FROM pages
+  UNION ALL SELECT 2 * page_id + 1, CASE WHEN page_id % 3 = 0 THEN 'https://x.com/u/status/' || page_id
+    WHEN page_id % 3 = 1 THEN url || '/gone' ELSE url END FROM pages),
+ck AS (SELECT pos, {S.canonical_url('url')} AS canonical_url, url LIKE 'https://x.com/%' AS social,
+              regexp_extract(url, 'status/([0-9]+)', 1) AS status FROM lk),
+land AS (
+  SELECT canonical_url, arg_min(body, (p.url, p.html)) AS body, arg_min(title, (p.url, p.html)) AS title
+  FROM pg_src s JOIN pages p ON p.page_id = s.ordinal GROUP BY canonical_url)
+SELECT 0 AS family, 0 AS part, ck.pos, ck.canonical_url,
+       CASE WHEN social THEN 'X/Twitter post ' || status ELSE coalesce(land.title, ck.canonical_url) END AS title,
+       CASE WHEN social THEN 'metadata_only' WHEN land.canonical_url IS NULL THEN 'fetch_failed' ELSE 'fetch' END AS method,
+       CASE WHEN social OR land.canonical_url IS NULL THEN 1 ELSE 0 END AS n_errors, sha256(coalesce(land.body, '')) AS body_sha256
+FROM ck LEFT JOIN land ON ck.canonical_url = land.canonical_url AND NOT ck.social
+UNION ALL
+SELECT 1, page_no, pos, {S.canonical_url('url')}, title, 'github_starred', 0, sha256(body) FROM (
+  SELECT * FROM (
+    SELECT page_id AS page_no, 0 AS pos, url, 'owner/' || page_id AS title,
+           concat_ws(chr(10), CASE WHEN t <> '' THEN t END, 'Topics: lang-' || lang || ', web',
+                     CASE WHEN lang <> '' THEN 'Language: ' || lang END) AS body
+    FROM (SELECT page_id, url, lower(regexp_extract(url, '://([^/?#]*)', 1)) AS host,
+                 regexp_extract(url, '/(en|fr|de|es)/', 1) AS lang, {S.page_title('html')} AS t FROM pages)
+    WHERE strpos(host, 'spam') = 0
+    UNION ALL SELECT page_id, 1, url || '/fork', url || '/fork', '' FROM pages) ORDER BY page_no, pos LIMIT 30)
+UNION ALL
+SELECT 2, feed_id, pos, {S.canonical_url('url')}, CASE WHEN item_title <> '' THEN item_title ELSE url END, 'feed_fetch', 0,
+       sha256(CASE WHEN pos = 0 THEN {S.collapse('"desc"')} || chr(10) || published ELSE 'copy of item' END) FROM kept""")
+def collected_run(spark: SparkSession, sf: str) -> DataFrame:
+    """One run over links (every page twice, as a repeat, a social post or
+    a link that was not landed), starred repos and feeds; a row per input."""
+    p = read_table(spark, sf, "pages")
+    again = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("https://x.com/u/status/"), F.col("page_id"))) \
+        .when(F.col("page_id") % 3 == 1, F.concat("url", F.lit("/gone"))).otherwise(F.col("url"))
+    links = p.select(F.posexplode(F.array("url", again)).alias("nth", "url"), "page_id") \
+        .select((F.col("page_id") * 2 + F.col("nth")).alias("pos"), "url")
+    docs = feed_documents(spark, sf)
+    live = docs.filter(F.col("url_cfg").isNotNull())
+    src = collect_sources(links, p.select("url", "html"),
+                          feed_sources=FE.feed_sources(FE.parse_rss(live), live.select("feed_id", "limit", "priority")),
+                          star_sources=FE.repo_stars(star_pages(spark, sf), 30))
+    return src.select("ordinal.*", "canonical_url", "title", "method", F.size("errors").alias("n_errors"),
+                      F.sha2("body", 256).alias("body_sha256"))
 
 
 @register("budget_summary", oracle=selection_sql() + f"""

@@ -4,7 +4,7 @@ priority (J1) and the message chunk profile (K5)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curation.functions import html as H
@@ -119,18 +119,18 @@ def embed_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def domain_list(spark: SparkSession, sf: str) -> DataFrame:
-    """Stand-in priority list: parent domains of the page hosts, sorted."""
+    """Stand-in priority list: parent domains of the page hosts, each placed
+    by its first page."""
     p = read_table(spark, sf, "pages")
     host = F.regexp_replace(F.lower(F.regexp_extract("url", "://([^/?#]*)", 1)), r"^www\.", "")
-    d = p.select(F.regexp_replace(host, r"^[^.]+\.", "").alias("domain")).distinct()
-    # The list is a parameter table (one row per distinct parent domain).
-    return d.withColumn("idx", F.row_number().over(Window.orderBy("domain")) - 1)
+    return (p.groupBy(F.regexp_replace(host, r"^[^.]+\.", "").alias("domain"))
+            .agg(F.min("page_id").alias("idx")))
 
 
 @register("domain_priority", oracle=f"""WITH d AS (
-  SELECT domain, row_number() OVER (ORDER BY domain) - 1 AS idx, count(*) OVER () AS n FROM (
-    SELECT DISTINCT regexp_replace(regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', ''), '^[^.]+\\.', '') AS domain
-    FROM pages)),
+  SELECT domain, min(page_id) AS idx, count(*) OVER () AS n FROM (
+    SELECT page_id, regexp_replace(regexp_replace(lower(regexp_extract(url, '://([^/?#]*)', 1)), '^www\\.', ''), '^[^.]+\\.', '') AS domain
+    FROM pages) GROUP BY domain),
 c AS (SELECT page_id, {S.canonical_url('url')} AS canonical_url FROM pages),
 h AS (SELECT *, {S.domain('canonical_url')} AS host FROM c)
 SELECT h.page_id, h.canonical_url, CAST(coalesce(max(greatest(1, d.n - d.idx)), 0) AS INTEGER) AS priority

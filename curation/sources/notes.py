@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from curation.functions.scoring import any_keyword
 from curation.functions.text import LINE_BREAK_SEQ, SPACE, let, py_strip
+from curation.session import materialize
 
 # Front-matter fields every source note must carry.
 REQUIRED_SOURCE_FIELDS = ["title", "source_url", "source_type", "captured_at", "status"]
@@ -64,33 +65,35 @@ def ingest_notes(notes: DataFrame) -> DataFrame:
     )
 
 
-def missing_fields(notes: DataFrame, required: Sequence[str] = REQUIRED_SOURCE_FIELDS) -> DataFrame:
-    """Source notes with required fields absent or empty."""
+def absent_fields(fm: Column, required: Sequence[str] = REQUIRED_SOURCE_FIELDS) -> Column:
+    """The required fields that a front matter lacks or leaves empty."""
     req = F.array(*[F.lit(f) for f in required])
     # The map is bound once; a plain reference inside the lambda would be
     # re-evaluated for every required field.
-    miss = let(F.col("fm"), lambda m: F.filter(req, lambda f: F.coalesce(m[f], F.lit("")) == ""))
-    return (notes.filter("is_source").select("path", miss.alias("missing"))
+    return let(fm, lambda m: F.filter(req, lambda f: F.coalesce(m[f], F.lit("")) == ""))
+
+
+def missing_fields(notes: DataFrame, required: Sequence[str] = REQUIRED_SOURCE_FIELDS) -> DataFrame:
+    """Source notes with required fields absent or empty."""
+    return (notes.filter("is_source").select("path", absent_fields(F.col("fm"), required).alias("missing"))
             .filter(F.size("missing") > 0))
 
 
-def promote_candidates(notes: DataFrame, words: Sequence[str] = PROMOTE_KEYWORDS) -> DataFrame:
-    """E19 on source notes: title + text hits a promote keyword."""
-    text = F.concat(F.coalesce(F.col("fm")["title"], F.lit("")), F.lit(" "), F.col("md"))
-    return notes.filter(F.col("is_source") & any_keyword(text, words)).select("path")
+def promotes(fm: Column, md: Column, words: Sequence[str] = PROMOTE_KEYWORDS) -> Column:
+    """E19 on a note: title + text hits a promote keyword."""
+    return any_keyword(F.concat(F.coalesce(fm["title"], F.lit("")), F.lit(" "), md), words)
 
 
-def note_urls(notes: DataFrame) -> DataFrame:
-    """Every URL occurrence in every note (own pattern, ``.,`` right-stripped)."""
-    urls = F.regexp_extract_all(F.col("md"), F.lit(LINT_URL_RE), 0)
-    return (notes.select("path", F.explode(urls).alias("url"))
-            .select("path", F.regexp_replace("url", "[.,]+$", "").alias("url")))
+def note_urls(md: Column) -> Column:
+    """The distinct URLs of a note (own pattern, ``.,`` right-stripped)."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(md, F.lit(LINT_URL_RE), 0),
+                                        lambda u: F.regexp_replace(u, "[.,]+$", "")))
 
 
 def duplicate_urls(notes: DataFrame, sample: int = DUPLICATE_SAMPLE) -> DataFrame:
     """A4: URLs that occur in more than one distinct note, with the count and
     the first ``sample`` paths (a hot URL never collects all its notes)."""
-    pairs = note_urls(notes).distinct()
+    pairs = notes.select("path", F.explode(note_urls(F.col("md"))).alias("url")).distinct()
     counts = pairs.groupBy("url").agg(F.count("*").alias("n_notes")).filter(F.col("n_notes") > 1)
     w = Window.partitionBy("url").orderBy("path")
     first = (pairs.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.lit(sample))
@@ -102,42 +105,71 @@ def unsynthesised(notes: DataFrame) -> DataFrame:
     """Raw notes whose file name occurs in no synthesis note.
 
     Every name ends in ``.md``, so a name occurs in a text exactly when it
-    ends at some ``.md`` occurrence.  For each distinct name length ``L`` a
-    look-ahead regex emits the ``L`` chars ending at every ``.md``; those
-    candidates are equi-joined to the names (no nested-loop join).  The set
-    of lengths is bounded by the longest file name.
+    ends at some ``.md`` occurrence.  One pass over the texts gives the
+    candidates of ``named``; they are equi-joined to the names (no
+    nested-loop join).
     """
-    raw = notes.filter("is_raw").select("path", "name")
-    synth = notes.filter("is_synthesis").select("md")
-    lengths = [r[0] for r in raw.select(F.length("name")).distinct().collect() if r[0] and r[0] >= 3]
-    if not lengths:
-        return raw.select("path")
-    cands = None
-    for n in sorted(lengths):
-        pat = f"(?s)(?=(.{{{n - 3}}}\\.md))"
-        c = synth.select(F.explode(F.regexp_extract_all("md", F.lit(pat), 1)).alias("name"))
-        cands = c if cands is None else cands.unionByName(c)
-    found = cands.distinct()
-    return raw.join(found, "name", "left_anti").select("path")
+    synth = notes.filter("is_synthesis").select("md", raw_name_shape(notes).alias("shape"))
+    found = synth.select(F.explode(named(F.col("md"), F.col("shape"))).alias("name"))
+    return notes.filter("is_raw").select("path", "name").join(found.distinct(), "name", "left_anti").select("path")
+
+
+def raw_name_shape(notes: DataFrame) -> Column:
+    """struct(lengths, inner) of the raw notes' names as a scalar subquery:
+    their distinct lengths (as many as the longest file name at most) and the
+    largest number of ``.md`` inside a name before its end."""
+    names = notes.filter(F.col("is_raw") & F.col("name").endswith(".md")).select("name")
+    return names.agg(F.struct(
+        F.collect_set(F.length("name")).alias("lengths"),
+        F.coalesce(F.max(F.size(F.split("name", r"\.md")) - 2), F.lit(0)).alias("inner"))).scalar()
+
+
+def named(md: Column, shape: Column) -> Column:
+    """The distinct substrings of ``md`` that end in ``.md`` and have one of
+    the lengths of ``shape``.  The text is cut at every ``.md``; what a name
+    that ends there can reach lies in the piece before it and in ``inner``
+    further ones."""
+    def before(pieces, inner):
+        return F.transform(F.sequence(F.lit(1), F.size(pieces) - 1), lambda i: F.concat(
+            F.array_join(F.slice(pieces, F.greatest(F.lit(1), i - inner), F.least(i, inner + 1)), ".md"),
+            F.lit(".md")))
+
+    def tails(s, pieces):
+        return F.array_distinct(F.flatten(F.transform(
+            before(pieces, s["inner"]),
+            lambda t: F.transform(F.filter(s["lengths"], lambda n: n <= F.length(t)), lambda n: F.right(t, n)))))
+
+    pieces = F.split(md, r"\.md")
+    return F.when(F.contains(md, F.lit(".md")), let(shape, lambda s: let(pieces, lambda p: tails(s, p)))) \
+        .otherwise(F.array().cast("array<string>"))
 
 
 def lint_summary(notes: DataFrame) -> DataFrame:
     """Counts, issue counts, ok flag and bounded, path-sorted samples
-    (one row; every part is an aggregate or a top-k)."""
-    counts = notes.agg(F.count("*").alias("total_notes"), F.count_if("is_source").alias("source_notes"),
-                       F.count_if("is_raw").alias("raw_notes"))
-    miss = missing_fields(notes).agg(F.count("*").alias("missing_frontmatter"))
-    dups = duplicate_urls(notes)
+    (one row; every part is an aggregate or a top-k).  The texts are read
+    once, for one narrow row per note that is written and serves all parts."""
+    fm, md = F.col("fm"), F.col("md")
+    facts = materialize(notes.withColumn("shape", raw_name_shape(notes)).select(
+        "path", "name", "is_source", "is_raw",
+        (F.col("is_source") & (F.size(absent_fields(fm)) > 0)).alias("lacks"),
+        (F.col("is_source") & promotes(fm, md)).alias("promotes"), note_urls(md).alias("urls"),
+        F.when(F.col("is_synthesis"), named(md, F.col("shape"))).alias("named")))
+    counts = facts.agg(F.count("*").alias("total_notes"), F.count_if("is_source").alias("source_notes"),
+                       F.count_if("is_raw").alias("raw_notes"), F.count_if("lacks").alias("missing_frontmatter"))
+    dups = (facts.select("path", F.explode("urls").alias("url")).distinct().groupBy("url").count()
+            .filter(F.col("count") > 1))
     dup = dups.agg(F.count("*").alias("duplicate_urls"))
+    found = facts.select(F.explode("named").alias("name")).distinct()
+    left = facts.filter("is_raw").join(found, "name", "left_anti")
     # Bounded samples: a top-k first, so each list holds at most k values.
     dup_sample = dups.select("url").orderBy("url").limit(DUPLICATE_SAMPLE).agg(
         F.array_sort(F.collect_list("url")).alias("duplicate_sample"))
-    promote = promote_candidates(notes).orderBy("path").limit(SAMPLE_LIMIT).agg(
+    promote = facts.filter("promotes").select("path").orderBy("path").limit(SAMPLE_LIMIT).agg(
         F.array_sort(F.collect_list("path")).alias("promote"))
-    unsyn = unsynthesised(notes).orderBy("path").limit(SAMPLE_LIMIT).agg(
+    unsyn = left.select("path").orderBy("path").limit(SAMPLE_LIMIT).agg(
         F.array_sort(F.collect_list("path")).alias("unsynthesised"))
     one = counts
-    for other in (miss, dup, dup_sample, promote, unsyn):
+    for other in (dup, dup_sample, promote, unsyn):
         one = one.unionByName(other, allowMissingColumns=True)
     out = one.agg(*[F.max(c).alias(c) for c in ["total_notes", "source_notes", "raw_notes",
                                                   "missing_frontmatter", "duplicate_urls"]],

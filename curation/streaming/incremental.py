@@ -14,8 +14,8 @@ is written per batch and the latest row per job is the state.
 
 All folders live under the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster).  Landed posts are partitioned by day so a run reads
-only the days inside its lookback; the seen log is filtered by age.  A
-long-running deployment compacts both by rewriting them to a new path.
+only the days inside its lookback; the seen log is partitioned by run day, and
+a run reads only the days inside the retention.
 """
 
 from __future__ import annotations
@@ -53,13 +53,17 @@ def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str
               sink: str, fetch_per_account: int, keep: int) -> None:
     (batch.withColumn("day", F.to_date("created_at")).write.mode("overwrite").partitionBy("day")
      .parquet(f"{landing}/batch_id={batch_id}"))
-    # The run clock is the newest post of the batch, carried as text and cast
-    # back to the column's own type (independent of time zones).
+    # The run clock is the newest post landed so far, so a batch of late posts
+    # does not move it back; only days from the batch's newest on are read.
+    # It is carried as text and cast back to the column's own type
+    # (independent of time zones).
     ts_type = dict(batch.dtypes)["created_at"]
-    as_of_row = batch.agg(F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).collect()[0]
-    if as_of_row["t"] is None:
+    newest = batch.agg(F.to_date(F.max("created_at")).cast("string")).collect()[0][0]
+    if newest is None:
         return
-    as_of = F.lit(as_of_row["t"]).cast(ts_type)
+    clock = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= F.lit(newest)))
+             .agg(F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()[0][0])
+    as_of = F.lit(clock).cast(ts_type)
     first_day = F.to_date(as_of - F.expr(f"INTERVAL {POST_LOOKBACK_HOURS} HOURS"))
     # Day partitions outside the lookback are pruned before any file is read.
     landed = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= first_day))
@@ -67,8 +71,11 @@ def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str
     posts = exclude_types(lookback(landed, "created_at", as_of, POST_LOOKBACK_HOURS))
     seen_path = spark._jvm.org.apache.hadoop.fs.Path(seen_log)
     if seen_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(seen_path):
-        seen = (spark.read.parquet(seen_log).filter(F.col("batch_id") < batch_id)
-                .filter(F.col("seen_at") >= as_of - F.expr(f"INTERVAL {SEEN_RETENTION_DAYS} DAYS"))
+        oldest = as_of - F.expr(f"INTERVAL {SEEN_RETENTION_DAYS} DAYS")
+        # days that are all older are pruned before any file is read
+        seen = (spark.read.schema(f"seen_id string, seen_at {ts_type}, batch_id long, day date").parquet(seen_log)
+                .filter((F.col("batch_id") < batch_id) & (F.col("day") >= F.to_date(oldest))
+                        & (F.col("seen_at") >= oldest))
                 .select(F.col("seen_id").alias("id")))
     else:  # the first run
         seen = spark.createDataFrame([], "id string")
@@ -77,8 +84,8 @@ def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str
     picked = picked.withColumn("run_at", as_of)
     picked.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
     (spark.read.parquet(f"{sink}/batch_id={batch_id}")
-     .select(F.col("id").alias("seen_id"), F.col("run_at").alias("seen_at"))
-     .write.mode("overwrite").parquet(f"{seen_log}/batch_id={batch_id}"))
+     .select(F.col("id").alias("seen_id"), F.col("run_at").alias("seen_at"), F.to_date("run_at").alias("day"))
+     .write.mode("overwrite").partitionBy("day").parquet(f"{seen_log}/batch_id={batch_id}"))
 
 
 def run_incremental_feed(spark: SparkSession, source_dir: str, schema: str, root: str,
