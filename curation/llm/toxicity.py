@@ -7,8 +7,10 @@ taken over it, with document frequencies of all documents.  A text's nearest
 examples are found exactly: an inverted index keeps each term's postings in
 blocks of examples with the block's largest weight; blocks are visited in
 falling order of their bound, until no bound can reach the k-th best.  The
-neighbours vote, weighted by cosine; the vote is corrected for the sampled
-class sizes, and pulled to the base rate when little evidence supports it.
+neighbours vote, weighted by the square of the cosine (the share of the
+text's squared length that lies along the example); the vote is corrected for
+the sampled class sizes, and pulled to the base rate when little evidence
+supports it.
 A text without any vocabulary term has no neighbour; its score is the share
 of toxic labels among such examples.
 
@@ -138,7 +140,7 @@ class Model:
     def score(self, term: np.ndarray, count: np.ndarray):
         """The score of one text with terms, its neighbours and cosines."""
         best, cos = self.index.nearest(term, unit_tfidf(term, count, self.idf), self.k)
-        w = cos * self.class_weight[self.labels[best]]
+        w = cos * cos * self.class_weight[self.labels[best]]
         # as much as one neighbour of the rarer class at cosine 1
         pull = self.class_weight[self.class_weight > 0].min()
         vote = (w * self.labels[best]).sum() + pull * self.base
