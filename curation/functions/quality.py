@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from curation.functions.text import let, py_strip
 from curation.functions.urls import netloc
 
+# A fetched transcript is used above the one, a local one is
+# rejected below the other.
+API_MIN_CHARS, LOCAL_MIN_CHARS = 100, 50
 # Separators of outline sentences.
 OUTLINE_SPLIT = "[\n。!?！？]+"
 # All Chinese hint words lie inside this block, so one class is exact.
@@ -76,6 +79,13 @@ def quality_gate(title: Column, body: Column, min_chars: int = 300) -> Column:
                     (chars >= min_chars).alias("enough"))
 
 
+def transcript_gate(text: Column) -> Column:
+    """E14 of transcripts: struct(chars, usable: over 100, too_short: under
+    50)."""
+    n = F.length(F.coalesce(text, F.lit("")))
+    return F.struct(n.alias("chars"), (n > API_MIN_CHARS).alias("usable"), (n < LOCAL_MIN_CHARS).alias("too_short"))
+
+
 def outline(url: Column, body: Column) -> Column:
     """struct(core_claim, support_points, quote_zh, quote_en, tags)."""
     host = F.lower(netloc(url))

@@ -19,6 +19,8 @@ KEEP_PER_ACCOUNT = 3
 SEEN_RETENTION_DAYS = 7
 # Post types dropped before the cap.
 EXCLUDED_TYPES = ["retweet", "reply"]
+# Errors of feeds that could not be fetched.
+MISSING_FEED = {"x": "Could not fetch tweet feed", "podcasts": "Could not fetch podcast feed"}
 
 POSTS_SCHEMA = ("account string, id string, created_at timestamp, text string, note_text string, type string, "
                 "metrics struct<like_count:int,retweet_count:int,reply_count:int>, "
@@ -62,7 +64,10 @@ def select_new_posts(posts: DataFrame, seen: DataFrame, as_of: Column) -> DataFr
 
 
 def feed_by_account(selected: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """K3: one nested row per account that has new posts (others omitted)."""
+    """K3: one nested row per account that has new posts (others omitted),
+    with name and bio when ``accounts`` (as ``resolve_accounts`` gives them)
+    are passed; accounts that were not found then have no feed.  The cap per
+    account bounds the nested posts."""
     post = F.struct("id", "text", "created_at", "url", "likes", "retweets", "replies", "is_quote", "quoted_id")
     g = selected.groupBy("account").agg(
         F.sort_array(F.collect_list(F.struct(F.col("created_at").alias("_t"), F.col("id").alias("_i"),
@@ -70,7 +75,8 @@ def feed_by_account(selected: DataFrame, accounts: DataFrame | None = None) -> D
     g = g.select("account", F.transform("_ps", lambda x: x["p"]).alias("posts"),
                  F.size("_ps").alias("n_posts"))
     if accounts is not None:
-        g = g.join(accounts, "account", "left")
+        found = accounts.filter(F.col("error").isNull())
+        g = g.join(found.select(F.col("handle").alias("account"), "name", "bio"), "account")
     return g
 
 
@@ -89,6 +95,37 @@ def resolve_accounts(accounts: DataFrame, users: DataFrame) -> DataFrame:
                                           F.concat(F.lit("X API: User not found: "), F.col("handle"))))
 
 
+def assemble_feeds(runs: DataFrame, feeds: DataFrame, entries: DataFrame, run: str = "run"
+                   ) -> tuple[DataFrame, DataFrame]:
+    """``(headers, entries)`` of the combined digest input.
+
+    ``runs(run)`` are the digest runs, ``feeds(run, kind, generated_at)`` the
+    feeds that were fetched for them (kinds ``x`` and ``podcasts``) and
+    ``entries(run, kind, n_posts, ...)`` their entries.  A header row holds
+    the statistics, the time of the post feed (else of the podcast feed) and
+    an error for each feed that is missing; a missing feed has no entries.
+    Entries stay rows, so a run of any size is spread over tasks.
+    """
+    there = feeds.filter(F.col("kind").isin(*MISSING_FEED)).groupBy(run, "kind").agg(
+        F.max("generated_at").alias("generated_at"))
+    kept = entries.join(there.select(run, "kind"), [run, "kind"], "left_semi")
+    none = F.lit(None)
+    facts = runs.select(run, none.cast("string").alias("kind"), F.lit(False).alias("entry"),
+                        none.cast("long").alias("n_posts"), none.cast(dict(feeds.dtypes)["generated_at"]).alias("generated_at"))
+    for rows, entry, posts, at in ((there, False, none, F.col("generated_at")), (kept, True, F.col("n_posts"), none)):
+        facts = facts.unionByName(rows.select(run, "kind", F.lit(entry).alias("entry"), posts.cast("long").alias("n_posts"),
+                                              at.cast(dict(feeds.dtypes)["generated_at"]).alias("generated_at")))
+    x, pod = F.col("kind") == "x", F.col("kind") == "podcasts"
+    head = facts.groupBy(run).agg(
+        F.count_if(pod & F.col("entry")).alias("podcast_episodes"), F.count_if(x & F.col("entry")).alias("x_builders"),
+        F.coalesce(F.sum(F.when(x, F.col("n_posts"))), F.lit(0)).alias("total_posts"),
+        F.coalesce(F.max(F.when(x, F.col("generated_at"))), F.max(F.when(pod, F.col("generated_at"))))
+        .alias("feed_generated_at"),
+        F.array_compact(F.array(*[F.when(F.count_if(F.col("kind") == k) == 0, F.lit(e))
+                                  for k, e in MISSING_FEED.items()])).alias("errors"))
+    return runs.select(run).distinct().join(head, run), kept
+
+
 def layered_lookup(keys: DataFrame, layers: Sequence[tuple[DataFrame, bool]]) -> DataFrame:
     """The value of the first layer that has the key.
 

@@ -32,10 +32,15 @@ def assemble_transcripts(segments: DataFrame, key: str = "doc", seq: str = "seq"
                                      F.count("*").alias("n_segments"))
 
 
+def has_content(records: DataFrame, text: str = "body") -> DataFrame:
+    """the records whose text is not blank."""
+    return records.filter(py_strip(F.coalesce(text, F.lit(""))) != "")
+
+
 def combine_texts(records: DataFrame, run: str = "run", order: str = "ordinal") -> DataFrame:
     """Per run, ``[platform] title\\nbody`` of records with a non-blank
     body, in input order, joined by a blank line."""
-    ok = records.filter(py_strip(F.coalesce("body", F.lit(""))) != "")
+    ok = has_content(records)
     item = F.concat(F.lit("["), F.col("platform"), F.lit("] "), F.coalesce("title", F.lit("")), F.lit("\n"),
                     F.col("body"))
     parts = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), item.alias("t"))))

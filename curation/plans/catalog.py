@@ -14,6 +14,7 @@ MODULES = [
     "curation.plans.q_digest",
     "curation.plans.q_extract",
     "curation.plans.q_stream",
+    "curation.plans.q_flows",
 ]
 
 

@@ -209,13 +209,13 @@ SELECT d.doc_id AS request_id, {_platform_sql('l.url', 'inject')} AS source_type
        {_platform_sql('l.url', 'inject')} || ' (本地转录注入)' AS title,
        CASE WHEN d.lang = 'en' THEN 'zh+en' ELSE d.lang END AS language,
        CAST(length(d.text) + length(regexp_replace(d.text, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) AS INTEGER) AS chars,
-       'manual_inject' AS method, CASE WHEN length(d.text) + length(regexp_replace(d.text, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) < 300 THEN '正文不足300字' END AS need_material
+       'manual_inject' AS method, sha256(d.text) AS transcript_sha256, CASE WHEN length(d.text) + length(regexp_replace(d.text, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')) < 300 THEN '正文不足300字' END AS need_material
 FROM documents d JOIN links l ON d.doc_id = l.page_id""")
 def raw_text_intake(spark: SparkSession, sf: str) -> DataFrame:
     """Inline text bypass; requests without links are rejected."""
     items, _rejected = R.raw_text_intake(intake_requests(spark, sf))
     return items.select("request_id", "source_type", "source_url", "title", "language", "chars", "method",
-                        "need_material")
+                        F.sha2("transcript", 256).alias("transcript_sha256"), "need_material")
 
 
 @register("raw_text_rejected", oracle=f"""WITH {_LINKS_SQL}
@@ -269,14 +269,14 @@ def transcripts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("handoff_items", oracle=f"""WITH {_CONV_SQL}
 SELECT conv_id, CASE WHEN platform = 'xiaohongshu' THEN 'xhs' ELSE platform END AS source_type, url AS source_url,
-       title, length({S.strip('body')}) AS chars, 'zh+en' AS language, 'transcript_api' AS method
+       title, length({S.strip('body')}) AS chars, 'zh+en' AS language, 'transcript_api' AS method, sha256(body) AS transcript_sha256
 FROM rec2 WHERE body <> ''""")
 def handoff_items(spark: SparkSession, sf: str) -> DataFrame:
     """K4: records mapped to the hand-off schema (empty transcripts dropped)."""
     r = conversation_records(spark, sf).withColumn("run", F.lit("r")).withColumn("ordinal", F.col("conv_id"))
     h = R.handoff_items(r)
     return h.select(F.col("ordinal").alias("conv_id"), "source_type", "source_url", "title", "chars", "language",
-                    "method")
+                    "method", F.sha2("transcript", 256).alias("transcript_sha256"))
 
 
 @register("platform_set", oracle=f"""WITH {_CONV_SQL}

@@ -76,9 +76,10 @@ def resolve_cache(requests: DataFrame, cache: DataFrame, fetched: DataFrame, ref
         misses = req.join(cache.select("url_hash"), "url_hash", "left_anti")
     served = hits.select("url", "url_hash", F.col("title"), F.col("text"), F.lit(hit_m).alias("method"))
     fresh = misses.join(fetched.withColumnRenamed("url", "_fu"), F.col("url") == F.col("_fu"), "left")
-    fields = page_fields(F.col("html"))
     if feed:  # a feed is kept as it is: its reader needs the XML
-        fields["title"], fields["body"], fields["cleaner"] = F.lit(""), F.col("html"), F.lit("none")
+        fields = F.struct(F.lit("").alias("title"), F.col("html").alias("body"), F.lit("none").alias("cleaner"))
+    else:
+        fields = page_fields(F.col("html"))
     fresh = fresh.select("url", "url_hash", fields["title"].alias("title"), fields["body"].alias("text"),
                          F.when(F.col("html").isNull(), F.lit("fetch_failed")).otherwise(F.lit(miss_m))
                          .alias("method"), fields["cleaner"].alias("cleaner"))
