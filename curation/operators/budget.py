@@ -10,7 +10,7 @@ chosen.  Each map task keeps only those per class (an exact partial top-k,
 so a dense class ships at most ``floor(B / n)`` rows per task), and a window
 per class after the shuffle applies the same bound.  At most ``B * H(cap)``
 rows reach the sequential walk whatever the input size; the walk then runs
-per budget key in ``applyInPandas``.
+over all budget keys of a partition in turn, in ``mapInPandas``.
 """
 
 from __future__ import annotations
@@ -22,9 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Rows that a map task of the partial top-k holds, at most, before it prunes.
+PRUNE_ROWS = 100_000
+
+
 def rank_order():
     return [F.col("quality_score").desc(), F.col("priority").desc(), F.col("canonical_url").asc()]
 
+
 def rank_sources(df: DataFrame) -> DataFrame:
     """The total order used for selection and the digest."""
     return df.orderBy(*rank_order())
@@ -32,21 +37,36 @@ def rank_sources(df: DataFrame) -> DataFrame:
 
 def _partial_topk_factory(budget: int, keys: list[str]):
     """Per map task: keep, for every (key, needed) class, only its first
-    ``floor(budget / needed)`` rows in rank order.  Batches are folded one at
-    a time, so memory stays bounded by ``budget * H(cap)`` rows per key."""
+    ``floor(budget / needed)`` rows in rank order.
+
+    Rows gather up to ``PRUNE_ROWS`` before they are sorted and pruned.  What
+    is left after that is sent on when it is over half of the limit, as with
+    many keys: the window behind the shuffle prunes it again, so this is exact
+    with memory for ``PRUNE_ROWS`` rows and a batch, whatever the keys."""
     group = keys + ["needed"]
     order = group + ["quality_score", "priority", "canonical_url"]
     ascending = [True] * len(group) + [False, False, True]
 
+    def pruned(parts):
+        rows = pd.concat(parts, ignore_index=True).sort_values(order, ascending=ascending, kind="mergesort")
+        place = rows.groupby(group, sort=False, dropna=False).cumcount().to_numpy()
+        return rows[place < budget // rows["needed"].to_numpy()]
+
     def keep_top(it):
-        kept = None
+        parts, held = [], 0
         for pdf in it:
-            cur = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            cur = cur.sort_values(order, ascending=ascending, kind="mergesort")
-            rank = cur.groupby(group, sort=False).cumcount().to_numpy()
-            kept = cur[rank < (budget // cur["needed"].to_numpy())]
-        if kept is not None and len(kept):
-            yield kept
+            parts.append(pdf)
+            held += len(pdf)
+            if held < PRUNE_ROWS:
+                continue
+            left = pruned(parts)
+            if 2 * len(left) > PRUNE_ROWS:
+                yield left
+                parts, held = [], 0
+            else:
+                parts, held = [left], len(left)
+        if held:
+            yield pruned(parts)
     return keep_top
 
 
@@ -71,20 +91,22 @@ def budget_candidates(df: DataFrame, budget: int, per_source: int, keys: Sequenc
             .filter((F.col("_c") <= F.lit(budget)) & (F.col("_c") <= F.floor(F.lit(budget) / F.col("needed")))))
 
 
-def _walk_factory(budget: int, keys: list[str]):
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["quality_score", "priority", "canonical_url"],
-                              ascending=[False, False, True], kind="mergesort")
-        need = pdf["needed"].to_numpy(dtype=np.int64)
-        take = np.zeros(len(need), dtype=bool)
-        remaining = budget
-        for i, n in enumerate(need):
-            if n <= remaining:
-                take[i] = True
-                remaining -= n
-        out = pdf.loc[take, keys + ["canonical_url", "needed"]].rename(columns={"needed": "selected_tokens"})
-        out["pick_rank"] = np.arange(1, len(out) + 1, dtype=np.int32)  # order among the picks
-        return out
+def _walk_factory(budget: int, columns: list[str]):
+    """The greedy walk over rows that stand key by key in rank order; row 1 of
+    a key (``_n``) starts its budget.  Only the budget left is kept."""
+    def walk(batches):
+        left, rank = budget, 0
+        for pdf in batches:
+            place = np.zeros(len(pdf), dtype=np.int32)
+            for i, (cost, n) in enumerate(zip(pdf["needed"].tolist(), pdf["_n"].tolist())):
+                if n == 1:
+                    left, rank = budget, 0
+                if cost <= left:
+                    left, rank = left - cost, rank + 1
+                    place[i] = rank
+            out = pdf.loc[place > 0, columns + ["needed"]].rename(columns={"needed": "selected_tokens"})
+            out["pick_rank"] = place[place > 0]  # order among the picks
+            yield out
     return walk
 
 
@@ -99,13 +121,15 @@ def select_for_budget(df: DataFrame, budget: int = 4000, per_source: int = 900,
     materialised table when it is expensive to compute.
     """
     keys = list(keys)
-    cand = budget_candidates(df, budget, per_source, keys)
+    cand = budget_candidates(df, budget, per_source, keys).drop("_c")
     group = keys or ["_g"]
     if not keys:
         cand = cand.withColumn("_g", F.lit(0))
-    schema = ", ".join([f"{k} {dict(df.dtypes)[k]}" for k in keys] + ["canonical_url string",
-                                                                        "selected_tokens int", "pick_rank int"])
-    picks = cand.groupBy(*group).applyInPandas(_walk_factory(budget, keys), schema)
+    walk_order = Window.partitionBy(*group).orderBy(*rank_order())
+    cand = cand.withColumn("_n", F.row_number().over(walk_order)).sortWithinPartitions(*group, "_n")
+    columns = keys + ["canonical_url"]
+    schema = ", ".join([f"{k} {dict(df.dtypes)[k]}" for k in columns] + ["selected_tokens int", "pick_rank int"])
+    picks = cand.mapInPandas(_walk_factory(budget, columns), schema)
     out = df.join(picks, on=keys + ["canonical_url"], how="left")
     return (out.withColumn("selected", F.col("selected_tokens").isNotNull())
             .withColumn("selected_tokens", F.coalesce(F.col("selected_tokens"), F.lit(0))))

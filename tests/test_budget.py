@@ -1,10 +1,12 @@
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from brute import best_selection, selection_faults
 from curation.functions.scoring import score_sources
-from curation.operators.budget import budget_candidates, select_for_budget
+from curation.operators.budget import PRUNE_ROWS, _partial_topk_factory, budget_candidates, select_for_budget
 
 
 def _sources(spark, rows):
@@ -54,6 +56,34 @@ def test_per_key_budgets(spark):
     assert got == {"a": 8, "c": 9}
 
 
+def test_partial_topk_holds_few_rows_with_a_million_keys():
+    topk = _partial_topk_factory(4000, ["k"])
+    seen = []
+
+    def batches():
+        for at in range(0, 1_000_000, 10_000):
+            i = np.arange(at, at + 10_000)
+            seen.append(len(i))
+            yield pd.DataFrame({"k": i, "canonical_url": "u", "quality_score": 1, "priority": 0, "needed": 900})
+    rows, sent = 0, 0
+    for out in topk(batches()):
+        assert len(out) <= PRUNE_ROWS + 10_000 and sum(seen) - sent <= PRUNE_ROWS + 10_000
+        rows, sent = rows + len(out), sent + len(out)
+    assert rows == 1_000_000
+    # one key: every batch is pruned to its bound
+    few = topk(pd.DataFrame({"k": 0, "canonical_url": [f"u{x}" for x in range(at, at + 10_000)], "quality_score": 1,
+                             "priority": 0, "needed": 900}) for at in range(0, 300_000, 10_000))
+    assert [f["canonical_url"].tolist() for f in few] == [["u0", "u1", "u10", "u100"]]
+
+
+def test_many_keys_each_with_a_budget(spark):
+    df = spark.range(150_000).select(
+        F.concat(F.lit("k"), F.col("id") % 50_000).alias("k"), F.concat(F.lit("u"), F.col("id")).alias("canonical_url"),
+        (F.col("id") / 50_000).cast("int").alias("quality_score"), F.lit(0).alias("priority"), F.lit(5).alias("approx_tokens"))
+    got = select_for_budget(df, 9, 100, keys=["k"])
+    assert got.filter("selected").agg(F.count("*"), F.min("quality_score")).first()[:] == (50_000, 2)
+
+
 def test_candidates_are_bounded_and_group_limited(spark):
     # 3000 rows in one token class: only floor(B / n) can ever be picked.
     rows = [(f"u{i}", i % 7, 0, 900) for i in range(3000)]
