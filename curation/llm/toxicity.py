@@ -1,22 +1,27 @@
 """Operator 4: toxicity by nearest labelled examples under TF-IDF cosine.
 
 Terms are words (A-Z lower-cased) and their first 4, 5 and 6 bytes, so that a
-stem is met again in words never seen before.  The vocabulary holds the terms
-that labelled toxic examples have far more often than clean ones; TF-IDF is
-taken over it, with document frequencies of all documents.  A text's nearest
-examples are found exactly: an inverted index keeps each term's postings in
-blocks of examples with the block's largest weight; blocks are visited in
-falling order of their bound, until no bound can reach the k-th best.  The
-neighbours vote, weighted by the square of the cosine (the share of the
-text's squared length that lies along the example); the vote is corrected for
-the sampled class sizes, and pulled to the base rate when little evidence
-supports it.
-A text without any vocabulary term has no neighbour; its score is the share
-of toxic labels among such examples.
+stem is met again in words never seen before.  Every term of every labelled
+example is indexed; a term weighs its TF-IDF (document frequencies of all
+documents) times its lean: the squared phi coefficient with the toxic label
+where toxic examples hold it more often, and ``FLOOR`` besides, so that no
+term is without weight (with plain TF-IDF the topic of a text outvotes its
+toxic words).  Terms of a text that no example holds count in its length.  A
+text's nearest examples are found exactly: an inverted index keeps each
+term's postings in blocks of examples with the block's largest weight; blocks
+are visited in falling order of their bound, until no bound can reach the
+k-th best.  The neighbours vote, weighted by the share of the text's squared
+length that lies along the example over the share that does not, so that an
+example the text copies decides; the vote is corrected for the sampled class
+sizes, and pulled to the base rate when little evidence supports it.  Equal
+example texts of a class are one example, so copies neither vote nor count
+twice.
+A text that shares no term with an example has no neighbour; its score is the
+share of toxic labels among examples without terms.
 
 Scale: two passes over the texts (document frequencies; scores), both without
-a shuffle of texts.  What is broadcast and collected is bounded by parameters:
-``examples`` labelled rows of each class, ``max_terms`` terms.  Document
+a shuffle of texts.  What is broadcast and collected is bounded:
+``examples`` labelled rows of each class, with all of their terms.  Document
 frequencies are summed per task before they are shuffled.
 
 Defined results: null and empty texts are texts without terms; labels that
@@ -40,14 +45,15 @@ from pyspark.sql import types as T
 from .common import (ALNUM, LOWER, checkpoint, flat_text, mix64, ranges, table, text_slices, word_hashes,
                      word_spans)
 
-#: Labelled examples of each class, and vocabulary terms, at most.
+#: Labelled examples of each class, at most.
 EXAMPLES = 2000
-MAX_TERMS = 8192
-#: A term needs so many toxic examples, such a share of them (the words of a
-#: text with some copies do not make a term), such odds and such a chi-square.
-MIN_TOXIC, MIN_SHARE, MIN_ODDS, MIN_CHI2 = 4, 0.01, 4.0, 25.0
+#: The lean of a term that tells the classes apart in no way.
+FLOOR = 1e-4
 NEIGHBOURS = 15
 BLOCK = 64
+#: Share of the examples from which on a term is common, and the relative
+#: error that single precision may have.
+COMMON, SLACK = 0.02, 2e-4
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -66,90 +72,162 @@ def terms(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate(rows)
 
 
-def term_counts(arr: pa.Array, vocab: np.ndarray):
+def counted(row: np.ndarray, term: np.ndarray):
+    """(text, term, count) of each distinct term, ordered by text and term."""
+    by = np.lexsort((term, row))
+    term, row = term[by], row[by]
+    new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (row[1:] != row[:-1]))[:len(term)])
+    return row[new], term[new], np.diff(np.append(new, len(term)))
+
+
+def term_counts(arr: pa.Array, vocab: np.ndarray, others: bool = True):
     """(text, vocabulary index, count) of the vocabulary's terms in some
-    texts, ordered by text; ``vocab`` is sorted."""
+    texts, ordered by text, and (text, term, count) of the other terms (none
+    unless ``others``); ``vocab`` is sorted."""
     t, row = terms(arr)
     if not len(vocab):
         z = np.zeros(0, np.int64)
-        return z, z, z
+        return (z, z, z), counted(row, t) if others else (z, z, z)
     k = np.minimum(np.searchsorted(vocab, t), len(vocab) - 1)
     hit = vocab[k] == t
     pair, n = np.unique(row[hit] * len(vocab) + k[hit], return_counts=True)
-    return pair // len(vocab), pair % len(vocab), n
+    rest = ~hit & others
+    return (pair // len(vocab), pair % len(vocab), n), counted(row[rest], t[rest])
 
 
 class BlockMaxIndex:
-    """Exact nearest examples under the cosine of sparse unit vectors."""
+    """Exact nearest examples under the cosine of sparse unit vectors.
+
+    Terms of more than a share ``COMMON`` of the examples stand in a matrix in
+    single precision, the others in postings by block.  What is within
+    ``SLACK`` of the k-th best is scored again in double precision."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         """rows: for each example the term indexes and unit weights."""
         self.n, self.block = len(rows), block
         self.blocks = max(1, -(-self.n // block))
-        size = np.array([len(r[0]) for r in rows], dtype=np.int64)
-        term = np.concatenate([r[0] for r in rows]) if rows else np.zeros(0, np.int64)
+        self.size = np.array([len(r[0]) for r in rows], dtype=np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        term = np.concatenate([r[0] for r in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
         weight = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
-        example = np.repeat(np.arange(self.n), size)
-        by = np.lexsort((example, term))
-        term, self.weight, self.example = term[by], weight[by], example[by]
+        example = np.repeat(np.arange(self.n), self.size)
+        self.term, self.weight = term, weight  # by example
+        self.query = np.zeros(n_terms)
+        often = np.flatnonzero(np.bincount(term, minlength=n_terms) > COMMON * self.n)
+        self.place = np.full(n_terms, -1)
+        self.place[often] = np.arange(len(often))
+        at = self.place[term]
+        self.common = np.zeros((len(often), self.n), np.float32)
+        self.common[at[at >= 0], example[at >= 0]] = weight[at >= 0]
+        term, weight, example = term[at < 0], weight[at < 0], example[at < 0]
+        by = np.argsort(term * max(1, self.n) + example)
+        term, self.post_weight, self.post = term[by], weight[by], example[by]
         # postings of term t in block b: from ptr[t * blocks + b]
-        cell = term * self.blocks + self.example // block
-        self.ptr = np.searchsorted(cell, np.arange(n_terms * self.blocks + 1))
-        self.top = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.top.reshape(-1), cell, self.weight)
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, step: int = 4):
+        cell = term * self.blocks + self.post // block
+        self.ptr = np.zeros(n_terms * self.blocks + 1, np.int32)
+        np.cumsum(np.bincount(cell, minlength=n_terms * self.blocks), out=self.ptr[1:])
+        # rounded up: a bound stays one
+        self.top = np.zeros((n_terms, self.blocks), np.float32)
+        np.maximum.at(self.top.reshape(-1), cell, np.nextafter(self.post_weight.astype(np.float32), np.float32(np.inf)))
+
+    def common_scores(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+        """What the common terms add to the cosine of n texts and each example."""
+        at = self.place[term]
+        q = np.zeros((n, len(self.common)), np.float32)
+        q[row[at >= 0], at[at >= 0]] = weight[at >= 0]
+        return q @ self.common
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None, step: int = 4):
         """The k examples of largest cosine above 0: (examples, cosines)."""
-        bound = weight @ self.top[term]
+        if not self.n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        if common is None:
+            common = self.common_scores(np.zeros(len(term), np.int64), term, weight, 1)[0]
+        score = common.astype(np.float64)
+        rare = self.place[term] < 0
+        t, w = term[rare].astype(np.int64), weight[rare]
+        bound = w @ self.top[t].astype(np.float64) + np.maximum.reduceat(score, np.arange(0, self.n, self.block))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
-        score = np.zeros(self.n)
-        kth = 0.0
-        for at in range(0, len(order), step):
+        kth, at = 0.0, 0
+        while at < len(order):
             part = order[at:at + step]
-            if bound[part[0]] < kth - 1e-12:  # no block left can reach the k-th best
+            at, step = at + step, 2 * step
+            if bound[part[0]] * (1 + SLACK) < kth * (1 - SLACK):  # no block left can reach the k-th best
                 break
-            cell = (term[:, None] * self.blocks + part[None, :]).ravel()
+            cell = (t[:, None] * self.blocks + part[None, :]).ravel()
             size = self.ptr[cell + 1] - self.ptr[cell]
-            post = ranges(self.ptr[cell], size)
-            w = np.repeat(np.repeat(weight, len(part)), size) * self.weight[post]
-            score += np.bincount(self.example[post], weights=w, minlength=self.n)
+            some = np.flatnonzero(size)
+            size = size[some]
+            post = ranges(self.ptr[cell[some]].astype(np.int64), size)
+            score += np.bincount(self.post[post], weights=np.repeat(w[some // len(part)], size) * self.post_weight[post],
+                                 minlength=self.n)
             if self.n > k:
                 kth = np.partition(score, self.n - k)[self.n - k]
-        best = np.lexsort((np.arange(self.n), -score))[:k]
-        best = best[score[best] > 0]
-        return best, np.minimum(score[best], 1.0)
+        best = np.flatnonzero((score > 0) & (score >= kth * (1 - SLACK)))
+        self.query[term] = weight
+        post, size = ranges(self.first[best], self.size[best]), self.size[best]
+        exact = np.bincount(np.repeat(np.arange(len(best)), size), weights=self.query[self.term[post]] * self.weight[post],
+                            minlength=len(best))
+        self.query[term] = 0
+        by = np.lexsort((best, -exact))[:k]
+        return best[by], np.minimum(exact[by], 1.0)
 
 
-def unit_tfidf(term: np.ndarray, count: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    w = (1 + np.log(count)) * idf[term]
-    return w / np.sqrt((w * w).sum())
+def tfidf(count: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return (1 + np.log(count)) * weight
 
 
 class Model:
-    """Vocabulary, idf, examples and class weights, with the votes."""
+    """Vocabulary, term weights, examples and class weights, with the votes."""
 
     def __init__(self, state: dict):
-        self.vocab, self.idf = state["vocab"], state["idf"]
+        self.vocab, self.weight, self.other = state["vocab"], state["term_weight"], state["other_weight"]
         self.labels, self.ids = state["labels"], state["ids"]
         self.class_weight, self.base, self.empty = state["class_weight"], state["base"], state["empty"]
         self.k = state["neighbours"]
-        rows = [(t, unit_tfidf(t, c, self.idf)) for t, c in state["rows"]]
+        rows = []
+        for t, c in state["rows"]:
+            w = tfidf(c, self.weight[t])
+            rows.append((t, w / np.sqrt((w * w).sum())))
         self.index = BlockMaxIndex(rows, len(self.vocab))
 
-    def score(self, term: np.ndarray, count: np.ndarray):
-        """The score of one text with terms, its neighbours and cosines."""
-        best, cos = self.index.nearest(term, unit_tfidf(term, count, self.idf), self.k)
-        w = cos * cos * self.class_weight[self.labels[best]]
-        # as much as one neighbour of the rarer class at cosine 1
+    @staticmethod
+    def of(state: dict) -> Model:
+        """The model of a state, made once in a process."""
+        if "model" not in state:
+            state["model"] = Model(state)
+        return state["model"]
+
+    def scores(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray, step: int = 256):
+        """(text, score, neighbours, cosines) of each text with terms;
+        ``rest`` is the squared length of each text's terms outside the
+        vocabulary."""
+        w = tfidf(count, self.weight[term])
+        w /= np.sqrt(np.bincount(row, weights=w * w, minlength=len(rest)) + rest)[row]
+        cut = np.searchsorted(row, np.arange(len(rest) + 1))
+        for at in range(0, len(rest), step):
+            to = min(at + step, len(rest))
+            z = slice(cut[at], cut[to])
+            common = self.index.common_scores(row[z] - at, term[z], w[z], to - at)
+            for i in range(at, to):
+                s = slice(cut[i], cut[i + 1])
+                if s.start < s.stop:
+                    best, cos = self.index.nearest(term[s], w[s], self.k, common[i - at])
+                    yield i, self.vote(best, cos), best, cos
+
+    def vote(self, best: np.ndarray, cos: np.ndarray) -> float:
+        w = cos * cos / (1 - cos * cos + 1e-6) * self.class_weight[self.labels[best]]
+        # as much as one neighbour of the rarer class that explains half of the text
         pull = self.class_weight[self.class_weight > 0].min()
         vote = (w * self.labels[best]).sum() + pull * self.base
-        return vote / (w.sum() + pull), best, cos
+        return vote / (w.sum() + pull)
 
 
 def _example_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
                   held_out, examples: int) -> tuple[DataFrame, dict[int, int]]:
-    """Labelled examples (id, y, text) and the labelled rows of each class."""
+    """Labelled examples (id, y, copies, text), equal texts of a class as one,
+    and the labelled rows of each class."""
     y = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
          .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max((F.col(label_col) > 0).cast("int")).alias("y")))
     there = docs.select(F.col(id_col).cast("long").alias("_id")).where("_id is not null").distinct()
@@ -159,19 +237,24 @@ def _example_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     # 2 * examples rows of (id, label): a bounded broadcast
     rows = (docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("text"))
             .join(F.broadcast(pick[0].unionByName(pick[1])), "_id")
-            .groupBy("_id", "y").agg(F.min("text").alias("text")))
+            .groupBy("_id", "y").agg(F.min("text").alias("text"))
+            .groupBy("y", "text").agg(F.min("_id").alias("_id"), F.count("*").alias("copies")))
     return checkpoint(rows), {c: n.get(c, 0) for c in (0, 1)}
 
 
-def _all_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All terms of the examples, and how often each holds them."""
     for batch in batches:
         for part in text_slices(batch, "text"):
             t, row = terms(part.column("text"))
-            by = np.lexsort((t, row))
-            t, row = t[by], row[by]
-            new = np.append(True, (t[1:] != t[:-1]) | (row[1:] != row[:-1]))[:len(t)]
+            row, t, k = counted(row, t)
+            cut = np.searchsorted(row, np.arange(part.num_rows + 1))
+            spans = list(zip(cut[:-1], cut[1:]))
             yield pa.RecordBatch.from_arrays([
-                pa.array(t[new].view(np.int64)), part.column("y").take(pa.array(row[new]))], names=["term", "y"])
+                part.column("_id"), part.column("y"), part.column("copies"),
+                pa.array([t[x:y].tobytes() for x, y in spans], pa.binary()),
+                pa.array([k[x:y].astype(np.int32).tobytes() for x, y in spans], pa.binary())],
+                names=["_id", "y", "copies", "t", "k"])
 
 
 def _frequencies(vocab_b):
@@ -180,63 +263,59 @@ def _frequencies(vocab_b):
         df = np.zeros(len(vocab) + 1, np.int64)  # the last: all documents
         for batch in batches:
             for part in text_slices(batch, "text"):
-                df[:-1] += np.bincount(term_counts(part.column("text"), vocab)[1], minlength=len(vocab))
+                df[:-1] += np.bincount(term_counts(part.column("text"), vocab, False)[0][1], minlength=len(vocab))
                 df[-1] += part.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(df))), pa.array(df)], names=["term", "df"])
+        some = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(df[some])], names=["term", "df"])
 
     return run
 
 
+def toxic_lean(pos: np.ndarray, neg: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """The squared phi coefficient of terms with the toxic label, 0 where
+    clean examples hold a term as often or more."""
+    cross = pos * (n0 - neg) - neg * (n1 - pos)
+    rest = (pos + neg) * (n1 + n0 - pos - neg) * float(n1) * float(n0)
+    return np.where(cross > 0, cross.astype(np.float64) ** 2 / np.maximum(1.0, rest), 0.0)
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text",
-        label_col: str = "toxic", examples: int = EXAMPLES, max_terms: int = MAX_TERMS,
-        neighbours: int = NEIGHBOURS) -> dict:
+        label_col: str = "toxic", examples: int = EXAMPLES, neighbours: int = NEIGHBOURS) -> dict:
     """The model's state.  ``held_out(id column name)`` tells the rows never
     learned from."""
     sc = docs.sparkSession.sparkContext
     rows, n = _example_rows(docs, labels, id_col, text_col, label_col, held_out, examples)
-    size = {c: k for c, k in rows.groupBy("y").count().collect()}
-    n1, n0 = size.get(1, 0), size.get(0, 0)
-    pos, neg = F.col("pos"), F.col("neg")
-    a, b, c, d = pos, neg, n1 - pos, n0 - neg
-    chi2 = (n1 + n0) * (a * d - b * c) ** 2 / F.greatest(F.lit(1.0), (a + b) * (c + d) * F.lit(float(n1 * n0)))
-    odds = ((pos + 0.5) / (n1 + 1)) / ((neg + 0.5) / (n0 + 1))
-    counted = (rows.mapInArrow(_all_terms, "term long, y int").groupBy("term")
-               .agg(F.sum("y").cast("double").alias("pos"), F.sum(1 - F.col("y")).cast("double").alias("neg"))
-               .where((pos >= max(MIN_TOXIC, MIN_SHARE * n1)) & (odds >= MIN_ODDS) & (chi2 >= MIN_CHI2)))
-    top = counted.orderBy(chi2.desc(), "term").limit(max_terms).select("term").collect()
-    vocab = np.sort(np.array([r[0] for r in top], dtype=np.int64).view(np.uint64))
-    vocab_b = sc.broadcast(vocab)
+    # at most 2 * examples rows, the distinct terms of their texts
+    found = rows.mapInArrow(_vectors, "_id long, y int, copies long, t binary, k binary").orderBy("_id").collect()
+    size = [sum(r["copies"] for r in found if r["y"] == c) for c in (0, 1)]
+    have = [r for r in found if r["t"]]
+    hashes = [np.frombuffer(r["t"], np.uint64) for r in have]
+    vocab = np.unique(np.concatenate(hashes)) if have else np.zeros(0, np.uint64)
+    vectors = [(np.searchsorted(vocab, t).astype(np.int32), np.frombuffer(r["k"], np.int32))
+               for r, t in zip(have, hashes)]
+    pos, neg = (sum((np.bincount(t, minlength=len(vocab)) for r, (t, _) in zip(have, vectors) if r["y"] == c),
+                    np.zeros(len(vocab), np.int64)) for c in (1, 0))
+    n1, n0 = (sum(r["y"] == c for r in found) for c in (1, 0))
     df = np.zeros(len(vocab) + 1)
-    for t, k in (docs.select(F.col(text_col).alias("text")).mapInArrow(_frequencies(vocab_b), "term long, df long")
-                 .groupBy("term").agg(F.sum("df")).collect()):  # max_terms + 1 rows at most
-        df[t] = k
+    sums = (docs.select(F.col(text_col).alias("text"))
+            .mapInArrow(_frequencies(sc.broadcast(vocab)), "term long, df long")
+            .groupBy("term").agg(F.sum("df").alias("df")).toArrow())  # a row for each term of the examples
+    df[sums["term"].to_numpy()] = sums["df"].to_numpy()
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-
-    def vectors(batches):
-        v = vocab_b.value
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                r, t, k = term_counts(part.column("text"), v)
-                cut = np.searchsorted(r, np.arange(part.num_rows + 1))
-                yield pa.RecordBatch.from_arrays([
-                    part.column("_id"), part.column("y"),
-                    pa.array([t[x:y].tolist() for x, y in zip(cut[:-1], cut[1:])], pa.list_(pa.int64())),
-                    pa.array([k[x:y].tolist() for x, y in zip(cut[:-1], cut[1:])], pa.list_(pa.int64()))],
-                    names=["_id", "y", "t", "k"])
-
-    # at most 2 * examples rows of at most max_terms numbers
-    found = rows.mapInArrow(vectors, "_id long, y int, t array<long>, k array<long>").orderBy("_id").collect()
-    weight = np.array([n[c] / max(1, size.get(c, 0)) for c in (0, 1)])
-    have = [r for r in found if r["t"]]
+    lean = toxic_lean(pos, neg, n1, n0) + FLOOR
+    strength = idf * lean
+    weight = np.array([n[c] / max(1, size[c]) for c in (0, 1)])
     # examples that share their strongest terms lie in one block
-    rare = lambda r: sorted(r["t"], key=lambda t: (-idf[t], t))
-    have.sort(key=lambda r: (rare(r), r["_id"]))
-    blank = [weight[r["y"]] * np.array([r["y"], 1.0]) for r in found if not r["t"]]
+    strong = [(t[np.lexsort((t, -strength[t]))[:16]].tolist(), r["_id"]) for r, (t, _) in zip(have, vectors)]
+    order = sorted(range(len(have)), key=strong.__getitem__)
+    blank = [r["copies"] * weight[r["y"]] * np.array([r["y"], 1.0]) for r in found if not r["t"]]
     empty = np.sum(blank, axis=0) if blank else np.zeros(2)
     base = n[1] / max(1, n[0] + n[1])
-    return {"vocab": vocab, "idf": idf, "labels": np.array([r["y"] for r in have], dtype=np.int64),
-            "ids": np.array([r["_id"] for r in have], dtype=np.int64),
-            "rows": [(np.array(r["t"]), np.array(r["k"])) for r in have], "class_weight": weight,
+    return {"vocab": vocab, "term_weight": strength, "labels": np.array([have[i]["y"] for i in order], dtype=np.int64),
+            # as a term of one document
+            "other_weight": (np.log((1 + df[-1]) / 2) + 1) * FLOOR,
+            "ids": np.array([have[i]["_id"] for i in order], dtype=np.int64),
+            "rows": [vectors[i] for i in order], "class_weight": weight,
             "base": base, "empty": empty[0] / empty[1] if empty[1] else base, "neighbours": neighbours}
 
 
@@ -253,17 +332,16 @@ def score(docs: DataFrame, state: dict, text_col: str = "text", score_col: str =
     docs = docs.select(*keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(state_b.value)
+        model = Model.of(state_b.value)
         kind = pa.list_(pa.struct([("example", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
             for part in text_slices(batch, text_col):
-                row, term, count = term_counts(part.column(part.schema.get_field_index(text_col)), model.vocab)
+                (row, term, count), (at, _, n) = term_counts(
+                    part.column(part.schema.get_field_index(text_col)), model.vocab)
+                rest = np.bincount(at, weights=tfidf(n, model.other) ** 2, minlength=part.num_rows)
                 out = np.full(part.num_rows, model.empty)
                 why: list = [[]] * part.num_rows
-                cut = np.searchsorted(row, np.arange(part.num_rows + 1))
-                for i in np.unique(row).tolist():
-                    s = slice(cut[i], cut[i + 1])
-                    out[i], best, cos = model.score(term[s], count[s])
+                for i, out[i], best, cos in model.scores(row, term, count, rest):
                     why[i] = [{"example": int(model.ids[b]), "toxic": int(model.labels[b]), "cosine": float(c)}
                               for b, c in zip(best[:n_evidence], cos)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1)), pa.array(why, kind)],

@@ -420,3 +420,35 @@ def test_pipeline(spark):
     for r in corpus_pipeline.run(spark, sf).collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + r.length
     assert got == {i: len(tok.encode(t or "", add_special_tokens=False).ids) + 1 for i, t in want.items()}
+
+
+def test_toxicity_rare_words_and_copies(spark):
+    rnd = random.Random(8)
+    fine, bad = [f"w{i}" for i in range(300)], [f"{a}{b}x" for a in "bdfgk" for b in range(12)]
+    # each toxic word is in no more than three of the toxic examples
+    rows = []
+    for i in range(400):
+        w = [rnd.choice(fine) for _ in range(12)]
+        if i % 4 == 0:
+            w += [f"q{i}z", f"v{i}j", bad[i // 4 % 60]]
+        rows.append((i, " ".join(w)))
+    learned = [i for i, _ in rows if i % 4 == 0 and zlib.crc32(str(i).encode()) % 3 != 1]
+    copies = [(1000 + i, rows[i][1]) for i in learned]
+    df = spark.createDataFrame(rows + copies, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    state = toxicity.fit(df, labels, toxicity.third)
+    assert len(state["vocab"]) > 300  # the terms of clean examples as well
+    got = {r.doc_id: r for r in toxicity.score(df, state).collect()}
+    for i in learned:
+        first = got[1000 + i].evidence[0]
+        assert got[1000 + i].score >= 0.7 and first.example == i and first.cosine > 0.999999
+    assert all(got[i].score < 0.7 for i, _ in rows if i % 4 and zlib.crc32(str(i).encode()) % 3 != 1)
+    kept = {r.doc_id for r in toxicity.reject_toxic(df, labels).collect()}
+    assert not kept & {i for i, _ in copies}
+    # many copies of one labelled text are one example, and make no lexicon of its words
+    df = spark.createDataFrame([(i, "same old text") for i in range(40)] + [(100 + i, f"other {i}") for i in range(40)],
+                               "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(100 + i, 0) for i in range(40)],
+                                   "doc_id long, toxic int")
+    state = toxicity.fit(df, labels, lambda c: F.lit(False))
+    assert len(state["ids"]) == 41 and state["labels"].sum() == 1
