@@ -9,6 +9,13 @@ least certain bits are flipped.  All that meet in a bucket are reranked by
 the cosine of the original vectors in double precision; links are those of
 at least the threshold.
 
+How many of the pairs at the threshold meet is measured on the sample before
+the search: its own borderline pairs, and partners made at exactly the
+threshold towards other vectors and in random directions.  Where fewer than
+``RECALL`` meet (a strong common mean, few dimensions), the cheapest of wider
+searches that reach it is taken: fewer bits, more probes, more rotations; if
+none does, all pairs of a label are compared.
+
 A pair that meets in several tables or buckets counts in the first alone:
 that can be told from the two vectors' keys, without gathering pairs.  A
 shard reports for each vector its number of links, and the links as stars
@@ -47,6 +54,12 @@ BITS = 12
 #: Buckets that a vector visits in each table: its own and those of its
 #: ``PROBES - 1`` least certain bits.
 PROBES = 2
+#: Share of the pairs at the threshold that must meet, on the sample.
+RECALL = 0.99
+#: Wider searches: rotations, bits and probes (at most one for each bit).
+WIDER = [(r, b, p) for r in (2, 4, 8) for b in (12, 10, 8, 6, 4, 3) for p in (2, 4, 13)]
+#: What a row in a bucket costs, in compared pairs.
+ROW_COST = 50
 SHARD_ROWS = 8192
 ITERATIONS = 30
 
@@ -73,7 +86,9 @@ def learn(sample: np.ndarray, rotations: int = ROTATIONS) -> tuple[np.ndarray, n
 
 def bucket_keys(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: int, probes: int) -> np.ndarray:
     """keys[row, table, probe]: the substrings that each row visits; probe 0
-    is its own."""
+    is its own.  Without bits there is one bucket."""
+    if not bits:
+        return np.zeros((len(x), 1, 1), np.int32)
     m = (x / np.linalg.norm(x, axis=1, keepdims=True) - mean) @ projection
     bits = min(bits, m.shape[1])
     tables = m.shape[1] // bits
@@ -86,17 +101,72 @@ def bucket_keys(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: i
     return np.stack(out, axis=2).astype(np.int32)
 
 
-def _deal(models: dict, bits: int, probes: int):
+def _meet(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the rows of the keys a and b, side by side, meet in a table."""
+    return ((a == b[:, :, :1]) | (b == a[:, :, :1])).any(axis=(1, 2))
+
+
+def borderline(x: np.ndarray, threshold: float, n: int = 2000, seed: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs at the threshold: towards other rows of x, in random directions,
+    and those of x itself within 0.03 above it (if there are enough)."""
+    rnd = np.random.default_rng(seed)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    a = u[rnd.integers(0, len(u), n)]
+    out = []
+    for way in (u[rnd.integers(0, len(u), n)] - a, rnd.normal(size=a.shape)):
+        way = way - (way * a).sum(axis=1, keepdims=True) * a
+        size = np.linalg.norm(way, axis=1)
+        some = size > 1e-9
+        far = np.sqrt(max(0.0, 1 - threshold * threshold))
+        out.append((a[some], threshold * a[some] + far * way[some] / size[some, None]))
+    part = u[:4096]
+    i, j = np.nonzero(np.triu(np.abs((part @ part.T).astype(np.float32) - threshold - 0.015) <= 0.015, 1))
+    if len(i) > n:
+        pick = rnd.choice(len(i), n, replace=False)
+        i, j = i[pick], j[pick]
+    out.append((part[i], part[j]))
+    return [p for p in out if len(p[0]) >= 100]
+
+
+def plan(x: np.ndarray, rows: int, threshold: float, rotations: int, bits: int, probes: int):
+    """The mean, projection, bits and probes of a search among so many rows
+    like x in which the pairs at the threshold meet."""
+    pairs = borderline(x, threshold)
+    learned = {}
+
+    def tried(r: int, b: int, p: int):
+        if r not in learned:
+            learned[r] = learn(x, r)
+        model = (*learned[r], b, p)
+        return model, min([_meet(bucket_keys(u, *model), bucket_keys(v, *model)).mean() for u, v in pairs], default=1.0)
+
+    def cost(model) -> float:
+        keys = bucket_keys(x[:2048], *model)
+        n, tables, visits = keys.shape
+        met = sum((np.bincount(keys[:, t, 0], minlength=1 << model[2])[keys[:, t]]).sum() for t in range(tables))
+        return ROW_COST * tables * visits + rows * met / n / n
+
+    model, recall = tried(rotations, bits, probes)
+    if recall >= RECALL:
+        return model
+    best, least = (*learned[rotations], 0, 1), float(rows)  # all pairs
+    for r, b, p in WIDER:
+        model, recall = tried(r, b, p)
+        if recall >= RECALL and (now := cost(model)) < least:
+            best, least = model, now
+    return best
+
+
+def _deal(models: dict):
     """For every vector a row for each bucket that it visits."""
 
     def run(frames):
         for f in frames:
             for dim, g in f.groupby("dim", sort=False):
-                mean, projection = models[dim]
                 for at in range(0, len(g), 2048):
                     p = g.iloc[at:at + 2048]
                     x = np.stack(p["vec"].to_list()).astype(np.float64)
-                    keys = bucket_keys(x, mean, projection, bits, probes)
+                    keys = bucket_keys(x, *models[dim])
                     n, t, k = keys.shape
                     row = np.repeat(np.arange(n), t * k)
                     yield pd.DataFrame({
@@ -117,7 +187,7 @@ def _met_before(keys: np.ndarray, tab: np.ndarray, a: np.ndarray, b: np.ndarray)
     return out
 
 
-def _rerank(models: dict, bits: int, probes: int, threshold: float, step: int = 1 << 16):
+def _rerank(models: dict, threshold: float, step: int = 1 << 16):
     """The links inside a shard: for each vector its number of them (kind 0)
     and the smallest vector of its local group (kind 1)."""
 
@@ -125,7 +195,7 @@ def _rerank(models: dict, bits: int, probes: int, threshold: float, step: int =
         dim = int(rows["dim"].iloc[0])
         ids, first, who = np.unique(rows["id"].to_numpy(np.int64), return_index=True, return_inverse=True)
         x = np.stack(rows["vec"].iloc[first].to_list()).astype(np.float64)
-        keys = bucket_keys(x, *models[dim], bits, probes)
+        keys = bucket_keys(x, *models[dim])
         norm = np.sqrt((x * x).sum(axis=1))
         # rows of one bucket stand together; every home row meets the probe
         # side of its bucket
@@ -195,14 +265,16 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     models = {}
     for dim, n in rows.groupBy("dim").count().collect():  # one model for each length of vectors
         if n > 1:
-            part = rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(sample)
-            models[dim] = learn(np.array([r[0] for r in part.select("vec").collect()]), rotations)
+            part = (rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(sample)
+                    .select("label", "vec").collect())
+            models[dim] = plan(np.array([r["vec"] for r in part], dtype=np.float64), n // len({r["label"] for r in part}),
+                               threshold, rotations, bits, probes)
     if models:
         rows = rows.where(F.col("dim").isin(list(models)))
-        dealt = rows.mapInPandas(_deal(models, bits, probes),
+        dealt = rows.mapInPandas(_deal(models),
                                  "id long, label long, dim int, tab int, value int, home boolean, vec " + kind)
         found = checkpoint(_shards(dealt, shard_rows).groupBy("shard").applyInPandas(
-            _rerank(models, bits, probes, threshold), "kind int, id long, n long"))
+            _rerank(models, threshold), "kind int, id long, n long"))
         links = found.where("kind = 0").groupBy("id").agg(F.sum("n").alias("n_links"))
         groups = components(found.where("kind = 1").select(F.col("id").alias("a"), F.col("n").alias("b")))
         groups = groups.select(F.col("node").alias("id"), F.col("component").alias("component_id"))

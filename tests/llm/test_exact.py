@@ -452,3 +452,23 @@ def test_toxicity_rare_words_and_copies(spark):
                                    "doc_id long, toxic int")
     state = toxicity.fit(df, labels, lambda c: F.lit(False))
     assert len(state["ids"]) == 41 and state["labels"].sum() == 1
+
+
+@pytest.mark.parametrize("dim, offset", [(64, 0.0), (32, 1.0), (32, 2.0), (16, 0.0), (3, 0.0)])
+def test_embedding_dedup_at_the_threshold(spark, dim, offset):
+    rnd = np.random.default_rng(dim)
+    a = rnd.normal(size=(700, dim)) / np.sqrt(dim)
+    a[:, 0] += offset  # a mean that all vectors share
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    way = rnd.normal(size=a.shape)
+    way -= (way * a).sum(axis=1, keepdims=True) * a
+    way /= np.linalg.norm(way, axis=1, keepdims=True)
+    c = rnd.uniform(0.931, 0.95, (700, 1))
+    x = np.concatenate([a, c * a + np.sqrt(1 - c * c) * way]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    v = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    near = v @ v.T >= 0.93
+    np.fill_diagonal(near, False)
+    got = {r.id: r.n_links for r in itq.near_vectors(df).collect()}
+    n = np.array([got[i] for i in range(len(x))])
+    assert (n <= near.sum(axis=1)).all() and n.sum() >= 0.98 * near.sum()
