@@ -80,8 +80,9 @@ RULES = [
     ("Apache-2.0", ("spdx-apache",)),
     ("Proprietary", ("all-rights",)),
 ]
-#: Every known sentence holds one of these.
-KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "rights reserved")
+#: Every known sentence holds one of these inside a word, which the signs and
+#: blanks around it do not change.
+KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved")
 #: Sentences end at a line end, or at a sign that blanks follow.
 SENTENCE_END = r"[\n\r]+|(?<=[.!?;:])[ \t]+"
 

@@ -472,3 +472,9 @@ def test_embedding_dedup_at_the_threshold(spark, dim, offset):
     got = {r.id: r.n_links for r in itq.near_vectors(df).collect()}
     n = np.array([got[i] for i in range(len(x))])
     assert (n <= near.sum(axis=1)).all() and n.sum() >= 0.98 * near.sum()
+
+
+def test_license_gate_by_words(spark):
+    body = ["All rights reserved.", "all rights\treserved", "All rights\u00a0reserved.", "All  rights - reserved"]
+    df, _ = docs(spark, body, "licenses string, sentence_ids string")
+    assert all(r.licenses == ["Proprietary"] for r in licenses.scan_licenses(df).where("doc_id is not null").collect())
