@@ -1,8 +1,10 @@
 """Operator 2: licence scan by sentence rules (DataFrame functions only).
 
-A text is cut into sentences, each sentence is normalised (lower case, runs
-of anything but a-z and 0-9 become one blank) and looked up among known
-licence sentences.  The identifiers found, in order, form a sequence; ordered
+A text is cut into pieces at line ends and at signs that blanks follow, and
+the pieces are normalised (lower case, runs of anything but a-z and 0-9 become
+one blank).  A known licence sentence is a run of whole pieces that together
+read like it, so it may hold a ``: `` or be wrapped over lines; the longest
+counts.  The identifiers found, in order, form a sequence; ordered
 rules are matched against it, longer rules first, and a matched run of
 identifiers is used up.
 
@@ -83,8 +85,10 @@ RULES = [
 #: Every known sentence holds one of these inside a word, which the signs and
 #: blanks around it do not change.
 KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved")
-#: Sentences end at a line end, or at a sign that blanks follow.
-SENTENCE_END = r"[\n\r]+|(?<=[.!?;:])[ \t]+"
+#: Pieces end at a line end, or at a sign that blanks follow.
+PIECE_END = r"\r\n?|(?<=[.!?;:])[ \t]+(?=[^ \t\r\n])"
+#: What may stand between two words of a known sentence.
+BETWEEN = r"[ \n]"
 
 
 def normal(text: str) -> str:
@@ -92,17 +96,25 @@ def normal(text: str) -> str:
     return " ".join("".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split())
 
 
+def known_runs() -> str:
+    """A pattern of the known sentences as runs of whole pieces, in a text of
+    normalised pieces with a line end before and after each; longer first."""
+    runs = sorted((normal(s).split() for s in SENTENCES.values()), key=len, reverse=True)
+    return r"(?<=\n)(?:" + "|".join(BETWEEN.join(r) for r in runs) + r")(?=\n)"
+
+
 def scan_licenses(docs: DataFrame, text_col: str = "text", ids_col: str = "sentence_ids",
                   licenses_col: str = "licenses") -> DataFrame:
     """``docs`` with the identifiers of known sentences in order (array) and
     the licences found (array; own columns of those names are replaced)."""
     known = F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (normal(s), i)))
-    to_id = lambda s: F.try_element_at(
-        known, F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
+    to_id = lambda s: F.try_element_at(known, F.regexp_replace(s, r"\n+", " "))
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<string>")
+    pieces = F.regexp_replace(F.regexp_replace(F.lower(text), PIECE_END, "\n"), r"[^a-z0-9\n]+", " ")
+    pieces = F.concat(F.lit("\n"), F.regexp_replace(pieces, r" ?\n ?| $|^ ", "\n"), F.lit("\n"))
     ids = F.when(text.rlike("(?i)" + "|".join(KEY_WORDS)),
-                 F.filter(F.transform(F.split(text, SENTENCE_END), to_id), lambda x: x.isNotNull())).otherwise(none)
+                 F.transform(F.regexp_extract_all(pieces, F.lit(known_runs()), F.lit(0)), to_id)).otherwise(none)
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit("," + ",,".join(r) + ",").alias("run"))
                       for n, r in sorted(RULES, key=lambda x: -len(x[1]))))
 

@@ -478,3 +478,14 @@ def test_license_gate_by_words(spark):
     body = ["All rights reserved.", "all rights\treserved", "All rights\u00a0reserved.", "All  rights - reserved"]
     df, _ = docs(spark, body, "licenses string, sentence_ids string")
     assert all(r.licenses == ["Proprietary"] for r in licenses.scan_licenses(df).where("doc_id is not null").collect())
+
+
+def test_every_license_sentence_is_found(spark):
+    s = licenses.SENTENCES
+    df = spark.createDataFrame([(i, x) for i, x in s.items()] + [(i, f"Foo bar\r\n # {x} \nbaz") for i, x in s.items()],
+                               "name string, text string")
+    got = licenses.scan_licenses(df).collect()
+    assert len(got) == 2 * len(s) and all(r.sentence_ids == [r.name] for r in got)
+    # a part of a piece is no sentence
+    df = spark.createDataFrame([("No " + s["mit-ref"],), (s["spdx-mit"] + " or so",)], "text string")
+    assert all(r.sentence_ids == [] for r in licenses.scan_licenses(df).collect())
