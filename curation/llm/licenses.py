@@ -3,8 +3,9 @@
 A text is cut into pieces at line ends and at signs that blanks follow, and
 the pieces are normalised (lower case, runs of anything but a-z and 0-9 become
 one blank).  A known licence sentence is a run of whole pieces that together
-read like it, so it may hold a ``: `` or be wrapped over lines; the longest
-counts.  The identifiers found, in order, form a sequence; ordered
+read like it, so it may hold a ``: `` or be wrapped over lines (also behind
+comment signs, and over one blank line); the longest counts.  List marks at
+the head of a line are pieces of their own.  The identifiers found, in order, form a sequence; ordered
 rules are matched against it, longer rules first, and a matched run of
 identifiers is used up.
 
@@ -82,13 +83,24 @@ RULES = [
     ("Apache-2.0", ("spdx-apache",)),
     ("Proprietary", ("all-rights",)),
 ]
+# Sentences and rules that OP2_SQL does not have.  ``*`` stands for 1 to 12
+# words.
+MORE_SENTENCES = {
+    "bsd-endorse": "Neither the name of * nor the names of its contributors may be used to endorse or promote products "
+                   "derived from this software without specific prior written permission.",
+}
+MORE_RULES = [
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+]
 #: Every known sentence holds one of these inside a word, which the signs and
 #: blanks around it do not change.
-KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved")
+KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved", "endorse")
 #: Pieces end at a line end, or at a sign that blanks follow.
 PIECE_END = r"\r\n?|(?<=[.!?;:])[ \t]+(?=[^ \t\r\n])"
+#: A list mark such as ``a)`` or ``(1)`` at the head of a line, in lower case.
+LIST_MARK = r"(?m)^([^a-z0-9\r\n]*(?:[0-9]{1,2}|[a-z]|[ivx]{2,4})\))[ \t]+"
 #: What may stand between two words of a known sentence.
-BETWEEN = r"[ \n]"
+BETWEEN = r"(?: |\n{1,2})"
 
 
 def normal(text: str) -> str:
@@ -99,8 +111,13 @@ def normal(text: str) -> str:
 def known_runs() -> str:
     """A pattern of the known sentences as runs of whole pieces, in a text of
     normalised pieces with a line end before and after each; longer first."""
-    runs = sorted((normal(s).split() for s in SENTENCES.values()), key=len, reverse=True)
-    return r"(?<=\n)(?:" + "|".join(BETWEEN.join(r) for r in runs) + r")(?=\n)"
+    words = [normal(s).split() for s in SENTENCES.values()]
+    runs = [(len(w), BETWEEN.join(w)) for w in words]
+    for s in MORE_SENTENCES.values():
+        left, right = (normal(x).split() for x in s.split("*"))
+        any_words = f"(?:{BETWEEN}[a-z0-9]+){{1,12}}?"
+        runs.append((len(left + right), BETWEEN.join(left) + any_words + BETWEEN + BETWEEN.join(right)))
+    return r"(?<=\n)(?:" + "|".join(r for _, r in sorted(runs, key=lambda x: -x[0])) + r")(?=\n)"
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", ids_col: str = "sentence_ids",
@@ -108,15 +125,21 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", ids_col: str = "sente
     """``docs`` with the identifiers of known sentences in order (array) and
     the licences found (array; own columns of those names are replaced)."""
     known = F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (normal(s), i)))
-    to_id = lambda s: F.try_element_at(known, F.regexp_replace(s, r"\n+", " "))
+    open_ends = [(i, *map(normal, s.split("*"))) for i, s in MORE_SENTENCES.items()]
+
+    def to_id(run):
+        s = F.regexp_replace(run, r"\n+", " ")
+        return F.coalesce(F.try_element_at(known, s),
+                          *(F.when(s.startswith(x) & s.endswith(y), F.lit(i)) for i, x, y in open_ends))
+
     text = F.coalesce(F.col(text_col), F.lit(""))
     none = F.array().cast("array<string>")
-    pieces = F.regexp_replace(F.regexp_replace(F.lower(text), PIECE_END, "\n"), r"[^a-z0-9\n]+", " ")
+    pieces = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.lower(text), LIST_MARK, "$1\n"), PIECE_END, "\n"), r"[^a-z0-9\n]+", " ")
     pieces = F.concat(F.lit("\n"), F.regexp_replace(pieces, r" ?\n ?| $|^ ", "\n"), F.lit("\n"))
     ids = F.when(text.rlike("(?i)" + "|".join(KEY_WORDS)),
                  F.transform(F.regexp_extract_all(pieces, F.lit(known_runs()), F.lit(0)), to_id)).otherwise(none)
     rules = F.array(*(F.struct(F.lit(n).alias("name"), F.lit("," + ",,".join(r) + ",").alias("run"))
-                      for n, r in sorted(RULES, key=lambda x: -len(x[1]))))
+                      for n, r in sorted(RULES + MORE_RULES, key=lambda x: -len(x[1]))))
 
     def use(acc, rule):
         hit = acc["left"].contains(rule["run"])

@@ -489,3 +489,30 @@ def test_every_license_sentence_is_found(spark):
     # a part of a piece is no sentence
     df = spark.createDataFrame([("No " + s["mit-ref"],), (s["spdx-mit"] + " or so",)], "text string")
     assert all(r.sentence_ids == [] for r in licenses.scan_licenses(df).collect())
+
+
+def test_wrapped_licenses(spark):
+    import textwrap
+
+    s = licenses.SENTENCES
+    clauses = [s["bsd-source"], s["bsd-binary"], licenses.MORE_SENTENCES["bsd-endorse"].replace("*", "Foo Inc.")]
+
+    def bsd(n, mark, sign="", width=74):
+        parts = ["Copyright (c) 2020, Foo Inc.\nAll rights reserved.", textwrap.fill(s["bsd-grant"], width)]
+        parts += [textwrap.fill(mark.format(i + 1) + c, width, subsequent_indent="   ") for i, c in enumerate(clauses[:n])]
+        return "\n".join((sign + x).rstrip() for x in "\n\n".join(parts).split("\n"))
+
+    mit = "\n\n".join(textwrap.fill(s[x], 72) for x in ("mit-title", "mit-notice", "as-is"))
+    gpl = textwrap.indent(textwrap.fill(" ".join(s[x] for x in ("gpl-free", "gpl-hope", "gpl-fit")), 70), "# ")
+    apache = " * " + s["apache-hdr-1"] + "\n * " + s["apache-hdr-2"] + \
+        "\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n"
+    one_line = "\n".join([s["bsd-grant"], *clauses])
+    want = [(bsd(2, "{}. "), ["BSD-2-Clause", "Proprietary"]), (bsd(3, "{}. "), ["BSD-3-Clause", "Proprietary"]),
+            (bsd(3, "({}) ", " * "), ["BSD-3-Clause", "Proprietary"]), (bsd(3, "* ", "// "), ["BSD-3-Clause", "Proprietary"]),
+            (mit, ["MIT"]), (mit.replace("\n", "\r\n"), ["MIT"]), (gpl, ["GPL-3.0-or-later"]), (apache, ["Apache-2.0"]),
+            (one_line, ["BSD-3-Clause"])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    assert [got[i].licenses for i in range(len(want))] == [w for _, w in want]
+    assert got[6].sentence_ids == ["gpl-free", "gpl-hope", "gpl-fit"]
+    assert got[7].sentence_ids == ["apache-hdr-1", "apache-hdr-2", "apache-hdr-3"]
