@@ -53,7 +53,7 @@ NEIGHBOURS = 15
 BLOCK = 64
 #: Share of the examples from which on a term is common, and the relative
 #: error that single precision may have.
-COMMON, SLACK = 0.02, 2e-4
+COMMON, SLACK = 0.04, 2e-4
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -137,15 +137,14 @@ class BlockMaxIndex:
         q[row[at >= 0], at[at >= 0]] = weight[at >= 0]
         return q @ self.common
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None, step: int = 4):
-        """The k examples of largest cosine above 0: (examples, cosines)."""
-        if not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        if common is None:
-            common = self.common_scores(np.zeros(len(term), np.int64), term, weight, 1)[0]
-        score = common.astype(np.float64)
-        rare = self.place[term] < 0
-        t, w = term[rare].astype(np.int64), weight[rare]
+    def _add(self, score: np.ndarray, first: np.ndarray, size: np.ndarray, weight: np.ndarray) -> None:
+        """Adds the postings from ``first`` on of terms of some weights."""
+        post = ranges(first.astype(np.int64), size)
+        score += np.bincount(self.post[post], weights=np.repeat(weight, size) * self.post_weight[post], minlength=self.n)
+
+    def _by_block(self, score: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, step: int) -> float:
+        """Adds the postings of the blocks that can reach the k-th best, which
+        is returned."""
         bound = w @ self.top[t].astype(np.float64) + np.maximum.reduceat(score, np.arange(0, self.n, self.block))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
@@ -158,12 +157,27 @@ class BlockMaxIndex:
             cell = (t[:, None] * self.blocks + part[None, :]).ravel()
             size = self.ptr[cell + 1] - self.ptr[cell]
             some = np.flatnonzero(size)
-            size = size[some]
-            post = ranges(self.ptr[cell[some]].astype(np.int64), size)
-            score += np.bincount(self.post[post], weights=np.repeat(w[some // len(part)], size) * self.post_weight[post],
-                                 minlength=self.n)
+            self._add(score, self.ptr[cell[some]], size[some], w[some // len(part)])
+            if self.n > k:
+                kth = np.partition(score, self.n - k)[self.n - k]
+        return kth
+
+    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None, step: int = 4):
+        """The k examples of largest cosine above 0: (examples, cosines)."""
+        if not self.n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        if common is None:
+            common = self.common_scores(np.zeros(len(term), np.int64), term, weight, 1)[0]
+        score = common.astype(np.float64)
+        rare = self.place[term] < 0
+        t, w = term[rare].astype(np.int64), weight[rare]
+        kth, size = 0.0, self.ptr[(t + 1) * self.blocks] - self.ptr[t * self.blocks]
+        if size.sum() <= len(t) * self.blocks:  # fewer postings than blocks of them: all at once
+            self._add(score, self.ptr[t * self.blocks], size, w)
             if self.n > k:
                 kth = np.partition(score, self.n - k)[self.n - k]
+        else:
+            kth = self._by_block(score, t, w, k, step)
         best = np.flatnonzero((score > 0) & (score >= kth * (1 - SLACK)))
         self.query[term] = weight
         post, size = ranges(self.first[best], self.size[best]), self.size[best]

@@ -516,3 +516,18 @@ def test_wrapped_licenses(spark):
     assert [got[i].licenses for i in range(len(want))] == [w for _, w in want]
     assert got[6].sentence_ids == ["gpl-free", "gpl-hope", "gpl-fit"]
     assert got[7].sentence_ids == ["apache-hdr-1", "apache-hdr-2", "apache-hdr-3"]
+
+
+@pytest.mark.parametrize("common, block", [(1.0, 16), (1.0, 2), (0.11, 16), (0.11, 2)])
+def test_nearest_examples_by_postings(monkeypatch, common, block):
+    rnd = np.random.default_rng(6)
+    n, m = 400, 60
+    dense = rnd.random((n, m)) ** 4 * (rnd.random((n, m)) < 0.1)
+    dense = dense[(dense ** 2).sum(axis=1) > 0]
+    dense /= np.sqrt((dense ** 2).sum(axis=1, keepdims=True))
+    monkeypatch.setattr(toxicity, "COMMON", common)
+    index = toxicity.BlockMaxIndex([(np.flatnonzero(r), r[r > 0]) for r in dense], m, block=block)
+    for q in dense[::7]:
+        best, cos = index.nearest(np.flatnonzero(q), q[q > 0], 9)
+        want = dense @ q
+        assert np.allclose(cos, np.sort(want)[::-1][:len(cos)]) and np.allclose(cos, want[best])
