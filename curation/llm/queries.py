@@ -9,6 +9,7 @@ from .licenses import OP2_SQL, op2_license_scan
 from .packing import op1_packing
 from .pii import op3_personal_data
 from .relative_lz import op5_substring_dedup
+from .resample import op13_resample
 from .simhash import op6_simhash
 from .token_counts import op7_token_counts
 from .toxicity import op4_toxicity
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_resample": op13_resample,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
