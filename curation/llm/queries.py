@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .archive import OP8_SQL, op8_warc_archive
+from .conversations import op11_conversation_repair
 from .decontaminate import OP10_SQL, op10_decontamination
 from .itq import op9_embedding_dedup
 from .licenses import OP2_SQL, op2_license_scan
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_warc_archive": op8_warc_archive,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_resample": op13_resample,
 }
 
