@@ -7,6 +7,7 @@ from .conversations import op11_conversation_repair
 from .decontaminate import OP10_SQL, op10_decontamination
 from .itq import op9_embedding_dedup
 from .licenses import OP2_SQL, op2_license_scan
+from .main_text import OP12_SQL, op12_main_text
 from .packing import op1_packing
 from .pii import op3_personal_data
 from .relative_lz import op5_substring_dedup
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_main_text": op12_main_text,
     "op13_resample": op13_resample,
 }
 
@@ -35,4 +37,5 @@ ORACLES = {
     "op2_license_scan": OP2_SQL,
     "op8_warc_archive": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op12_main_text": OP12_SQL,
 }
