@@ -133,13 +133,19 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-                seed: int = 0) -> np.ndarray:
-    """A 64-bit content hash of each word (equal bytes, equal hash)."""
+def span_hasher(data: np.ndarray, seed: int = 0):
+    """A function (starts, ends) -> 64-bit content hashes of spans of
+    ``data`` (equal bytes, equal hash)."""
     up, down = _powers(((_BYTE_BASE + 2 * 0x1000193 * seed) & _U64) | 1, len(data))
     c = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1 + seed)) * up[:-1], out=c[1:])
-    return mix64((c[ends] - c[starts]) * down[starts])
+    return lambda starts, ends: mix64((c[ends] - c[starts]) * down[starts])
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                seed: int = 0) -> np.ndarray:
+    """A 64-bit content hash of each word (equal bytes, equal hash)."""
+    return span_hasher(data, seed)(starts, ends)
 
 
 def window_hashes(h: np.ndarray, k: int, seed: int = 0) -> np.ndarray:

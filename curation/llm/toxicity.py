@@ -7,10 +7,10 @@ documents) times its lean: the squared phi coefficient with the toxic label
 where toxic examples hold it more often, and ``FLOOR`` besides, so that no
 term is without weight (with plain TF-IDF the topic of a text outvotes its
 toxic words).  Terms of a text that no example holds count in its length.  A
-text's nearest examples are found exactly: an inverted index keeps each
-term's postings in blocks of examples with the block's largest weight; blocks
-are visited in falling order of their bound, until no bound can reach the
-k-th best.  The neighbours vote, weighted by the share of the text's squared
+text's nearest examples are found exactly: an inverted index keeps the largest
+weight of each term in each block of examples; a batch of texts visits blocks
+in falling order of their bound, and only those whose bound reaches the k-th
+best.  The neighbours vote, weighted by the share of the text's squared
 length that lies along the example over the share that does not, so that an
 example the text copies decides; the vote is corrected for the sampled class
 sizes, and pulled to the base rate when little evidence supports it.  Equal
@@ -42,8 +42,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ALNUM, LOWER, checkpoint, flat_text, mix64, ranges, table, text_slices, word_hashes,
-                     word_spans)
+from .common import (ALNUM, LOWER, checkpoint, flat_text, mix64, ranges, span_hasher, table, text_slices, word_spans)
 
 #: Labelled examples of each class, at most.
 EXAMPLES = 2000
@@ -51,9 +50,9 @@ EXAMPLES = 2000
 FLOOR = 1e-4
 NEIGHBOURS = 15
 BLOCK = 64
-#: Share of the examples from which on a term is common, and the relative
-#: error that single precision may have.
-COMMON, SLACK = 0.04, 2e-4
+#: Share of the examples from which on a term is common, the relative error
+#: that a sum in single precision may have, and rows summed again at a time.
+COMMON, SLACK, EXACT_ROWS = 0.06, 2e-4, 1024
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -64,10 +63,11 @@ def terms(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     data = LOWER[data]
     s, e, ptr = word_spans(data, offs, ALNUM)
     row = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
-    out, rows = [word_hashes(data, s, e)], [row]
+    hashes = span_hasher(data)
+    out, rows = [hashes(s, e)], [row]
     for p in PREFIXES:
         long = (e - s) > p
-        out.append(mix64(word_hashes(data, s[long], s[long] + p) ^ np.uint64(p)))
+        out.append(mix64(hashes(s[long], s[long] + p) ^ np.uint64(p)))
         rows.append(row[long])
     return np.concatenate(out), np.concatenate(rows)
 
@@ -83,109 +83,111 @@ def counted(row: np.ndarray, term: np.ndarray):
 def term_counts(arr: pa.Array, vocab: np.ndarray, others: bool = True):
     """(text, vocabulary index, count) of the vocabulary's terms in some
     texts, ordered by text, and (text, term, count) of the other terms (none
-    unless ``others``); ``vocab`` is sorted."""
-    t, row = terms(arr)
-    if not len(vocab):
-        z = np.zeros(0, np.int64)
-        return (z, z, z), counted(row, t) if others else (z, z, z)
-    k = np.minimum(np.searchsorted(vocab, t), len(vocab) - 1)
-    hit = vocab[k] == t
-    pair, n = np.unique(row[hit] * len(vocab) + k[hit], return_counts=True)
-    rest = ~hit & others
-    return (pair // len(vocab), pair % len(vocab), n), counted(row[rest], t[rest])
+    unless ``others``); ``vocab`` is sorted.  Each distinct word is cut into
+    terms and looked up once."""
+    data, offs = flat_text(arr)
+    data = LOWER[data]
+    s, e, ptr = word_spans(data, offs, ALNUM)
+    row = np.repeat(np.arange(len(ptr) - 1), np.diff(ptr))
+    hashes = span_hasher(data)
+    word, at, which = np.unique(hashes(s, e), return_index=True, return_inverse=True)
+    s, e = s[at], e[at]
+    parts, owner, column = [word], [np.arange(len(word))], [np.zeros(len(word), np.int64)]
+    for j, p in enumerate(PREFIXES):
+        long = np.flatnonzero(e - s > p)
+        parts.append(mix64(hashes(s[long], s[long] + p) ^ np.uint64(p)))
+        owner.append(long)
+        column.append(np.full(len(long), j + 1))
+    term, local = np.unique(np.concatenate(parts), return_inverse=True)
+    of = np.full((len(word), 1 + len(PREFIXES)), -1)
+    of[np.concatenate(owner), np.concatenate(column)] = local
+    known = np.minimum(np.searchsorted(vocab, term), max(0, len(vocab) - 1))
+    hit = vocab[known] == term if len(vocab) else np.zeros(len(term), bool)
+    if not others:
+        of[~hit[of] | (of < 0)] = -1
+    pairs = row[:, None] * len(term) + of[which]
+    pair, n = np.unique(pairs[of[which] >= 0], return_counts=True)
+    row, local = np.divmod(pair, max(1, len(term)))
+    mine = hit[local]
+    return (row[mine], known[local[mine]], n[mine]), (row[~mine], term[local[~mine]], n[~mine])
 
 
 class BlockMaxIndex:
-    """Exact nearest examples under the cosine of sparse unit vectors.
-
-    Terms of more than a share ``COMMON`` of the examples stand in a matrix in
-    single precision, the others in postings by block.  What is within
-    ``SLACK`` of the k-th best is scored again in double precision."""
+    """Exact nearest examples under the cosine of sparse unit vectors, for a
+    batch of texts at a time.
+
+    Terms of more than a share ``COMMON`` of the examples stand in a matrix,
+    with the largest weight of each block of examples; the others in postings
+    (most of these hold one example a block, so that each is its own largest
+    weight).  A block's bound is the largest sum of postings in it plus the
+    common terms' largest weights; the common terms of a block are added only
+    for the texts whose bound reaches the k-th best so far.  Examples' weights
+    have single precision; what is within ``SLACK`` of the k-th best is summed
+    again in double precision."""
 
     def __init__(self, rows: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
         """rows: for each example the term indexes and unit weights."""
         self.n, self.block = len(rows), block
-        self.blocks = max(1, -(-self.n // block))
-        self.size = np.array([len(r[0]) for r in rows], dtype=np.int64)
-        self.first = np.cumsum(self.size) - self.size
+        size = np.array([len(r[0]) for r in rows], dtype=np.int64)
         term = np.concatenate([r[0] for r in rows]).astype(np.int64) if rows else np.zeros(0, np.int64)
-        weight = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0)
-        example = np.repeat(np.arange(self.n), self.size)
-        self.term, self.weight = term, weight  # by example
-        self.query = np.zeros(n_terms)
+        weight = np.concatenate([r[1] for r in rows]).astype(np.float32) if rows else np.zeros(0, np.float32)
+        example = np.repeat(np.arange(self.n), size)
         often = np.flatnonzero(np.bincount(term, minlength=n_terms) > COMMON * self.n)
-        self.place = np.full(n_terms, -1)
+        self.place = np.full(n_terms, -1, np.int32)
         self.place[often] = np.arange(len(often))
         at = self.place[term]
-        self.common = np.zeros((len(often), self.n), np.float32)
-        self.common[at[at >= 0], example[at >= 0]] = weight[at >= 0]
+        self.common = np.zeros((self.n, len(often)), np.float32)
+        self.common[example[at >= 0], at[at >= 0]] = weight[at >= 0]
+        self.starts = np.arange(0, self.n, block)
+        self.top = np.maximum.reduceat(self.common, self.starts, axis=0) if self.n else self.common
         term, weight, example = term[at < 0], weight[at < 0], example[at < 0]
-        by = np.argsort(term * max(1, self.n) + example)
-        term, self.post_weight, self.post = term[by], weight[by], example[by]
-        # postings of term t in block b: from ptr[t * blocks + b]
-        cell = term * self.blocks + self.post // block
-        self.ptr = np.zeros(n_terms * self.blocks + 1, np.int32)
-        np.cumsum(np.bincount(cell, minlength=n_terms * self.blocks), out=self.ptr[1:])
-        # rounded up: a bound stays one
-        self.top = np.zeros((n_terms, self.blocks), np.float32)
-        np.maximum.at(self.top.reshape(-1), cell, np.nextafter(self.post_weight.astype(np.float32), np.float32(np.inf)))
-
-    def common_scores(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
-        """What the common terms add to the cosine of n texts and each example."""
+        by = np.argsort(term, kind="stable")
+        self.post_weight, self.post = weight[by], example[by].astype(np.int32)
+        self.ptr = np.zeros(n_terms + 1, np.int32)
+        np.cumsum(np.bincount(term, minlength=n_terms), out=self.ptr[1:])
+
+    def nearest(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, n: int, k: int, step: int = 4):
+        """(text, example, cosine) of the k examples of largest cosine above
+        0 of n texts, by text and falling cosine."""
+        if not self.n or not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         at = self.place[term]
-        q = np.zeros((n, len(self.common)), np.float32)
-        q[row[at >= 0], at[at >= 0]] = weight[at >= 0]
-        return q @ self.common
-
-    def _add(self, score: np.ndarray, first: np.ndarray, size: np.ndarray, weight: np.ndarray) -> None:
-        """Adds the postings from ``first`` on of terms of some weights."""
-        post = ranges(first.astype(np.int64), size)
-        score += np.bincount(self.post[post], weights=np.repeat(weight, size) * self.post_weight[post], minlength=self.n)
-
-    def _by_block(self, score: np.ndarray, t: np.ndarray, w: np.ndarray, k: int, step: int) -> float:
-        """Adds the postings of the blocks that can reach the k-th best, which
-        is returned."""
-        bound = w @ self.top[t].astype(np.float64) + np.maximum.reduceat(score, np.arange(0, self.n, self.block))
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        kth, at = 0.0, 0
-        while at < len(order):
-            part = order[at:at + step]
-            at, step = at + step, 2 * step
-            if bound[part[0]] * (1 + SLACK) < kth * (1 - SLACK):  # no block left can reach the k-th best
-                break
-            cell = (t[:, None] * self.blocks + part[None, :]).ravel()
-            size = self.ptr[cell + 1] - self.ptr[cell]
-            some = np.flatnonzero(size)
-            self._add(score, self.ptr[cell[some]], size[some], w[some // len(part)])
-            if self.n > k:
-                kth = np.partition(score, self.n - k)[self.n - k]
-        return kth
-
-    def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None, step: int = 4):
-        """The k examples of largest cosine above 0: (examples, cosines)."""
-        if not self.n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        if common is None:
-            common = self.common_scores(np.zeros(len(term), np.int64), term, weight, 1)[0]
-        score = common.astype(np.float64)
-        rare = self.place[term] < 0
-        t, w = term[rare].astype(np.int64), weight[rare]
-        kth, size = 0.0, self.ptr[(t + 1) * self.blocks] - self.ptr[t * self.blocks]
-        if size.sum() <= len(t) * self.blocks:  # fewer postings than blocks of them: all at once
-            self._add(score, self.ptr[t * self.blocks], size, w)
+        some = at < 0
+        first, size = self.ptr[term[some]].astype(np.int64), np.diff(self.ptr)[term[some]]
+        post = ranges(first, size)
+        rare = np.bincount(np.repeat(row[some] * self.n, size) + self.post[post], minlength=n * self.n,
+                           weights=np.repeat(weight[some], size) * self.post_weight[post]).reshape(n, self.n).astype(float)
+        q = np.zeros((n, self.common.shape[1]), np.float32)
+        q[row[~some], at[~some]] = weight[~some]
+        score = rare.astype(np.float32)
+        bound = (np.maximum.reduceat(score, self.starts, axis=1) + q @ self.top.T) * (1 + SLACK)
+        kth = np.zeros(n, np.float32)
+        todo = bound > 0
+        step = min(step, len(self.starts))
+        while todo.any():
+            # the blocks of largest bound first
+            low = -np.partition(np.where(todo, -bound, 0), step - 1, axis=1)[:, [step - 1]]
+            now = todo & (bound >= low)
+            for b in np.flatnonzero(now.any(axis=0)):
+                texts = np.flatnonzero(now[:, b])
+                here = slice(self.starts[b], self.starts[b] + self.block)
+                score[texts, here] += q[texts] @ self.common[here].T
             if self.n > k:
-                kth = np.partition(score, self.n - k)[self.n - k]
-        else:
-            kth = self._by_block(score, t, w, k, step)
-        best = np.flatnonzero((score > 0) & (score >= kth * (1 - SLACK)))
-        self.query[term] = weight
-        post, size = ranges(self.first[best], self.size[best]), self.size[best]
-        exact = np.bincount(np.repeat(np.arange(len(best)), size), weights=self.query[self.term[post]] * self.weight[post],
-                            minlength=len(best))
-        self.query[term] = 0
-        by = np.lexsort((best, -exact))[:k]
-        return best[by], np.minimum(exact[by], 1.0)
+                kth = np.partition(score, self.n - k, axis=1)[:, self.n - k] * (1 - SLACK)
+            # no other block can reach the k-th best
+            todo = todo & ~now & (bound >= kth[:, None])
+            step = len(self.starts)
+        text, best = np.nonzero((score > 0) & (score >= kth[:, None]))
+        cos = rare[text, best]  # again in double precision
+        query = np.zeros(q.shape)
+        query[row[~some], at[~some]] = weight[~some]
+        for x in range(0, len(text), EXACT_ROWS):
+            z = slice(x, x + EXACT_ROWS)
+            cos[z] += np.einsum("ij,ij->i", query[text[z]], self.common[best[z]], dtype=float)
+        by = np.lexsort((best, -cos, text))
+        text, best, cos = text[by], best[by], cos[by]
+        keep = np.arange(len(text)) - np.searchsorted(text, text) < k
+        return text[keep], best[keep], np.minimum(cos[keep], 1.0)
 
 
 def tfidf(count: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -214,28 +216,28 @@ class Model:
         return state["model"]
 
     def scores(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray, step: int = 256):
-        """(text, score, neighbours, cosines) of each text with terms;
-        ``rest`` is the squared length of each text's terms outside the
-        vocabulary."""
+        """The score of each text, and (text, example, cosine) of its
+        neighbours; ``rest`` is the squared length of each text's terms
+        outside the vocabulary."""
         w = tfidf(count, self.weight[term])
         w /= np.sqrt(np.bincount(row, weights=w * w, minlength=len(rest)) + rest)[row]
+        score = np.full(len(rest), self.empty)
         cut = np.searchsorted(row, np.arange(len(rest) + 1))
+        found = []
         for at in range(0, len(rest), step):
             to = min(at + step, len(rest))
             z = slice(cut[at], cut[to])
-            common = self.index.common_scores(row[z] - at, term[z], w[z], to - at)
-            for i in range(at, to):
-                s = slice(cut[i], cut[i + 1])
-                if s.start < s.stop:
-                    best, cos = self.index.nearest(term[s], w[s], self.k, common[i - at])
-                    yield i, self.vote(best, cos), best, cos
-
-    def vote(self, best: np.ndarray, cos: np.ndarray) -> float:
+            text, best, cos = self.index.nearest(row[z] - at, term[z], w[z], to - at, self.k)
+            score[at:to] = np.where(np.diff(cut[at:to + 1]) > 0, self.vote(text, best, cos, to - at), self.empty)
+            found.append((text + at, best, cos))
+        return score, *(np.concatenate(x) for x in zip(*found))
+
+    def vote(self, text: np.ndarray, best: np.ndarray, cos: np.ndarray, n: int) -> np.ndarray:
         w = cos * cos / (1 - cos * cos + 1e-6) * self.class_weight[self.labels[best]]
         # as much as one neighbour of the rarer class that explains half of the text
-        pull = self.class_weight[self.class_weight > 0].min()
-        vote = (w * self.labels[best]).sum() + pull * self.base
-        return vote / (w.sum() + pull)
+        pull = self.class_weight[self.class_weight > 0].min() if len(self.labels) else 1.0
+        toxic = np.bincount(text, weights=w * self.labels[best], minlength=n)
+        return (toxic + pull * self.base) / (np.bincount(text, weights=w, minlength=n) + pull)
 
 
 def _example_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
@@ -353,13 +355,17 @@ def score(docs: DataFrame, state: dict, text_col: str = "text", score_col: str =
                 (row, term, count), (at, _, n) = term_counts(
                     part.column(part.schema.get_field_index(text_col)), model.vocab)
                 rest = np.bincount(at, weights=tfidf(n, model.other) ** 2, minlength=part.num_rows)
-                out = np.full(part.num_rows, model.empty)
-                why: list = [[]] * part.num_rows
-                for i, out[i], best, cos in model.scores(row, term, count, rest):
-                    why[i] = [{"example": int(model.ids[b]), "toxic": int(model.labels[b]), "cosine": float(c)}
-                              for b, c in zip(best[:n_evidence], cos)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.clip(out, 0, 1)), pa.array(why, kind)],
-                                                 names=[*keep, score_col, evidence_col])
+                if not part.num_rows:
+                    continue
+                out, text, best, cos = model.scores(row, term, count, rest)
+                top = np.arange(len(text)) - np.searchsorted(text, text) < n_evidence
+                why = pa.StructArray.from_arrays(
+                    [pa.array(model.ids[best[top]]), pa.array(model.labels[best[top]], pa.int32()), pa.array(cos[top])],
+                    fields=list(kind.value_type))
+                offs = np.searchsorted(text[top], np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(np.clip(out, 0, 1)), pa.ListArray.from_arrays(pa.array(offs), why, type=kind)],
+                    names=[*keep, score_col, evidence_col])
 
     schema = T.StructType([*docs.schema, T.StructField(score_col, T.DoubleType()),
                            T.StructField(evidence_col, _EVIDENCE)])

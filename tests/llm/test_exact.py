@@ -180,10 +180,14 @@ def test_nearest_examples_are_exact():
     dense = dense[(dense ** 2).sum(axis=1) > 0]
     dense /= np.sqrt((dense ** 2).sum(axis=1, keepdims=True))
     index = toxicity.BlockMaxIndex([(np.flatnonzero(r), r[r > 0]) for r in dense], m, block=16)
-    for q in dense[::7]:
-        best, cos = index.nearest(np.flatnonzero(q), q[q > 0], 9)
-        want = dense @ q
-        assert np.allclose(np.sort(cos), np.sort(want)[-len(cos):]) and np.allclose(cos, np.minimum(want[best], 1))
+    for batch in (dense[::7], dense[:1], dense[:0]):
+        row, term = np.nonzero(batch)
+        text, best, cos = index.nearest(row, term, batch[row, term], len(batch), 9, step=2)
+        for i, q in enumerate(batch):
+            want = dense @ q
+            got = cos[text == i]
+            assert np.allclose(got, np.sort(want)[::-1][:len(got)]) and np.allclose(got, np.minimum(want[best[text == i]], 1))
+            assert len(got) == min(9, (want > 0).sum())
 
 
 def test_toxicity(spark):
@@ -527,7 +531,9 @@ def test_nearest_examples_by_postings(monkeypatch, common, block):
     dense /= np.sqrt((dense ** 2).sum(axis=1, keepdims=True))
     monkeypatch.setattr(toxicity, "COMMON", common)
     index = toxicity.BlockMaxIndex([(np.flatnonzero(r), r[r > 0]) for r in dense], m, block=block)
-    for q in dense[::7]:
-        best, cos = index.nearest(np.flatnonzero(q), q[q > 0], 9)
+    row, term = np.nonzero(dense[::7])
+    text, best, cos = index.nearest(row, term, dense[::7][row, term], len(dense[::7]), 9, step=1)
+    for i, q in enumerate(dense[::7]):
         want = dense @ q
-        assert np.allclose(cos, np.sort(want)[::-1][:len(cos)]) and np.allclose(cos, want[best])
+        got = cos[text == i]
+        assert np.allclose(got, np.sort(want)[::-1][:len(got)]) and np.allclose(got, want[best[text == i]])
