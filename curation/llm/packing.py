@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import LOWER, NON_SPACE, flat_text, ranges, table, text_slices
+from .common import LOWER, NON_SPACE, flat_text, ranges, span_hasher, table, text_slices
 
 WINDOW = 2048
 END_ID = 1
@@ -96,47 +96,48 @@ class ChunkEncoder:
                 self.sentence_end[i] = t[:-4] != "" and set(t[:-4]) <= set(".!?")
 
     def _clear(self) -> None:
-        self.slot: dict[bytes, int] = {}
+        self.slot: dict[int, int] = {}  # by 64-bit content hash
         self.flat = np.zeros(1 << 16, np.uint32)  # ids of all chunks, one after the other
         self.ends = np.zeros(1 << 14, np.int64)  # where each chunk's ids end
         self.used = 0
 
-    def _add(self, chunks: list[bytes], ids: np.ndarray, counts: np.ndarray) -> None:
+    def _add(self, keys: list[int], ids: np.ndarray, counts: np.ndarray) -> None:
         k = len(self.slot)
         self.flat = _grown(self.flat, self.used + len(ids))
-        self.ends = _grown(self.ends, k + len(chunks))
+        self.ends = _grown(self.ends, k + len(keys))
         self.flat[self.used:self.used + len(ids)] = ids
-        self.ends[k:k + len(chunks)] = self.used + np.cumsum(counts)
+        self.ends[k:k + len(keys)] = self.used + np.cumsum(counts)
         self.used += len(ids)
-        self.slot.update(zip(chunks, range(k, k + len(chunks))))
+        self.slot.update(zip(keys, range(k, k + len(keys))))
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        new = set(chunks).difference(self.slot)
-        words = [c for c in new if c.isalpha() or (not c.isascii() and c.decode().isalpha())]
-        others = list(new.difference(words))
+    def _learn(self, new: list[tuple[bytes, int]]) -> None:
+        """Encodes chunks that are new, each with its key."""
+        words, others = [], []
+        for c in new:
+            (words if c[0].isalpha() or (not c[0].isascii() and c[0].decode().isalpha()) else others).append(c)
         # a line of words: each word ends at an id that closes a word
         for at in range(0, len(words), 4000):
             part = words[at:at + 4000]
-            ids = np.array(self.tok.encode(b" ".join(part).decode(), add_special_tokens=False).ids, np.uint32)
+            line = b" ".join([c for c, _ in part]).decode()
+            ids = np.array(self.tok.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) == len(part):
-                self._add(part, ids, np.diff(ends, prepend=0))
+                self._add([k for _, k in part], ids, np.diff(ends, prepend=0))
             else:  # some letter of these is more than one piece
                 others += part
         for at in range(0, len(others), 4000):
             part = others[at:at + 4000]
-            got = [e.ids for e in self.tok.encode_batch_fast([c.decode() for c in part],
+            got = [e.ids for e in self.tok.encode_batch_fast([c.decode() for c, _ in part],
                                                              add_special_tokens=False)]
             n = np.fromiter(map(len, got), np.int64, len(got))
-            self._add(part, np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n)
+            self._add([k for _, k in part], np.fromiter(chain.from_iterable(got), np.uint32, int(n.sum())), n)
 
-    def _chunks(self, data: np.ndarray, offs: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-        """The chunks of some texts, and the number of them in each."""
-        n = len(data)
+    def _chunks(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes that the chunks of some texts are spans of, the chunks'
+        starts and ends, and the number of them in each text."""
         solid = NON_SPACE[data]
-        row = np.zeros(n + 1, dtype=bool)
+        row = np.zeros(len(data) + 1, dtype=bool)
         row[offs] = True
-        before = np.append(False, solid[:-1])
         cut = row[:-1].copy()
         if b"<|" not in data.tobytes():
             kind = _KIND[data]
@@ -148,25 +149,29 @@ class ChunkEncoder:
             cut |= (kind == _LETTER) & (left == _DIGIT)
             cut |= (kind == _LETTER) & (left == _SIGN) & (np.append(0, data[:-1]) != 0x27)
             data = np.where(np.append(data[1:], 0) < 0x80, LOWER[data], data)
-        first = np.flatnonzero(solid & (~before | cut))
-        spaced = np.full(n + int(cut.sum()), 0x20, np.uint8)
-        spaced[np.arange(n) + np.cumsum(cut)] = data
-        return spaced.tobytes().split(), np.diff(np.searchsorted(first, offs))
+        begin = solid & (~np.append(False, solid[:-1]) | cut)
+        last = solid & np.append(~solid[1:] | begin[1:], True)
+        first = np.flatnonzero(begin)
+        return data, first, np.flatnonzero(last) + 1, np.diff(np.searchsorted(first, offs))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and the number of them in each text."""
         data, offs = flat_text(texts)
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        chunks, per_text = self._chunks(data, offs)
+        data, starts, ends, per_text = self._chunks(data, offs)
         if len(self.slot) > self.limit:
             self._clear()
-        self._learn(chunks)
-        slots = np.fromiter(map(self.slot.__getitem__, chunks), dtype=np.int64, count=len(chunks))
-        del chunks
+        keys, at, which = np.unique(span_hasher(data)(starts, ends), return_index=True, return_inverse=True)
+        slots = np.fromiter((self.slot.get(k, -1) for k in keys.tolist()), np.int64, len(keys))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            raw, k = data.tobytes(), keys[new].tolist()
+            self._learn([(raw[a:b], k) for a, b, k in zip(starts[at[new]].tolist(), ends[at[new]].tolist(), k)])
+            slots[new] = np.fromiter(map(self.slot.__getitem__, k), np.int64, len(new))
         first = np.where(slots > 0, self.ends[slots - 1], 0)
-        n = self.ends[slots] - first
-        ids = self.flat[ranges(first, n)]
+        n = (self.ends[slots] - first)[which]
+        ids = self.flat[ranges(first[which], n)]
         return ids, np.diff(np.append(0, np.cumsum(n))[np.cumsum(per_text)], prepend=0)
 
 
