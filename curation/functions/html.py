@@ -1,23 +1,24 @@
 """HTML column expressions: readable text, title, meta tags, embeds.
 
-Tag and whitespace handling are JVM regexes.  Entity decoding uses the full
-HTML5 table of Python's standard library inside one Arrow-batched
-``pandas_udf``, applied after tags are stripped so fewer bytes cross.
+A document is scanned in one Arrow-batched ``pandas_udf`` (``tagscan``) for
+all that is asked of it: the full HTML5 table of entities needs Python in any
+case, and the scans are linear in the page, which the rules as JVM regexes are
+not.  What is short (embeds, tests of a page's beginning) stays in the JVM.
 """
 
 from __future__ import annotations
 
 import html as _html
-import re
-from typing import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from curation.functions.text import SPACE, clean_lines, collapse_ws, let
+from curation.functions import tagscan
+from curation.functions.text import SPACE, collapse_ws
 
 
 def _unescape_one(x):
@@ -40,74 +41,31 @@ def unescape(c: Column) -> Column:
     return _unescape_batch(c)
 
 
-def strip_tags(raw: Column) -> Column:
-    """Drop script/style blocks, turn ``<br>`` and ``</p>`` into newlines and
-    every other tag into a space (no entity decoding yet)."""
-    t = F.regexp_replace(raw, r"(?isu)<(script|style)[^>]*+>.*?</\1>", " ")
-    t = F.regexp_replace(t, f"(?isu)<br{SPACE}*/?>", "\n")
-    t = F.regexp_replace(t, f"(?isu)</p{SPACE}*>", "\n")
-    return F.regexp_replace(t, r"(?isu)<[^>]+>", " ")
+def _strings(*names: str) -> StructType:
+    return StructType([StructField(n, StringType()) for n in names])
 
 
-def html_to_text(raw: Column) -> Column:
-    """Readable text of an HTML document, one non-blank line per line."""
-    return clean_lines(unescape(strip_tags(raw)))
-
-
-def _meta_patterns(name: str) -> list[str]:
-    n = re.escape(name)
-    return [
-        rf"""(?isu)<meta[^>]+name=["']{n}["'][^>]+content=["'](.*?)["']""",
-        rf"""(?isu)<meta[^>]+property=["']{n}["'][^>]+content=["'](.*?)["']""",
-        rf"""(?isu)<meta[^>]+content=["'](.*?)["'][^>]+(?:name|property)=["']{n}["']""",
-    ]
-
-
-# Characters Python's case-insensitive matching folds onto ASCII letters
-# (long s, dotless i, Kelvin sign, dotted capital I), mapped before lower().
-_FOLD_FROM, _FOLD_TO = "\u017f\u0131\u212a\u0130", "sikI"
+def _scan(make: Callable[[str], str]):
+    """A column function from a function of one page (null stays null)."""
+    @pandas_udf(StringType())
+    def scan(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in pages:
+            yield part.map(lambda x: None if x is None else make(x))
+    return scan
 
 
-def _folded(raw: Column) -> Column:
-    return F.lower(F.translate(raw, _FOLD_FROM, _FOLD_TO))
-
-
-def _group_of(pat: str):
-    # Group 1 taken from the (short) whole match instead of a second scan
-    # of the document; NULL when the pattern did not match.
-    return lambda m: F.when(m != "", F.regexp_extract(m, pat, 1))
-
-
-def first_match(raw: Column, patterns: Iterable[str]) -> Column:
-    """Group 1 of the first pattern that matches anywhere (NULL if none)."""
-    expr = None
-    for pat in patterns:
-        val = let(F.regexp_extract(raw, pat, 0), _group_of(pat))
-        expr = val if expr is None else F.coalesce(expr, val)
-    return expr
+def html_to_text(raw: Column) -> Column:
+    """Readable text of an HTML document, one non-blank line per line."""
+    return _scan(tagscan.text_of)(raw)
 
 
-def meta_raw(raw: Column, names: Iterable[str]) -> Column:
-    """Raw content of the first matching meta tag; NULL when none matches.
+def meta_content(raw: Column, names: Iterable[str]) -> Column:
+    """Decoded, whitespace-collapsed content of the first matching meta tag.
 
     Names are tried in order, each with three attribute orders; the first
-    pattern that matches anywhere wins even if its content is empty.  A
-    name's patterns only run when the case-folded document contains it.
-    """
+    that matches anywhere wins even if its content is empty."""
     names = list(names)
-
-    def body(low: Column) -> Column:
-        expr = None
-        for name in names:
-            val = F.when(F.instr(low, name.lower()) > 0, first_match(raw, _meta_patterns(name)))
-            expr = val if expr is None else F.coalesce(expr, val)
-        return F.when(F.instr(low, "<meta") > 0, expr)
-    return let(_folded(raw), body)
-
-
-def meta_content(raw: Column, names: Iterable[str]) -> Column:
-    """Decoded, whitespace-collapsed content of the first matching meta tag."""
-    return F.coalesce(unescape(collapse_ws(meta_raw(raw, names))), F.lit(""))
+    return F.coalesce(_scan(lambda x: tagscan.MetaTags(x).content(names))(raw), F.lit(""))
 
 
 TITLE_NAMES = ["og:title", "twitter:title"]
@@ -118,29 +76,48 @@ COLLECTOR_DESCRIPTION_NAMES = ["og:description", "description"]
 
 def title_tag(raw: Column) -> Column:
     """Text of the first ``<title>`` element, collapsed and decoded."""
-    pat = r"(?isu)<title[^>]*>(.*?)</title>"
-    return F.coalesce(unescape(collapse_ws(first_match(raw, [pat]))), F.lit(""))
+    return F.coalesce(_scan(tagscan.title_element)(raw), F.lit(""))
+
+
+def _title_of(page: str) -> str:
+    return tagscan.MetaTags(page).content(TITLE_NAMES) or tagscan.title_element(page)
 
 
 def page_title(raw: Column) -> Column:
     """``og:title`` / ``twitter:title`` meta, else ``<title>``."""
-    og = meta_content(raw, TITLE_NAMES)
-    return F.when(og != "", og).otherwise(title_tag(raw))
+    return F.coalesce(_scan(_title_of)(raw), F.lit(""))
+
+
+@pandas_udf(_strings("title", "description", "text"))
+def _page_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for part in pages:
+        rows = []
+        for page in part:
+            if page is None:
+                rows.append(("", "", None))
+                continue
+            meta = tagscan.MetaTags(page)
+            rows.append((meta.content(TITLE_NAMES) or tagscan.title_element(page), meta.content(DESCRIPTION_NAMES),
+                         tagscan.text_of(page)))
+        yield pd.DataFrame(rows, columns=["title", "description", "text"], dtype=object)
+
+
+def page_parts(raw: Column) -> Column:
+    """struct(title, description, text) of an HTML document in one scan."""
+    return _page_parts(raw)
 
 
-def _meta_only(raw: Column, names: Iterable[str]) -> Column:
-    """Collector meta lookup: one pattern order (property/name first)."""
-    pats = []
-    for name in names:
-        attr = "property" if ":" in name else "name"
-        pats.append(rf"""(?isu)<meta[^>]+{attr}=["']{re.escape(name)}["'][^>]+content=["'](.*?)["']""")
-    return F.coalesce(unescape(collapse_ws(first_match(raw, pats))), F.lit(""))
+@pandas_udf(_strings("title", "desc"))
+def _collected(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    for part in pages:
+        rows = [("", "") if x is None else
+                (tagscan.title_element(x), tagscan.MetaTags(x).content_behind(COLLECTOR_DESCRIPTION_NAMES)) for x in part]
+        yield pd.DataFrame(rows, columns=["title", "desc"], dtype=object)
 
 
 def collector_meta(raw: Column) -> Column:
     """Collector page metadata: struct(title from <title>, desc og-first)."""
-    return F.struct(title_tag(raw).alias("title"),
-                    _meta_only(raw, COLLECTOR_DESCRIPTION_NAMES).alias("desc"))
+    return _collected(raw)
 
 
 def looks_like_html(raw: Column) -> Column:
@@ -163,10 +140,12 @@ def short_title(text: Column, n: int = 70) -> Column:
 Cleaner = Callable[[Column], Column]
 
 
-def clean_body(raw: Column, cleaner: Cleaner | None = None, min_chars: int = 120) -> Column:
+def clean_body(raw: Column, cleaner: Cleaner | None = None, min_chars: int = 120, builtin: Column | None = None) -> Column:
     """struct(text, cleaner): a pluggable extractor is used when it yields at
-    least ``min_chars`` stripped chars, else the built-in ``html_to_text``."""
-    builtin = F.struct(html_to_text(raw).alias("text"), F.lit("html_to_text").alias("cleaner"))
+    least ``min_chars`` stripped chars, else the built-in ``html_to_text``
+    (or its result ``builtin``, where that is known)."""
+    text = html_to_text(raw) if builtin is None else builtin
+    builtin = F.struct(text.alias("text"), F.lit("html_to_text").alias("cleaner"))
     if cleaner is None:
         return builtin
     ext = F.regexp_replace(cleaner(raw), f"^{SPACE}+|{SPACE}+$", "")

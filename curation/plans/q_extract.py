@@ -15,7 +15,7 @@ from curation.plans import sqlgen as S
 from curation.plans.registry import register
 from curation.session import read_table
 from curation.sources.links import URL_RE, ingest_links
-from curation.sources.pages import page_fields
+from curation.sources.pages import with_page_fields
 
 
 @register("page_links", oracle=f"""WITH t AS (
@@ -83,12 +83,9 @@ FROM m2"""
 def page_meta(spark: SparkSession, sf: str) -> DataFrame:
     """Meta lookups in order, title preference, description
     prefix and a pluggable cleaner with provenance."""
-    m = meta_pages(spark, sf)
-    f = page_fields(F.col("html"), cleaner=article_cleaner)
-    return m.select("page_id", f["title"].alias("title"),
-                    H.meta_content(F.col("html"), H.DESCRIPTION_NAMES).alias("description"),
-                    f["cleaner"].alias("cleaner"), F.length(f["body"]).alias("body_chars"),
-                    F.substring(f["body"], 1, 200).alias("body_head"))
+    f = with_page_fields(meta_pages(spark, sf), "html", "f", cleaner=article_cleaner)
+    return f.select("page_id", "f.title", "f.description", "f.cleaner", F.length("f.body").alias("body_chars"),
+                    F.substring("f.body", 1, 200).alias("body_head"))
 
 
 def embed_markup(spark: SparkSession, sf: str) -> DataFrame:

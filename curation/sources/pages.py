@@ -17,24 +17,28 @@ def empty_meta():
     return F.create_map().cast("map<string,string>")
 
 
-def page_fields(raw: Column, cleaner: H.Cleaner | None = None) -> Column:
-    """struct(title, body, cleaner) of one fetched document.
+def with_page_fields(df: DataFrame, html: str, out: str = "_p", cleaner: H.Cleaner | None = None) -> DataFrame:
+    """``df`` with a struct(title, body, cleaner, description) of the fetched
+    documents in column ``html``.
 
     HTML (``<html`` in the first 500 or ``<title`` in the first 2000 chars):
     title from meta/``<title>``, body = cleaned text, prefixed by the meta
     description unless it already occurs in the first 500 body chars.
-    Anything else is plain text: stripped, no title.
+    Anything else is plain text: stripped, no title, no scan.
     """
-    cleaned = H.clean_body(raw, cleaner)
-    desc = H.meta_content(raw, H.DESCRIPTION_NAMES)
-    text = cleaned["text"]
+    raw = F.col(html)
+    is_html = H.looks_like_html(raw)
+    # a column of its own, so that the scan runs once however often it is read
+    df = df.withColumn("_parts", H.page_parts(F.when(is_html, raw)))
+    cleaned = H.clean_body(raw, cleaner, builtin=F.col("_parts.text"))
+    desc, text = F.col("_parts.description"), cleaned["text"]
     body = F.when((desc != "") & (F.instr(F.substring(text, 1, 500), desc) == 0),
                   F.concat(desc, F.lit("\n\n"), text)).otherwise(text)
-    html_doc = F.struct(H.page_title(raw).alias("title"), body.alias("body"),
-                        cleaned["cleaner"].alias("cleaner"))
-    plain = F.struct(F.lit("").alias("title"), py_strip(raw).alias("body"),
-                     F.lit("plain_text").alias("cleaner"))
-    return F.when(H.looks_like_html(raw), html_doc).otherwise(plain)
+    html_doc = F.struct(F.col("_parts.title").alias("title"), body.alias("body"), cleaned["cleaner"].alias("cleaner"),
+                        desc.alias("description"))
+    plain = F.struct(F.lit("").alias("title"), py_strip(raw).alias("body"), F.lit("plain_text").alias("cleaner"),
+                     F.lit("").alias("description"))
+    return df.withColumn(out, F.when(is_html, html_doc).otherwise(plain)).drop("_parts")
 
 
 def ingest_pages(pages: DataFrame, url: str = "url", html: str = "html", method: str = "fetch",
@@ -43,7 +47,8 @@ def ingest_pages(pages: DataFrame, url: str = "url", html: str = "html", method:
     method, errors, metadata, cleaner``); a missing title becomes the URL."""
     keep = keep or []
     df = pages.select(*keep, F.col(url).alias("url"), canonical_url(F.col(url)).alias("canonical_url"),
-                      page_fields(F.col(html), cleaner).alias("_p"))
+                      F.col(html).alias("_html"))
+    df = with_page_fields(df, "_html", cleaner=cleaner)
     return df.select(
         *keep, "url", "canonical_url",
         F.when(F.col("_p.title") != "", F.col("_p.title")).otherwise(F.col("canonical_url")).alias("title"),
@@ -79,7 +84,8 @@ def resolve_cache(requests: DataFrame, cache: DataFrame, fetched: DataFrame, ref
     if feed:  # a feed is kept as it is: its reader needs the XML
         fields = F.struct(F.lit("").alias("title"), F.col("html").alias("body"), F.lit("none").alias("cleaner"))
     else:
-        fields = page_fields(F.col("html"))
+        fresh = with_page_fields(fresh, "html")
+        fields = F.col("_p")
     fresh = fresh.select("url", "url_hash", fields["title"].alias("title"), fields["body"].alias("text"),
                          F.when(F.col("html").isNull(), F.lit("fetch_failed")).otherwise(F.lit(miss_m))
                          .alias("method"), fields["cleaner"].alias("cleaner"))
