@@ -53,6 +53,8 @@ BLOCK = 64
 #: Share of the examples from which on a term is common, the relative error
 #: that a sum in single precision may have, and rows summed again at a time.
 COMMON, SLACK, EXACT_ROWS = 0.06, 2e-4, 1024
+#: Bytes of text cut into terms, and texts compared with the examples, at a time.
+TERM_BYTES, TEXTS = 1 << 20, 128
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -99,14 +101,15 @@ def term_counts(arr: pa.Array, vocab: np.ndarray, others: bool = True):
         owner.append(long)
         column.append(np.full(len(long), j + 1))
     term, local = np.unique(np.concatenate(parts), return_inverse=True)
-    of = np.full((len(word), 1 + len(PREFIXES)), -1)
+    of = np.full((len(word), 1 + len(PREFIXES)), -1, np.int32)
     of[np.concatenate(owner), np.concatenate(column)] = local
     known = np.minimum(np.searchsorted(vocab, term), max(0, len(vocab) - 1))
     hit = vocab[known] == term if len(vocab) else np.zeros(len(term), bool)
     if not others:
         of[~hit[of] | (of < 0)] = -1
-    pairs = row[:, None] * len(term) + of[which]
-    pair, n = np.unique(pairs[of[which] >= 0], return_counts=True)
+    of = of[which].ravel()
+    there = np.flatnonzero(of >= 0)
+    pair, n = np.unique(row[there // (1 + len(PREFIXES))] * len(term) + of[there], return_counts=True)
     row, local = np.divmod(pair, max(1, len(term)))
     mine = hit[local]
     return (row[mine], known[local[mine]], n[mine]), (row[~mine], term[local[~mine]], n[~mine])
@@ -215,7 +218,7 @@ class Model:
             state["model"] = Model(state)
         return state["model"]
 
-    def scores(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray, step: int = 256):
+    def scores(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray, step: int = TEXTS):
         """The score of each text, and (text, example, cosine) of its
         neighbours; ``rest`` is the squared length of each text's terms
         outside the vocabulary."""
@@ -278,7 +281,7 @@ def _frequencies(vocab_b):
         vocab = vocab_b.value
         df = np.zeros(len(vocab) + 1, np.int64)  # the last: all documents
         for batch in batches:
-            for part in text_slices(batch, "text"):
+            for part in text_slices(batch, "text", TERM_BYTES):
                 df[:-1] += np.bincount(term_counts(part.column("text"), vocab, False)[0][1], minlength=len(vocab))
                 df[-1] += part.num_rows
         some = np.flatnonzero(df)
@@ -351,7 +354,7 @@ def score(docs: DataFrame, state: dict, text_col: str = "text", score_col: str =
         model = Model.of(state_b.value)
         kind = pa.list_(pa.struct([("example", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())]))
         for batch in batches:
-            for part in text_slices(batch, text_col):
+            for part in text_slices(batch, text_col, TERM_BYTES):
                 (row, term, count), (at, _, n) = term_counts(
                     part.column(part.schema.get_field_index(text_col)), model.vocab)
                 rest = np.bincount(at, weights=tfidf(n, model.other) ** 2, minlength=part.num_rows)
