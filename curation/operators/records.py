@@ -115,18 +115,31 @@ def platform_set(records: DataFrame) -> DataFrame:
     return records.select("platform").distinct()
 
 
-def attach_manual_text(links: DataFrame, manual: DataFrame, url: str = "url") -> DataFrame:
+def attach_manual_text(links: DataFrame, manual: DataFrame, url: str = "url", order: str | None = None) -> DataFrame:
     """Manual text by raw URL, else by canonical URL; empty = missing.
 
-    Two left equi-joins; AQE turns them into broadcasts when the manual
-    table is small at run time."""
-    m = (manual.filter(F.coalesce(F.col("text"), F.lit("")) != "")
-         .groupBy("url").agg(F.max("text").alias("text")))  # one text per key
-    by_raw = m.select(F.col("url").alias("_ru"), F.col("text").alias("_rt"))
-    by_can = m.select(F.col("url").alias("_cu"), F.col("text").alias("_ct"))
-    out = links.withColumn("_can", canonical_url(F.col(url)))
-    out = out.join(by_raw, out[url] == by_raw["_ru"], "left").join(by_can, F.col("_can") == by_can["_cu"], "left")
-    return out.withColumn("manual_text", F.coalesce("_rt", "_ct", F.lit(""))).drop("_ru", "_rt", "_cu", "_ct", "_can")
+    Of several texts of a URL the last by ``order`` holds (a column of
+    ``manual``; the greatest text where none is given).  Keys are settled
+    first, without texts: the last row of each URL, then the key that each
+    link takes.  A text moves once, and only that of a last row."""
+    by = [F.col(order)] if order else []
+    m = manual.select("url", F.coalesce("text", F.lit("")).alias("text"), *(c.alias("_order") for c in by))
+    if order:
+        keys = m.groupBy("url").agg(F.max("_order").alias("_last"), F.max_by(F.col("text") != "", "_order").alias("_any"))
+        keys = keys.filter("_any").select("url", "_last")
+    else:
+        m = m.groupBy("url").agg(F.max("text").alias("text")).withColumn("_order", F.lit(0))
+        keys = m.filter("text <> ''").select("url", F.col("_order").alias("_last"))
+    raw = keys.select(F.col("url").alias("_raw"), F.col("_last").alias("_raw_last"))
+    can = keys.select(F.col("url").alias("_can"), F.col("_last").alias("_can_last"))
+    out = links.withColumn("_c", canonical_url(F.col(url)))
+    out = out.join(raw, out[url] == raw["_raw"], "left").join(can, F.col("_c") == can["_can"], "left")
+    out = out.withColumn("_key", F.coalesce("_raw", "_can")).withColumn("_at", F.when(F.col("_raw").isNotNull(), F.col("_raw_last"))
+                                                                        .otherwise(F.col("_can_last")))
+    texts = m.select(F.col("url").alias("_url"), F.col("_order").alias("_o"), F.col("text").alias("_text"))
+    out = out.join(texts, (F.col("_key") == texts["_url"]) & (F.col("_at") == texts["_o"]), "left")
+    return out.withColumn("manual_text", F.coalesce("_text", F.lit(""))).drop(
+        "_c", "_raw", "_raw_last", "_can", "_can_last", "_key", "_at", "_url", "_o", "_text")
 
 
 def short_post_sources(links: DataFrame, url: str = "url", keep: Sequence[str] = ()) -> DataFrame:

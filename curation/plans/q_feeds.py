@@ -13,6 +13,7 @@ from curation.plans import sqlgen as S
 from curation.plans.registry import register
 from curation.session import read_table
 from curation.sources import feeds as FE
+from curation.sources.feed_reader import read_feeds
 
 PUBLISHED = "Mon, 01 Jan 2024 00:00:00 GMT"
 
@@ -160,3 +161,57 @@ def repo_stars_q(spark: SparkSession, sf: str) -> DataFrame:
     s = FE.repo_stars(star_pages(spark, sf), 30)
     return s.select("page_no", "pos", "url", "canonical_url", "title", "body",
                     F.col("metadata")["stars"].alias("stars"))
+
+
+def mixed_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as feeds of all kinds: RSS with several text children in an order
+    of their own, Atom, RSS with items at the root, and a broken document
+    (``idx, url, limit, priority, feed_url, xml``)."""
+    p = read_table(spark, sf, "pages")
+    t, u, k = _esc(H.page_title(F.col("html"))), _esc(F.col("url")), F.col("page_id") % 5
+    rss = F.concat(
+        F.lit('<rss xmlns:c="urn:c" xmlns="urn:d"><channel><item><link/><title>no url</title></item><item><title>'), t,
+        F.lit("</title><link> "), u, F.lit(" </link><summary> </summary><c:encoded>&lt;p&gt;first &amp;amp; "), F.col("page_id"),
+        F.lit("&lt;/p&gt;&lt;p&gt;text&lt;/p&gt;</c:encoded><description>second</description><updated>day  1</updated>"
+              "<pubDate>day 2</pubDate></item><item><guid>http://g.example/"), F.col("page_id"),
+        F.lit("</guid><DESCRIPTION>plain\n  words</DESCRIPTION></item></channel></rss>"))
+    atom = F.concat(
+        F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><link href="http://self.example/"/><title>Atom '), F.col("page_id"),
+        F.lit('</title><entry><link rel="SELF" href="http://s.example/"/><link rel="Alternate" href=" '), u,
+        F.lit(' "/><content>a &lt; b</content><summary>later</summary></entry><entry><title>'), t,
+        F.lit('</title><link rel="related" href="http://r.example/'), F.col("page_id"), F.lit('"/></entry></feed>'))
+    flat = F.concat(F.lit("<RDF><channel><title> RDF </title></channel><!-- no --><item><title>"), t, F.lit("</title><link>"), u,
+                    F.lit("</link></item></RDF>"))
+    broken = F.concat(F.lit("<rss><channel><item></channel></rss>"), t)
+    xml = F.when(k < 2, rss).when(k == 2, atom).when(k == 3, flat).otherwise(broken)
+    return p.select((F.col("page_id") + 1).alias("idx"),
+                    F.when(F.col("page_id") % 7 != 0, F.concat(F.lit("https://feeds.example.com/"), F.col("page_id"))).alias("url"),
+                    F.when(F.col("page_id") % 3 == 0, 1).when(F.col("page_id") % 11 == 0, 0).alias("limit"), F.lit(2).alias("priority"),
+                    F.concat(F.lit("https://feeds.example.com/"), F.col("page_id")).alias("feed_url"), xml.alias("xml"))
+
+
+@register("mixed_feeds", oracle=f"""WITH p AS (
+  SELECT page_id, page_id + 1 AS idx, 'https://feeds.example.com/' || page_id AS feed_url, page_id % 5 AS k, {S.strip('url')} AS u,
+         {S.strip(S.unescape(S.page_title('html')))} AS t,
+         CASE WHEN page_id % 3 = 0 THEN 1 WHEN page_id % 11 = 0 THEN 0 ELSE 20 END AS lim FROM pages),
+live AS (SELECT * FROM p WHERE page_id % 7 <> 0 AND lim > 0),
+items AS (
+  SELECT idx, feed_url, lim, 0 AS pos, u AS url, CASE WHEN t <> '' THEN t ELSE u END AS title,
+         'first & ' || page_id || chr(10) || 'text' || chr(10) || 'day 1' AS body, 'day  1' AS published, '' AS feed_title FROM live WHERE k < 2
+  UNION ALL SELECT idx, feed_url, lim, 1, 'http://g.example/' || page_id, 'http://g.example/' || page_id, 'plain words', '', '' FROM live WHERE k < 2
+  UNION ALL SELECT idx, feed_url, lim, 0, u, u, 'a < b', '', 'Atom ' || page_id FROM live WHERE k = 2
+  UNION ALL SELECT idx, feed_url, lim, 1, 'http://r.example/' || page_id, CASE WHEN t <> '' THEN t ELSE 'http://r.example/' || page_id END, '', '',
+         'Atom ' || page_id FROM live WHERE k = 2
+  UNION ALL SELECT idx, feed_url, lim, 0, u, CASE WHEN t <> '' THEN t ELSE u END, '', '', 'RDF' FROM live WHERE k = 3)
+SELECT idx, feed_url, CAST(pos AS INTEGER) AS pos, url, {S.canonical_url('url')} AS canonical_url, title, body, published, feed_title,
+       CAST(NULL AS VARCHAR) AS warning FROM items WHERE pos < lim
+UNION ALL
+SELECT idx, feed_url, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'rss_feed_failed:' || feed_url || ': mismatched tag: line 1, column 22' FROM live WHERE k = 4
+UNION ALL
+SELECT idx, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'rss_feed_skipped:' || idx || ': missing url' FROM p WHERE page_id % 7 = 0""")
+def mixed_feeds(spark: SparkSession, sf: str) -> DataFrame:
+    """RSS, Atom and broken documents in one read: items in document
+    order up to each feed's limit, and warnings with the parser's reason."""
+    d = mixed_documents(spark, sf)
+    return read_feeds(d.select("idx", "url", "limit", "priority"), d.select("feed_url", "xml")).select(
+        "idx", "feed_url", "pos", "url", "canonical_url", "title", "body", "published", "feed_title", "warning")

@@ -172,6 +172,21 @@ def cache_fills(spark: SparkSession, sf: str) -> DataFrame:
     return update.select("url_hash", "url", "title", F.sha2("text", 256).alias("text_sha256"))
 
 
+@register("cache_refresh", oracle=f"""WITH c AS (SELECT {S.canonical_url('url')} AS url, arg_min(html, page_id) AS html FROM pages GROUP BY 1)
+SELECT url, 'fetch' AS method, {S.page_title_or_empty('html')} AS title, sha256({S.page_body('html')}) AS text_sha256,
+       sha256({S.page_body('html')}) AS cached_sha256 FROM c""")
+def cache_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """S7 with ``refresh``: every request is fetched again though the cache
+    holds it, and the cache rows are replaced by what was fetched."""
+    p = read_table(spark, sf, "pages").withColumn("can", canonical_url(F.col("url")))
+    fetched = p.groupBy(F.col("can").alias("url")).agg(F.min_by("html", "page_id").alias("html"))
+    old = fetched.select(F.sha2("url", 256).alias("url_hash"), F.lit("old").alias("title"), F.lit("stale").alias("text"))
+    served, update = resolve_cache(fetched.select("url"), old, fetched, refresh=True)
+    kept = update.select(F.col("url").alias("_u"), F.sha2("text", 256).alias("cached_sha256"))
+    return served.join(kept, F.col("url") == F.col("_u"), "left").select(
+        "url", "method", "title", F.sha2("text", 256).alias("text_sha256"), "cached_sha256")
+
+
 @register("feed_cache_runs", oracle=f"""WITH c AS (SELECT {S.canonical_url('url')} AS url, arg_min(html, page_id) AS html FROM pages GROUP BY 1)
 SELECT run, url, CASE WHEN run = 1 THEN 'feed_fetch' ELSE 'feed_cache' END AS method, sha256(html) AS text_sha256
 FROM c, (SELECT unnest([1, 2]) AS run)""")

@@ -123,12 +123,12 @@ def manual_table(spark: SparkSession, sf: str) -> DataFrame:
     j = d.join(l, F.pmod(d["doc_id"], F.lit(n_pages)) == l["page_id"], "inner")
     return j.select(
         F.when(F.col("lang") == "en", F.col("url")).otherwise(canonical_url(F.col("url"))).alias("url"),
-        F.col("text"))
+        F.col("text"), F.col("doc_id"))
 
 
-_MANUAL_SQL = f"""man AS (
-  SELECT CASE WHEN d.lang = 'en' THEN l.url ELSE {S.canonical_url('l.url')} END AS url, max(d.text) AS text
-  FROM documents d JOIN links l ON d.doc_id % (SELECT count(*) FROM pages) = l.page_id WHERE d.text <> '' GROUP BY 1),
+_MANUAL_SQL = f"""man AS (SELECT * FROM (
+  SELECT CASE WHEN d.lang = 'en' THEN l.url ELSE {S.canonical_url('l.url')} END AS url, arg_max(coalesce(d.text, ''), d.doc_id) AS text
+  FROM documents d JOIN links l ON d.doc_id % (SELECT count(*) FROM pages) = l.page_id GROUP BY 1) WHERE text <> ''),
 lm AS (
   SELECT l.page_id, l.url, coalesce(a.text, b.text, '') AS manual_text
   FROM links l LEFT JOIN man a ON l.url = a.url LEFT JOIN man b ON {S.canonical_url('l.url')} = b.url)"""
@@ -138,7 +138,7 @@ lm AS (
 SELECT page_id, url, length(manual_text) AS manual_chars, sha256(manual_text) AS manual_sha256 FROM lm""")
 def manual_text(spark: SparkSession, sf: str) -> DataFrame:
     """Manual text per link by raw URL, else by canonical URL."""
-    j = R.attach_manual_text(platform_links(spark, sf), manual_table(spark, sf))
+    j = R.attach_manual_text(platform_links(spark, sf), manual_table(spark, sf), order="doc_id")
     return j.select("page_id", "url", F.length("manual_text").alias("manual_chars"),
                     F.sha2("manual_text", 256).alias("manual_sha256"))
 
@@ -158,7 +158,7 @@ SELECT url, canonical_url, title, length(body) AS body_chars, method, nerr > 0 A
 FROM y""")
 def short_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Unfetched social posts with manual text or a fallback error."""
-    j = R.attach_manual_text(platform_links(spark, sf), manual_table(spark, sf))
+    j = R.attach_manual_text(platform_links(spark, sf), manual_table(spark, sf), order="doc_id")
     s = R.short_post_sources(j)
     return s.select("url", "canonical_url", "title", F.length("body").alias("body_chars"), "method",
                     (F.size("errors") > 0).alias("needs_manual"),

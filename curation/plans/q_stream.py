@@ -1,4 +1,4 @@
-"""Registered streaming queries: events are landed as one folder per day and
+"""Registered streaming queries: events are landed by day in one job and
 replayed through Structured Streaming (``availableNow``)."""
 
 from __future__ import annotations
@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from curation.operators.feeds import ingest_posts
 from curation.plans.q_events import posts_from_events
+from curation.plans.q_flows import queue_log
 from curation.plans.registry import ORACLES, register
 from curation.session import read_table
-from curation.streaming.incremental import (replay_files, run_incremental_feed, run_job_state_stream,
+from curation.streaming.incremental import (land_by_day, run_incremental_feed, run_job_state_stream,
                                             scratch_root)
+from curation.streaming.job_flow import queue_events, run_job_flow_stream
 
 FEED_POST_COLUMNS = ("account string, id string, created_at timestamp_ntz, type string, text string, url string, "
                      "likes int, retweets int, replies int, is_quote boolean, quoted_id string")
@@ -49,9 +51,9 @@ def incremental_feed(spark: SparkSession, sf: str) -> DataFrame:
     unselected posts stay eligible.  Result: every post picked by any run."""
     root = scratch_root(spark, "feed")
     posts = ingest_posts(posts_from_events(read_table(spark, sf, "events")))
-    replay_files(posts, f"{root}/source", day_col="created_at")
+    land_by_day(posts, f"{root}/source", day_col="created_at")
     sink = run_incremental_feed(spark, f"{root}/source", FEED_POST_COLUMNS, root)
-    return spark.read.parquet(sink).select("batch_id", "run_at", "account", "id", "created_at")
+    return spark.read.parquet(sink).select(F.col("run").cast("long").alias("batch_id"), "run_at", "account", "id", "created_at")
 
 
 @register("job_stream")
@@ -65,12 +67,40 @@ def job_stream(spark: SparkSession, sf: str) -> DataFrame:
                     .when(F.col("event_type") == "purchase", "done")
                     .otherwise("failed").alias("status"))
     root = scratch_root(spark, "jobs")
-    replay_files(log, f"{root}/source", day_col="ts")
+    land_by_day(log, f"{root}/source", day_col="ts")
     st = run_job_state_stream(spark, f"{root}/source", JOB_LOG_COLUMNS, root)
     return st.select("job_id", "status", "created_at", "picked_at", "n_events")
 
 
+def _flow_runs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The queue's log up to 15 January, then the rest: the stream is stopped
+    between and goes on from its checkpoint."""
+    root = scratch_root(spark, "flow")
+    log = queue_events(*queue_log(spark, sf))
+    early = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
+    log.filter(early).write.parquet(f"{root}/source/part=1")
+    run_job_flow_stream(spark, f"{root}/source", root)
+    log.filter(~early).write.parquet(f"{root}/source/part=2")
+    return run_job_flow_stream(spark, f"{root}/source", root)
+
+
+@register("job_queue_stream")
+def job_queue_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The jobs left in the queue, by the stream with keyed state."""
+    return _flow_runs(spark, sf)[0]
+
+
+@register("job_outcomes_stream")
+def job_outcomes_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The item or the reason of every report, by the stream."""
+    return _flow_runs(spark, sf)[1]
+
+
 # The streaming job state must equal the batch job state on the final sink.
 import curation.plans.q_events  # noqa: E402,F401  (registers job_lifecycle first)
+import curation.plans.q_flows  # noqa: E402,F401  (registers job_queue first)
 
 ORACLES["job_stream"] = ORACLES["job_lifecycle"]
+# The streamed flow must equal the batch flow.
+ORACLES["job_queue_stream"] = ORACLES["job_queue"]
+ORACLES["job_outcomes_stream"] = ORACLES["job_outcomes"]

@@ -135,11 +135,9 @@ def feed_diagnostics(configs: DataFrame, fetched: DataFrame) -> DataFrame:
 def repo_stars(pages: DataFrame, limit: int = 30) -> DataFrame:
     """``pages(page_no, json)`` of starred repos -> sources in page order,
     rows without ``html_url`` skipped, first ``limit`` kept (a top-k)."""
-    if limit <= 0:
-        return pages.limit(0).select(F.lit(None).cast("string").alias("url"))
     rows = pages.select("page_no", F.posexplode(F.from_json("json", REPOS_SCHEMA)).alias("pos", "r"))
     rows = rows.filter(F.col("r.html_url").isNotNull() & (F.col("r.html_url") != ""))
-    top = rows.orderBy("page_no", "pos").limit(limit)
+    top = rows.orderBy("page_no", "pos").limit(max(limit, 0))
     topics = F.coalesce(F.col("r.topics"), F.array().cast("array<string>"))
     body = F.concat_ws("\n",
                        F.when(F.coalesce(F.col("r.description"), F.lit("")) != "", F.col("r.description")),

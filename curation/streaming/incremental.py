@@ -1,12 +1,12 @@
 """Structured Streaming jobs.
 
-T1/T2 ``incremental_feed``: every micro-batch is one feed run.  New posts
-land in an append-only table; the run selects from the last 24 hours of
-landed posts (F1/F2), newest 5 per account, minus ids in the seen log that
-are younger than 7 days (strict ``<`` prune), first 3 -- and appends the
-picks to the seen log.  Unselected posts are not marked seen, so they stay
-eligible for later runs.  Every write is keyed by the batch id and
-overwrites its own partition, so a replayed batch is idempotent.
+T1/T2 ``incremental_feed``: every day of a micro-batch is one feed run.  A
+batch's posts land in one write of an append-only table; a run selects from
+the last 24 hours of landed posts (F1/F2), newest 5 per account, minus ids
+picked in the last 7 days (strict ``<`` prune), first 3.  The picks, kept by
+run and day, are the seen log.  Unselected posts are not marked seen, so they
+stay eligible for later runs.  Every write is keyed by batch and run and
+overwrites its own folder, so a replayed batch is idempotent.
 
 T3 ``job_state_stream``: the job queue's current state is a streaming
 aggregation (``max_by`` per job) kept in Spark's state store; each update
@@ -14,8 +14,8 @@ is written per batch and the latest row per job is the state.
 
 All folders live under the session's ``spark.checkpoint.dir`` (a shared
 folder on a cluster).  Landed posts are partitioned by day so a run reads
-only the days inside its lookback; the seen log is partitioned by run day, and
-a run reads only the days inside the retention.
+only the days inside its lookback; of the picks a run reads only the days
+inside the retention.
 """
 
 from __future__ import annotations
@@ -32,72 +32,77 @@ from curation.session import ensure_checkpoint_dir
 from curation.streaming.jobs import job_states
 
 
+#: Runs that the number of a batch's run has room for.
+RUNS_PER_BATCH = 1_000_000
+
+
 def scratch_root(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming run under the shared checkpoint dir."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def replay_files(df: DataFrame, root: str, day_col: str = "ts") -> list[str]:
-    """Land a table as one folder of files per day, written in day order so
-    that a file source with ``maxFilesPerTrigger`` replays it day by day.
-    The loop is over distinct days (a small, bounded list)."""
-    days = [r[0] for r in df.select(F.to_date(day_col).alias("d")).distinct().orderBy("d").collect()]
-    for d in days:
-        (df.filter(F.to_date(day_col) == F.lit(d)).coalesce(1)
-         .write.mode("overwrite").parquet(f"{root}/day={d.isoformat()}"))
-    return [f"{root}/day={d.isoformat()}" for d in days]
+def land_by_day(df: DataFrame, root: str, day_col: str = "ts") -> None:
+    """Land a table under one folder a day, in one job."""
+    df.withColumn("day", F.to_date(day_col)).write.mode("append").partitionBy("day").parquet(root)
 
 
-def _run_once(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str, seen_log: str,
-              sink: str, fetch_per_account: int, keep: int) -> None:
-    (batch.withColumn("day", F.to_date("created_at")).write.mode("overwrite").partitionBy("day")
-     .parquet(f"{landing}/batch_id={batch_id}"))
-    # The run clock is the newest post landed so far, so a batch of late posts
-    # does not move it back; only days from the batch's newest on are read.
-    # It is carried as text and cast back to the column's own type
-    # (independent of time zones).
-    ts_type = dict(batch.dtypes)["created_at"]
-    newest = batch.agg(F.to_date(F.max("created_at")).cast("string")).collect()[0][0]
-    if newest is None:
-        return
-    clock = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= F.lit(newest)))
-             .agg(F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).collect()[0][0])
-    as_of = F.lit(clock).cast(ts_type)
+def _run_day(spark: SparkSession, day, as_of, run: int, batch_id: int, landing: str, sink: str,
+             fetch_per_account: int, keep: int) -> None:
+    """One feed run: the posts landed up to ``day``, by the clock ``as_of``."""
     first_day = F.to_date(as_of - F.expr(f"INTERVAL {POST_LOOKBACK_HOURS} HOURS"))
     # Day partitions outside the lookback are pruned before any file is read.
-    landed = (spark.read.parquet(landing).filter((F.col("batch_id") <= batch_id) & (F.col("day") >= first_day))
-              .drop("batch_id", "day"))
+    landed = spark.read.parquet(landing).filter(
+        ((F.col("batch_id") < batch_id) | ((F.col("batch_id") == batch_id) & (F.col("day") <= F.lit(day))))
+        & (F.col("day") >= first_day)).drop("batch_id", "day")
     posts = exclude_types(lookback(landed, "created_at", as_of, POST_LOOKBACK_HOURS))
-    seen_path = spark._jvm.org.apache.hadoop.fs.Path(seen_log)
+    seen_path = spark._jvm.org.apache.hadoop.fs.Path(sink)
     if seen_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(seen_path):
         oldest = as_of - F.expr(f"INTERVAL {SEEN_RETENTION_DAYS} DAYS")
         # days that are all older are pruned before any file is read
-        seen = (spark.read.schema(f"seen_id string, seen_at {ts_type}, batch_id long, day date").parquet(seen_log)
-                .filter((F.col("batch_id") < batch_id) & (F.col("day") >= F.to_date(oldest))
-                        & (F.col("seen_at") >= oldest))
-                .select(F.col("seen_id").alias("id")))
+        seen = (spark.read.parquet(sink).filter((F.col("run") < run) & (F.col("day") >= F.to_date(oldest))
+                                                & (F.col("run_at") >= oldest)).select("id"))
     else:  # the first run
         seen = spark.createDataFrame([], "id string")
     picked = cap_per_group(posts, ["account"], [F.col("created_at").desc(), F.col("id").desc()],
                            fetch_per_account, seen=seen, on="id", keep=keep)
-    picked = picked.withColumn("run_at", as_of)
-    picked.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-    (spark.read.parquet(f"{sink}/batch_id={batch_id}")
-     .select(F.col("id").alias("seen_id"), F.col("run_at").alias("seen_at"), F.to_date("run_at").alias("day"))
-     .write.mode("overwrite").partitionBy("day").parquet(f"{seen_log}/batch_id={batch_id}"))
+    picked.withColumn("run_at", as_of).write.mode("overwrite").parquet(f"{sink}/run={run}/day={day}")
+
+
+def _run_batch(spark: SparkSession, batch: DataFrame, batch_id: int, landing: str, sink: str,
+               fetch_per_account: int, keep: int) -> None:
+    """Lands a batch and runs once for each of its days, in order."""
+    here = f"{landing}/batch_id={batch_id}"
+    batch.withColumn("day", F.to_date("created_at")).write.mode("overwrite").partitionBy("day").parquet(here)
+    # The run clock is the newest post landed so far, so a batch of late posts
+    # does not move it back.  It is carried as text and cast back to the
+    # column's own type (independent of time zones).
+    ts_type = dict(batch.dtypes)["created_at"]
+    newest = F.date_format(F.max("created_at"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("clock")
+    days = spark.read.parquet(landing).filter(F.col("batch_id") == batch_id).groupBy("day").agg(newest) \
+        .filter("day is not null").orderBy("day").collect()  # one row a day of the batch
+    if not days:
+        return
+    clock = ""
+    if batch_id:
+        clock = spark.read.parquet(landing).filter((F.col("batch_id") < batch_id) & (F.col("day") >= F.lit(days[0]["day"]))) \
+            .agg(newest).collect()[0][0] or ""
+    for k, d in enumerate(days):
+        clock = max(clock, d["clock"])
+        _run_day(spark, d["day"], F.lit(clock).cast(ts_type), RUNS_PER_BATCH * batch_id + k, batch_id, landing, sink,
+                 fetch_per_account, keep)
 
 
 def run_incremental_feed(spark: SparkSession, source_dir: str, schema: str, root: str,
                          fetch_per_account: int = 5, keep: int = KEEP_PER_ACCOUNT) -> str:
-    """Run the feed stream over every file in ``source_dir`` (availableNow,
-    one file per micro-batch) and return the sink folder of selected posts."""
-    landing, seen_log, sink = f"{root}/landing", f"{root}/seen", f"{root}/selected"
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
-              .option("recursiveFileLookup", "true").parquet(source_dir))
+    """Run the feed stream over what has landed in ``source_dir`` since it
+    last ran, one feed run for each day of a micro-batch, and return the sink
+    folder of selected posts (partitioned by run and day)."""
+    landing, sink = f"{root}/landing", f"{root}/selected"
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source_dir)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        _run_once(spark, batch, batch_id, landing, seen_log, sink, fetch_per_account, keep)
+        _run_batch(spark, batch, batch_id, landing, sink, fetch_per_account, keep)
 
     q = (stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/_checkpoint")
          .trigger(availableNow=True).start())
@@ -105,11 +110,12 @@ def run_incremental_feed(spark: SparkSession, source_dir: str, schema: str, root
     return sink
 
 
-def run_job_state_stream(spark: SparkSession, source_dir: str, schema: str, root: str) -> DataFrame:
+def run_job_state_stream(spark: SparkSession, source_dir: str, schema: str, root: str,
+                         files_per_trigger: int = 16) -> DataFrame:
     """Streaming ``max_by`` per job (update mode, state store), written
     per batch; the newest written row per job is its current state."""
     sink = f"{root}/job_updates"
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .option("recursiveFileLookup", "true").parquet(source_dir))
     agg = job_states(stream)
 

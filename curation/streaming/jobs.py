@@ -72,6 +72,11 @@ def job_flow(jobs: DataFrame, polls: DataFrame, done: DataFrame) -> tuple[DataFr
     queue = left.select("job_id", "url", "run_id",
                         F.when(F.col("picked_at").isNull(), "pending").otherwise("processing").alias("status"),
                         "created_at", "picked_at")
+    return queue, reported(done)
+
+
+def reported(done: DataFrame) -> DataFrame:
+    """The hand-off item or the failure reason of every report."""
     ok = F.coalesce("ok", F.lit(False))
 
     def item(col):
@@ -80,13 +85,12 @@ def job_flow(jobs: DataFrame, polls: DataFrame, done: DataFrame) -> tuple[DataFr
     def given(col, default):
         return F.coalesce(F.when(F.col(col) != "", F.col(col)), F.lit(default))
     n = F.coalesce(F.when(F.col("chars") != 0, F.col("chars")), utf16_length(F.col("raw_text")))
-    outcomes = done.select(
+    return done.select(
         "job_id", "run_id", ok.alias("forwarded"), F.when(~ok, given("error", DONE_FAILED)).alias("reason"),
         item(F.lit("youtube")).alias("source_type"), item(F.col("url")).alias("source_url"),
         item(F.lit(DONE_TITLE)).alias("title"), item(F.col("raw_text")).alias("transcript"),
         item(given("language", DONE_LANGUAGE)).alias("language"), item(n).alias("chars"),
         item(F.lit(DONE_METHOD)).alias("method"))
-    return queue, outcomes
 
 
 def probe_verdicts(log: DataFrame) -> DataFrame:
