@@ -30,18 +30,20 @@ from curation.streaming.jobs import job_flow
 
 
 def feed_accounts(spark: SparkSession, sf: str) -> DataFrame:
-    """Followed accounts (handles of all events' users) resolved against the
-    customers whose key is no multiple of 4."""
-    acc = read_table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id")).alias("handle")).distinct()
-    users = read_table(spark, sf, "customer").filter(F.col("c_custkey") % 4 != 0).select(
+    """Followed accounts (handles of all events' users, and an older spelling
+    of each that nobody has) resolved against all customers."""
+    ids = read_table(spark, sf, "events").select("user_id").distinct()
+    acc = ids.select(F.explode(F.array(F.concat(F.lit("u"), F.col("user_id")), F.concat(F.lit("u_"), F.col("user_id")))).alias("handle"))
+    users = read_table(spark, sf, "customer").select(
         F.concat(F.lit("U"), F.col("c_custkey")).alias("username"), F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("name"), F.col("c_mktsegment").alias("bio"))
     return FD.resolve_accounts(acc, users)
 
 
-_ACCOUNTS_SQL = """accts AS (
-  SELECT DISTINCT 'u' || user_id AS handle, user_id FROM events),
-users AS (SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey % 4 <> 0)"""
+_ACCOUNTS_SQL = """ids AS (SELECT DISTINCT user_id FROM events),
+accts AS (
+  SELECT 'u' || user_id AS handle, user_id FROM ids UNION ALL SELECT 'u_' || user_id, NULL FROM ids),
+users AS (SELECT c_custkey, c_name, c_mktsegment FROM customer)"""
 
 
 @register("account_feed", oracle=f"""WITH {_POSTS_SQL}, {_ACCOUNTS_SQL}
@@ -64,7 +66,7 @@ def account_feed(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("feed_errors", oracle=f"""WITH {_ACCOUNTS_SQL}
 SELECT a.handle, 'X API: User not found: ' || a.handle AS error FROM accts a
-WHERE a.user_id NOT IN (SELECT c_custkey FROM users)""")
+WHERE a.user_id IS NULL OR a.user_id NOT IN (SELECT c_custkey FROM users)""")
 def feed_errors(spark: SparkSession, sf: str) -> DataFrame:
     """K3: the feed's error list, a row for each account that was not found."""
     return feed_accounts(spark, sf).filter(F.col("error").isNotNull()).select("handle", "error")
