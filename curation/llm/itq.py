@@ -16,6 +16,9 @@ threshold towards other vectors and in random directions.  Where fewer than
 searches that reach it is taken: fewer bits, more probes, more rotations; if
 none does, all pairs of a label are compared.
 
+Equal vectors of a label are one vector with a number of copies, so copies
+are never compared with each other; links count them back in.
+
 A pair that meets in several tables or buckets counts in the first alone:
 that can be told from the two vectors' keys, without gathering pairs.  A
 shard reports for each vector its number of links, and the links as stars
@@ -173,7 +176,7 @@ def _deal(models: dict):
                         "id": p["id"].to_numpy()[row], "label": p["label"].to_numpy()[row], "dim": dim,
                         "tab": np.tile(np.repeat(np.arange(t), k), n).astype(np.int32),
                         "value": keys.reshape(-1), "home": np.tile(np.arange(k) == 0, n * t),
-                        "vec": p["vec"].to_numpy()[row]})
+                        "n": p["n"].to_numpy()[row], "vec": p["vec"].to_numpy()[row]})
 
     return run
 
@@ -197,6 +200,7 @@ def _rerank(models: dict, threshold: float, step: int = 1 << 16):
         x = np.stack(rows["vec"].iloc[first].to_list()).astype(np.float64)
         keys = bucket_keys(x, *models[dim])
         norm = np.sqrt((x * x).sum(axis=1))
+        copies = rows["n"].to_numpy(np.int64)[first]
         # rows of one bucket stand together; every home row meets the probe
         # side of its bucket
         bucket = np.unique(rows[["label", "tab", "value"]].to_numpy(np.int64), axis=0, return_inverse=True)[1].ravel()
@@ -233,7 +237,8 @@ def _rerank(models: dict, threshold: float, step: int = 1 << 16):
                 back = (keys[p, t] == keys[q, t, :1]).any(axis=1) & (own > keys[q, t, 0])
                 new = ~back & ~_met_before(keys, t, p, q)
                 p, q = p[new], q[new]
-                links += np.bincount(p, minlength=len(ids)) + np.bincount(q, minlength=len(ids))
+                np.add.at(links, p, copies[q])
+                np.add.at(links, q, copies[p])
                 label = smallest_linked(len(ids), label[p], label[q])[label]
         some, far = np.flatnonzero(links), np.flatnonzero(label != np.arange(len(ids)))
         return pd.DataFrame({"kind": np.repeat([0, 1], [len(some), len(far)]).astype(np.int32),
@@ -261,29 +266,34 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     raw = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                          F.col(vector_col).cast(kind).alias("vec"))
     # a number of the label is enough to keep labels apart in the shards
-    rows = checkpoint(_sound(raw).withColumn("label", F.xxhash64("label")))
+    rows = checkpoint(_sound(raw).withColumn("label", F.xxhash64("label"))
+                      .withColumns({"h1": F.xxhash64("vec"), "h2": F.xxhash64("vec", F.lit(1))}))
+    # equal vectors of a label are one, with the number of its copies
+    same = ["label", "dim", "h1", "h2"]
+    classes = checkpoint(rows.groupBy(*same).agg(F.min("id").alias("rep"), F.count("*").alias("n")))
+    reps = checkpoint(rows.join(classes.select(F.col("rep").alias("id"), "n"), "id").select("id", "label", "dim", "vec", "n"))
     models = {}
-    for dim, n in rows.groupBy("dim").count().collect():  # one model for each length of vectors
+    for dim, n in reps.groupBy("dim").count().collect():  # one model for each length of vectors
         if n > 1:
-            part = (rows.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(sample)
+            part = (reps.where(F.col("dim") == dim).orderBy(F.xxhash64("id"), "id").limit(sample)
                     .select("label", "vec").collect())
             models[dim] = plan(np.array([r["vec"] for r in part], dtype=np.float64), n // len({r["label"] for r in part}),
                                threshold, rotations, bits, probes)
+    none = F.lit(None).cast("long")
+    out = raw.select("id").join(rows.select("id", *same).join(classes, same).select("id", "rep", "n"), "id", "left")
     if models:
-        rows = rows.where(F.col("dim").isin(list(models)))
-        dealt = rows.mapInPandas(_deal(models),
-                                 "id long, label long, dim int, tab int, value int, home boolean, vec " + kind)
+        dealt = reps.where(F.col("dim").isin(list(models))).mapInPandas(
+            _deal(models), "id long, label long, dim int, tab int, value int, home boolean, n long, vec " + kind)
         found = checkpoint(_shards(dealt, shard_rows).groupBy("shard").applyInPandas(
             _rerank(models, threshold), "kind int, id long, n long"))
-        links = found.where("kind = 0").groupBy("id").agg(F.sum("n").alias("n_links"))
+        links = found.where("kind = 0").groupBy(F.col("id").alias("rep")).agg(F.sum("n").alias("links"))
         groups = components(found.where("kind = 1").select(F.col("id").alias("a"), F.col("n").alias("b")))
-        groups = groups.select(F.col("node").alias("id"), F.col("component").alias("component_id"))
-        out = raw.select("id").join(links, "id", "left").join(groups, "id", "left")
+        groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("component_id"))
+        out = out.join(links, "rep", "left").join(groups, "rep", "left")
     else:
-        none = F.lit(None).cast("long")
-        out = raw.select("id", none.alias("n_links"), none.alias("component_id"))
-    out = out.select("id", F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                     F.coalesce("component_id", "id").alias("component_id"))
+        out = out.withColumns({"links": none, "component_id": none})
+    out = out.select("id", (F.coalesce("links", F.lit(0)) + F.coalesce("n", F.lit(1)) - 1).alias("n_links"),
+                     F.coalesce("component_id", "rep", "id").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
 
 
@@ -292,10 +302,10 @@ def _shards(dealt: DataFrame, shard_rows: int) -> DataFrame:
     into blocks, and each ordered pair of its blocks is a shard."""
     key = ["label", "dim", "tab", "value"]
     size = checkpoint(dealt.groupBy(*key).agg(F.count("*").alias("n"), F.max(F.col("home").cast("int")).alias("own"))
-                      .where("n > 1 and own = 1").select(*key, "n"))
-    total = size.agg(F.sum("n")).first()[0] or 0
+                      .where("n > 1 and own = 1").select(*key, F.col("n").alias("size")))
+    total = size.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_rows))
-    blocks = F.ceil(F.col("n") / shard_rows).cast("int")
+    blocks = F.ceil(F.col("size") / shard_rows).cast("int")
     cut = (dealt.join(size, key).withColumn("blocks", blocks)
            .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
@@ -308,7 +318,7 @@ def _shards(dealt: DataFrame, shard_rows: int) -> DataFrame:
     y = F.when(F.col("in_left"), F.col("other")).otherwise(F.col("block"))
     shard = F.when(F.col("blocks") == 1, F.concat_ws("/", "dim", F.pmod(F.xxhash64("label", "tab", "value"), F.lit(shards)))) \
         .otherwise(F.concat_ws("/", F.lit("split"), *key, x, y))
-    return cut.select(shard.alias("shard"), "id", "label", "dim", "tab", "value", "home", "vec", "in_left", "in_right")
+    return cut.select(shard.alias("shard"), "id", "label", "dim", "tab", "value", "home", "n", "vec", "in_left", "in_right")
 
 
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -537,3 +537,18 @@ def test_nearest_examples_by_postings(monkeypatch, common, block):
         want = dense @ q
         got = cos[text == i]
         assert np.allclose(got, np.sort(want)[::-1][:len(got)]) and np.allclose(got, want[best[text == i]])
+
+
+def test_equal_vectors_are_compared_once(spark):
+    rnd = np.random.default_rng(9)
+    hot = rnd.normal(size=16)
+    near = hot + 0.05 * rnd.normal(size=16)
+    far = rnd.normal(size=(300, 16))
+    rows = [(i, [float(v) for v in hot], 1) for i in range(60_000)] + [(60_000 + i, [float(v) for v in near], 1) for i in range(3)]
+    rows += [(70_000, [float(v) for v in hot], 2), (70_001, [float(v) for v in hot], 2)]
+    rows += [(80_000 + i, [float(v) for v in x], 1) for i, x in enumerate(far)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.id: (r.n_links, r.component_id, r.kept) for r in itq.near_vectors(df).collect()}
+    assert got[0] == (60_002, 0, True) and got[59_999] == (60_002, 0, False) and got[60_001] == (60_002, 0, False)
+    assert got[70_000] == (1, 70_000, True) and got[70_001] == (1, 70_000, False)
+    assert len(got) == len(rows)
