@@ -7,7 +7,9 @@ read like it, so it may hold a ``: `` or be wrapped over lines (also behind
 comment signs, and over one blank line); the longest counts.  List marks at
 the head of a line are pieces of their own.  The identifiers found, in order, form a sequence; ordered
 rules are matched against it, longer rules first, and a matched run of
-identifiers is used up.
+identifiers is used up.  The identifiers of SPDX lines (expressions of AND, OR
+and WITH) come after these.  "All rights reserved." never breaks a run, and
+names a licence only where nothing else does.
 
 Scale: one scan, no shuffle, nothing broadcast but the rule table below.
 Texts without any of the rule table's key words skip the sentence work; every
@@ -81,20 +83,49 @@ RULES = [
     ("CC-BY-4.0", ("cc-by",)), ("CC-BY-SA-4.0", ("cc-by-sa",)), ("CC-BY-NC-4.0", ("cc-by-nc",)),
     ("CC0-1.0", ("cc0",)),
     ("Apache-2.0", ("spdx-apache",)),
-    ("Proprietary", ("all-rights",)),
 ]
-# Sentences and rules that OP2_SQL does not have.  ``*`` stands for 1 to 12
+# Sentences and rules that OP2_SQL does not have, as they hold
+# signs that end a piece or are wrapped as a rule.  ``*`` stands for 1 to 12
 # words.
 MORE_SENTENCES = {
+    "gpl2-free": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "General Public License as published by the Free Software Foundation; either version 2 of the "
+                 "License, or (at your option) any later version.",
+    "lgpl-free": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU "
+                 "Lesser General Public License as published by the Free Software Foundation; either version 2.1 of "
+                 "the License, or (at your option) any later version.",
+    "agpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU "
+                 "Affero General Public License as published by the Free Software Foundation, either version 3 of the "
+                 "License, or (at your option) any later version.",
+    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "isc-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                 "fee is hereby granted, provided that the above copyright notice and this permission notice appear "
+                 "in all copies.",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "bsl-grant": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the "
+                 'software and accompanying documentation covered by this license (the "Software") to use, reproduce, '
+                 "display, distribute, execute, and transmit the Software, and to prepare derivative works of the "
+                 "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the "
+                 "following:",
+    "epl-terms": "This program and the accompanying materials are made available under the terms of the Eclipse "
+                 "Public License 2.0",
     "bsd-endorse": "Neither the name of * nor the names of its contributors may be used to endorse or promote products "
                    "derived from this software without specific prior written permission.",
 }
 MORE_RULES = [
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
+    ("GPL-2.0-or-later", ("gpl2-free",)), ("LGPL-2.1-or-later", ("lgpl-free",)),
+    ("AGPL-3.0-or-later", ("agpl-free",)), ("MPL-2.0", ("mpl-form",)), ("ISC", ("isc-grant",)),
+    ("Unlicense", ("unlicense",)), ("BSL-1.0", ("bsl-grant",)), ("EPL-2.0", ("epl-terms",)),
 ]
+#: A licence of its own only where nothing else is found; it stands in the head
+#: of many other licences and never breaks a rule.
+RESERVED, RESERVED_NAME = "all-rights", "Proprietary"
+#: The expression of an SPDX line: identifiers joined by AND, OR and WITH.
+SPDX = (r"(?i)SPDX-License-Identifier:[ \t]*\(*([A-Z0-9.+-]+(?:\)*[ \t]+(?:AND|OR|WITH)[ \t]+\(*[A-Z0-9.+-]+)*)")
 #: Every known sentence holds one of these inside a word, which the signs and
 #: blanks around it do not change.
-KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved", "endorse")
+KEY_WORDS = ("licen[sc]e", "warranty", "copyright", "redistribut", "reserved", "endorse", "unencumbered")
 #: Pieces end at a line end, or at a sign that blanks follow.
 PIECE_END = r"\r\n?|(?<=[.!?;:])[ \t]+(?=[^ \t\r\n])"
 #: A list mark such as ``a)`` or ``(1)`` at the head of a line, in lower case.
@@ -114,6 +145,10 @@ def known_runs() -> str:
     words = [normal(s).split() for s in SENTENCES.values()]
     runs = [(len(w), BETWEEN.join(w)) for w in words]
     for s in MORE_SENTENCES.values():
+        if "*" not in s:
+            words = normal(s).split()
+            runs.append((len(words), BETWEEN.join(words)))
+            continue
         left, right = (normal(x).split() for x in s.split("*"))
         any_words = f"(?:{BETWEEN}[a-z0-9]+){{1,12}}?"
         runs.append((len(left + right), BETWEEN.join(left) + any_words + BETWEEN + BETWEEN.join(right)))
@@ -124,8 +159,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", ids_col: str = "sente
                   licenses_col: str = "licenses") -> DataFrame:
     """``docs`` with the identifiers of known sentences in order (array) and
     the licences found (array; own columns of those names are replaced)."""
-    known = F.create_map(*(F.lit(x) for i, s in SENTENCES.items() for x in (normal(s), i)))
-    open_ends = [(i, *map(normal, s.split("*"))) for i, s in MORE_SENTENCES.items()]
+    whole = SENTENCES | {i: s for i, s in MORE_SENTENCES.items() if "*" not in s}
+    known = F.create_map(*(F.lit(x) for i, s in whole.items() for x in (normal(s), i)))
+    open_ends = [(i, *map(normal, s.split("*"))) for i, s in MORE_SENTENCES.items() if "*" in s]
 
     def to_id(run):
         s = F.regexp_replace(run, r"\n+", " ")
@@ -147,13 +183,19 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", ids_col: str = "sente
                         F.when(hit, F.array_append(acc["names"], rule["name"])).otherwise(acc["names"]).alias("names"))
 
     # every identifier stands between commas of its own: neighbours share none
-    sequence = F.concat(F.lit(","), F.array_join(F.col("_ids"), ",,"), F.lit(","))
+    sequence = F.concat(F.lit(","), F.array_join(F.array_remove("_ids", RESERVED), ",,"), F.lit(","))
     folded = F.aggregate(rules, F.struct(sequence.alias("left"), none.alias("names")), use,
                          lambda acc: F.array_distinct(acc["names"]))
-    out = docs.withColumn("_ids", ids)
-    return (out.withColumn("_names", F.when(F.size("_ids") > 0, folded).otherwise(none))
-            .select(*(c for c in docs.columns if c not in (ids_col, licenses_col)),
-                    F.col("_ids").alias(ids_col), F.col("_names").alias(licenses_col)))
+    # a licence of an SPDX expression keeps its exception
+    lines = F.when(F.instr(F.lower(text), "spdx-license-identifier") > 0, F.regexp_extract_all(text, F.lit(SPDX), F.lit(1)))
+    parts = F.flatten(F.transform(F.coalesce(lines, none), lambda x: F.split(F.regexp_replace(x, r"[()]", " "), r"(?i)[ \t]+(?:AND|OR)[ \t]+")))
+    spdx = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(F.trim(x), r"(?i)[ \t]+WITH[ \t]+", " WITH "), r"\.+$", ""))
+    out = docs.withColumn("_ids", ids).withColumn("_spdx", spdx)
+    named = F.array_distinct(F.concat(F.when(F.size("_ids") > 0, folded).otherwise(none), F.col("_spdx")))
+    reserved = F.when(F.array_contains("_ids", RESERVED), F.array(F.lit(RESERVED_NAME))).otherwise(none)
+    return (out.withColumn("_names", named)
+            .select(*(c for c in docs.columns if c not in (ids_col, licenses_col)), F.col("_ids").alias(ids_col),
+                    F.when(F.size("_names") > 0, F.col("_names")).otherwise(reserved).alias(licenses_col)))
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,12 +233,24 @@ ids AS (
   FROM cut JOIN known ON trim(regexp_replace(lower(cut.s), '[^a-z0-9]+', ' ', 'g')) = known.s GROUP BY doc_id),
 joined AS (
   SELECT doc_id, coalesce(n, 0) AS n, coalesce(ids, '') AS ids,
-         CASE WHEN n > 0 THEN ',' || replace(ids, ',', ',,') || ',' ELSE '' END AS left_0 FROM documents LEFT JOIN ids USING (doc_id)),
-{', '.join(steps)}
+         CASE WHEN n > 0 THEN ',' || array_to_string(list_filter(string_split(ids, ','), lambda x: x <> '{RESERVED}'), ',,') || ','
+              ELSE '' END AS left_0,
+         list_transform(flatten(list_transform(regexp_extract_all(coalesce(text, ''), {q(SPDX)}, 1),
+           lambda x: string_split_regex(regexp_replace(x, '[()]', ' ', 'g'), '(?i)[ \\t]+(?:AND|OR)[ \\t]+'))),
+           lambda x: regexp_replace(regexp_replace(trim(x), '(?i)[ \\t]+WITH[ \\t]+', ' WITH ', 'g'), '\\.+$', '')) AS spdx
+  FROM documents LEFT JOIN ids USING (doc_id)),
+{', '.join(steps)},
+named AS (
+  SELECT doc_id, n, ids, spdx,
+         list_transform(list_sort(list_filter(list_zip([{rank}], [{first}]), lambda x: x[2] IS NOT NULL)), lambda x: x[2]) AS names
+  FROM {prev}),
+every AS (
+  SELECT doc_id, n, ids, list_concat(names, list_filter(spdx, lambda x, i: list_position(spdx, x) = i AND NOT list_contains(names, x))) AS names
+  FROM named)
 SELECT doc_id, n AS n_sentences, ids AS sentence_ids,
-       array_to_string(list_transform(list_sort(list_filter(list_zip([{rank}], [{first}]), lambda x: x[2] IS NOT NULL)),
-                                      lambda x: x[2]), ',') AS licenses
-FROM {prev}
+       CASE WHEN len(names) > 0 THEN array_to_string(names, ',')
+            WHEN list_contains(string_split(ids, ','), '{RESERVED}') THEN '{RESERVED_NAME}' ELSE '' END AS licenses
+FROM every
 """
 
 

@@ -115,7 +115,7 @@ def test_chunk_encoder():
 def test_licenses(spark):
     s = licenses.SENTENCES
     key = re.compile("|".join(licenses.KEY_WORDS), re.I)
-    assert all(key.search(x) for x in s.values())
+    assert all(key.search(x) for x in [*s.values(), *licenses.MORE_SENTENCES.values()])
     assert len({licenses.normal(x) for x in s.values()}) == len(s)
     body = ["Foo.\n" + s["apache-ref"], s["mit-title"] + "\nbar baz.\n" + s["mit-notice"] + " " + s["as-is"],
             s["mit-notice"], s["gpl3-ref"].upper() + "\n" + s["cc-by-nc"] + "\n" + s["gpl3-ref"], None, "", "license " * 9000]
@@ -511,10 +511,21 @@ def test_wrapped_licenses(spark):
     apache = " * " + s["apache-hdr-1"] + "\n * " + s["apache-hdr-2"] + \
         "\n * You may obtain a copy of the License at\n *\n *     http://www.apache.org/licenses/LICENSE-2.0\n"
     one_line = "\n".join([s["bsd-grant"], *clauses])
-    want = [(bsd(2, "{}. "), ["BSD-2-Clause", "Proprietary"]), (bsd(3, "{}. "), ["BSD-3-Clause", "Proprietary"]),
-            (bsd(3, "({}) ", " * "), ["BSD-3-Clause", "Proprietary"]), (bsd(3, "* ", "// "), ["BSD-3-Clause", "Proprietary"]),
+    want = [(bsd(2, "{}. "), ["BSD-2-Clause"]), (bsd(3, "{}. "), ["BSD-3-Clause"]),
+            (bsd(3, "({}) ", " * "), ["BSD-3-Clause"]), (bsd(3, "* ", "// "), ["BSD-3-Clause"]),
             (mit, ["MIT"]), (mit.replace("\n", "\r\n"), ["MIT"]), (gpl, ["GPL-3.0-or-later"]), (apache, ["Apache-2.0"]),
             (one_line, ["BSD-3-Clause"])]
+    m = licenses.MORE_SENTENCES
+    want += [(textwrap.indent(textwrap.fill(m[i], 66), sign), [name]) for i, sign, name in (
+        ("gpl2-free", " * ", "GPL-2.0-or-later"), ("lgpl-free", "# ", "LGPL-2.1-or-later"), ("agpl-free", "// ", "AGPL-3.0-or-later"),
+        ("mpl-form", "/* ", "MPL-2.0"), ("isc-grant", "", "ISC"), ("unlicense", "", "Unlicense"), ("bsl-grant", "", "BSL-1.0"),
+        ("epl-terms", " * ", "EPL-2.0"))]
+    want += [("All rights reserved.", ["Proprietary"]),
+             (s["bsd-grant"] + "\n" + clauses[0] + "\nAll rights reserved.\n" + clauses[1], ["BSD-2-Clause"]),
+             ("// SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0-only"]), ("# spdx-license-identifier: BSD-3-Clause.\nx", ["BSD-3-Clause"]),
+             ("/* SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only with Classpath-exception-2.0 */",
+              ["MIT", "Apache-2.0", "GPL-2.0-only WITH Classpath-exception-2.0"]),
+             ("SPDX-License-Identifier: MIT\n" + s["mit-ref"] + "\nAll rights reserved.", ["MIT"]), ("SPDX-License-Identifier:", [])]
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(want)], "doc_id long, text string")
     got = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
     assert [got[i].licenses for i in range(len(want))] == [w for _, w in want]
