@@ -11,8 +11,8 @@ from curation.plans.q_events import posts_from_events
 from curation.plans.q_flows import queue_log
 from curation.plans.registry import ORACLES, register
 from curation.session import read_table
-from curation.streaming.incremental import (land_by_day, run_incremental_feed, run_job_state_stream,
-                                            scratch_root)
+from curation.streaming.incremental import (land_by_day, run_first_delivery, run_incremental_feed,
+                                            run_job_state_stream, scratch_root)
 from curation.streaming.job_flow import queue_events, run_job_flow_stream
 
 FEED_POST_COLUMNS = ("account string, id string, created_at timestamp_ntz, type string, text string, url string, "
@@ -84,6 +84,26 @@ def _flow_runs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return run_job_flow_stream(spark, f"{root}/source", root)
 
 
+@register("first_deliveries", oracle="""WITH early AS (SELECT event_id AS id FROM events WHERE ts < TIMESTAMP '2024-01-04')
+SELECT id, CAST(2 AS BIGINT) AS n_deliveries FROM early UNION ALL SELECT -1, 1""")
+def first_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """T1 as a stream with late data: posts of three days arrive, again a day
+    later (a repeat) and twelve days later (beyond the retention: delivered
+    again); once the clock stands at 20 January, posts of 5 January are late."""
+    root = scratch_root(spark, "deliver")
+    ev = read_table(spark, sf, "events")
+    early = ev.filter(F.col("ts") < F.lit("2024-01-04").cast("timestamp_ntz")).select(F.col("event_id").alias("id"), "ts")
+
+    def later(days: int) -> DataFrame:
+        return early.withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {days} DAYS"))
+    clock = spark.range(1).select(F.lit(-1).cast("long").alias("id"), F.lit("2024-01-20").cast("timestamp_ntz").alias("ts"))
+    late = ev.filter(F.to_date("ts") == F.lit("2024-01-05")).select((-F.col("event_id") - 2).alias("id"), "ts")
+    for part in (early.unionByName(later(1)), clock, later(12).unionByName(late)):
+        part.withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").parquet(f"{root}/source")
+        out = run_first_delivery(spark, f"{root}/source", "id long, ts timestamp", root, "id", "ts")
+    return out.groupBy("id").agg(F.count("*").alias("n_deliveries"))
+
+
 @register("job_queue_stream")
 def job_queue_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The jobs left in the queue, by the stream with keyed state."""

@@ -134,3 +134,15 @@ def first_delivery(stream: DataFrame, key: str, ts: str, retention: str = f"{SEE
     """T1 (streaming form): drop repeats of a key within the retention
     window with bounded state (``dropDuplicatesWithinWatermark``)."""
     return stream.withWatermark(ts, retention).dropDuplicatesWithinWatermark([key])
+
+
+def run_first_delivery(spark: SparkSession, source_dir: str, schema: str, root: str, key: str, ts: str,
+                       retention: str = f"{SEEN_RETENTION_DAYS} days") -> DataFrame:
+    """Runs ``first_delivery`` over what has landed since it last ran and
+    returns the deliveries of all runs."""
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(source_dir)
+    q = (first_delivery(stream, key, ts, retention).writeStream.format("parquet").outputMode("append")
+         .option("path", f"{root}/delivered").option("checkpointLocation", f"{root}/_checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(schema).parquet(f"{root}/delivered")
