@@ -62,6 +62,7 @@ REGION = frozenset("article main".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup p pre search section "
                   "summary table tbody tfoot thead caption tr ul".split())
+CONTAINERS = frozenset(["", *"body div section center".split()])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A start tag that ends an open element of the same kind.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",)}
@@ -77,6 +78,8 @@ HINTS = frozenset("ad ads adv advert adverts advertisement advertising adbox ads
                   "comment comments disqus replies respond sidebar menu nav navbar navigation breadcrumb breadcrumbs footer "
                   "topbar widget widgets toolbar pagination pager teaser teasers outbrain taboola "
                   "skip disclaimer".split())
+#: The same as the beginning or end of a longer word.
+STEMS = ("comments", "sidebar", "advert", "cookie", "newsletter", "sponsor", "footer")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _START = re.compile(r"""<[a-zA-Z][^\s/>]*+(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _SIGNS = re.compile("<+")
@@ -255,7 +258,7 @@ class Lines(HTMLParser):
                         drop = max(drop, 2 * (name.lower() in HINTS))
                     elif not name.startswith(("has-", "with-", "no-")):
                         words = {w.lower() for w in _WORD.findall(name)}
-                        if words & HINTS:
+                        if words & HINTS or any(w.startswith(STEMS) or w.endswith(STEMS) for w in words):
                             drop = 2
                         elif words & HEAD_HINTS and not words & CONTENT_WORDS:
                             drop = max(drop, 3 * (drop == 0))
@@ -317,19 +320,23 @@ def _region(page: Lines, out: list[bool]) -> list[int]:
             if mark is article and main[lines[first][0]]:
                 head = [i for i in live if i < first and lines[i][4] and main[lines[i][0]] == main[lines[first][0]]]
             return head + [i for i in live if mark[lines[i][0]] in some]
-    mass = [0.0] * n
+    mass, held = [0.0] * n, [0] * n
     for i in content:
         mass[lines[i][0]] += size[i]
+    for i in live:
+        held[lines[i][0]] += 1
     for e in range(n - 1, 0, -1):
         mass[page.parent[e]] += mass[e]
-    root = max((e for e in range(n) if mass[e] >= REGION_SHARE * mass[0]), default=0)
+        held[page.parent[e]] += held[e]
+    # one long block is no region by itself
+    root = max((e for e in range(n) if mass[e] >= REGION_SHARE * mass[0] and held[e] > 1 and page.tag[e] in CONTAINERS), default=0)
     inside = [False] * n
     for e in range(n):
         inside[e] = e == root or (e > 0 and inside[page.parent[e]])
     if page.tag[root] not in ("", "html", "body"):
         return [i for i in live if inside[lines[i][0]] and lines[i][3] <= LINK_SHARE * size[i]]
-    held = [i for i in content if inside[lines[i][0]]]
-    first, last = held[0], held[-1]
+    within = [i for i in content if inside[lines[i][0]]]
+    first, last = within[0], within[-1]
     while first > 0 and lines[first - 1][4] and not out[lines[first - 1][0]]:
         first -= 1  # headings right above
     return [i for i in live if first <= i <= last and inside[lines[i][0]] and lines[i][3] <= LINK_SHARE * size[i]]

@@ -37,11 +37,18 @@ WANT = "\n".join(BODY)
     f"<article><div class='article-header'><h1>{BODY[0]}</h1></div>{article()[len(BODY[0]) + 9:]}<div hidden>x</div></article>",
     f"<ARTICLE>{article()}<span class=ad>buy</span></ARTICLE><aside><article>Another teaser of some words</article></aside>",
     f"<body class='has-comments sidebar-left'><div role=navigation>{MENU}</div><article class='post has-sidebar'>{article()}</article>",
+    f"<body><div class=menu>{MENU}</div><h1>{BODY[0]}</h1>" + "".join(f"<div>{p}</div>" for p in BODY[1:]) + "<div id=usercomments>nice</div>",
 ])
 def test_shapes(page):
     assert main_text.main_text(page) == WANT
 
 
+def test_a_long_block_is_no_region():
+    long = "many words of one long paragraph " * 40
+    page = f"<body><div id=nav>{MENU}</div><div class=text><h1>Head</h1><p>short</p><p>{long}</p><p>end</p></div></body>"
+    assert main_text.main_text(page) == f"Head\nshort\n{long.strip()}\nend"
+
+
 def test_signs_and_white_space():
     page = "<article><p>a &lt;b&gt; &amp;amp; &eacute;&nbsp;x\n\t y<br>z &#x41; 1 < 2 <b>bo</b>ld<!-- no --></p>\n<p> </p></article>"
     assert main_text.main_text(page) == "a <b> &amp; é x y z A 1 < 2 bold"
