@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curation.functions.scoring import needs_follow_up
@@ -163,6 +163,28 @@ def digest_order() -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in LINE_COLS[:-1]]
 
 
+def write_digest(lines: DataFrame, path: str) -> None:
+    """K2: the digest as text files whose names and lines stand in its order:
+    rows are dealt by ranges of that order, so the skipped sources and the
+    warnings, which grow with the input, fill many files."""
+    order = digest_order()
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
+
+
+def read_digest(spark: SparkSession, path: str) -> DataFrame:
+    """``(no, line)``: the lines of a written digest, numbered from 1.
+
+    A line's number is its place in its piece of a file, plus the lines of the
+    pieces before: one row a piece, summed up."""
+    rows = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("place"), F.col("value").alias("line"))
+    pieces = rows.groupBy("file", "at").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy(F.lit(1)).orderBy("file", "at").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    return rows.join(pieces, ["file", "at"]).select((F.col("before") + F.col("place") - F.col("first") + 1).alias("no"), "line")
+
+
 def selected_digest_document(lines: DataFrame) -> DataFrame:
     """Header and selected items as one Markdown document (bounded by the
     budget: at most ``budget`` items)."""

@@ -4,6 +4,8 @@ their parse-back."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from curation.plans.q_feeds import _DOCS_SQL as FEED_SQL
 from curation.plans.q_feeds import feed_documents, star_pages
 from curation.plans.q_pages import BUDGET, PER_SOURCE, PRIORITY_DOMAINS, page_sources, pages_sql, selection_sql
 from curation.plans.registry import register
-from curation.session import materialize, read_table
+from curation.session import ensure_checkpoint_dir, materialize, read_table
 from curation.sources import feeds as FE
 from curation.sources.pages import ingest_pages
 
@@ -268,6 +270,17 @@ def digest_table(spark: SparkSession, sf: str) -> DataFrame:
     return _digest(spark, sf).select(*D.LINE_COLS)
 
 
+@register("digest_file", oracle=_digest_sql() + """,
+doc AS (SELECT string_split(string_agg(line, chr(10) ORDER BY section NULLS FIRST, part NULLS FIRST, grp NULLS FIRST, nq NULLS FIRST,
+               np NULLS FIRST, url NULLS FIRST, sub NULLS FIRST), chr(10)) AS parts FROM lines)
+SELECT unnest(range(1, len(parts) + 1)) AS no, unnest(parts) AS line FROM doc""")
+def digest_file(spark: SparkSession, sf: str) -> DataFrame:
+    """K2: the digest written as ordered text files and read back."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/digest-{uuid.uuid4().hex}"
+    D.write_digest(_digest(spark, sf), path)
+    return D.read_digest(spark, path)
+
+
 _ITEMS_SQL = """,
 parsed AS (
   SELECT rk - 1 AS pos, CASE WHEN title <> '' THEN title ELSE canonical_url END AS title, canonical_url AS url,
