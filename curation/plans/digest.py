@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from curation.functions.scoring import needs_follow_up
 from curation.functions.text import excerpt, py_strip
+from curation.session import materialize, path_exists
 
 NO_BODY = "(No extracted body. Add manual text in config.)"
 FOLLOW_UP = ": add full text, screenshots, transcript, or corrected URL."
@@ -78,6 +79,29 @@ def latest_state(manifests: DataFrame, published: DataFrame | None = None) -> Da
     return latest
 
 
+def merge_snapshot(spark: SparkSession, path: str, manifest: DataFrame, buckets: int = 64) -> None:
+    """T4 kept up to date: merges one run's items into the snapshot at
+    ``path``, which holds the newest item of each id, in buckets of ids.
+
+    Reads the run and the buckets that its ids fall in, and replaces these
+    alone; the history is never read again.  A repeated run changes nothing."""
+    new = materialize(manifest.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")))
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    rows = new
+    if path_exists(spark, path):
+        rows = new.unionByName(spark.read.schema(new.schema).parquet(path).filter(F.col("bucket").isin(touched)))
+    newest = rows.groupBy("bucket", "id").agg(
+        F.max_by(F.struct(*(c for c in manifest.columns if c != "id")), F.struct("last_seen_at", "run_id")).alias("s"))
+    # written once before the buckets that it was read from are replaced
+    newest = materialize(newest.select("id", "s.*", "bucket"))
+    (newest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
+def unpublished(spark: SparkSession, path: str, published: DataFrame) -> DataFrame:
+    """The publish gate: the snapshot's items that were not published yet."""
+    return spark.read.parquet(path).drop("bucket").join(published.select("id").distinct(), "id", "left_anti")
+
+
 def _lines(section: int, part: int, lines: Sequence[Column] | Column, grp=None, q=None, p=None,
            url=None) -> list[Column]:
     arr = lines if isinstance(lines, Column) else F.array(*lines)

@@ -20,7 +20,7 @@ from curation.plans.q_docs import _REC_SQL, _excerpt_sql, doc_sources
 from curation.plans.q_feeds import _DOCS_SQL as FEED_SQL
 from curation.plans.q_feeds import feed_documents, star_pages
 from curation.plans.q_pages import BUDGET, PER_SOURCE, PRIORITY_DOMAINS, page_sources, pages_sql, selection_sql
-from curation.plans.registry import register
+from curation.plans.registry import ORACLES, register
 from curation.session import ensure_checkpoint_dir, materialize, read_table
 from curation.sources import feeds as FE
 from curation.sources.pages import ingest_pages
@@ -223,6 +223,22 @@ def state_latest(spark: SparkSession, sf: str) -> DataFrame:
     return latest.select("id", "run_id", "status", "selected_tokens", "quality_score")
 
 
+@register("state_snapshot")
+def state_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """T4 as a snapshot that each run is merged into; without what was
+    published (the first run's selected items of score 50 or more)."""
+    m = materialize(_manifests(spark, sf))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapshot-{uuid.uuid4().hex}"
+    for run in ("run-1", "run-2"):
+        D.merge_snapshot(spark, path, m.filter(F.col("run_id") == run))
+    published = m.filter((F.col("run_id") == "run-1") & (F.col("status") == "selected") & (F.col("quality_score") >= 50))
+    return D.unpublished(spark, path, published).select("id", "run_id", "status", "selected_tokens", "quality_score")
+
+
+ORACLES["state_snapshot"] = ORACLES["state_latest"] + """
+  AND id NOT IN (SELECT id FROM m WHERE run_id = 'run-1' AND status = 'selected' AND quality_score >= 50)"""
+
+
 def _digest(spark: SparkSession, sf: str) -> DataFrame:
     warnings = spark.createDataFrame([], "idx int, warning string")
     raw = read_table(spark, sf, "pages").withColumnRenamed("page_id", "ordinal")

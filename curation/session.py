@@ -59,6 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, in any store Spark knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialize(df):
     """Write ``df`` once to the shared checkpoint folder and read it back
     (reliable ``checkpoint``: cuts lineage, survives executor loss); used

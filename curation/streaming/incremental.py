@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from curation.operators.feeds import (KEEP_PER_ACCOUNT, POST_LOOKBACK_HOURS, SEEN_RETENTION_DAYS,
                                       exclude_types, lookback)
 from curation.operators.topk import cap_per_group
-from curation.session import ensure_checkpoint_dir
+from curation.session import ensure_checkpoint_dir, path_exists
 from curation.streaming.jobs import job_states
 
 
@@ -56,8 +56,7 @@ def _run_day(spark: SparkSession, day, as_of, run: int, batch_id: int, landing:
         ((F.col("batch_id") < batch_id) | ((F.col("batch_id") == batch_id) & (F.col("day") <= F.lit(day))))
         & (F.col("day") >= first_day)).drop("batch_id", "day")
     posts = exclude_types(lookback(landed, "created_at", as_of, POST_LOOKBACK_HOURS))
-    seen_path = spark._jvm.org.apache.hadoop.fs.Path(sink)
-    if seen_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(seen_path):
+    if path_exists(spark, sink):
         oldest = as_of - F.expr(f"INTERVAL {SEEN_RETENTION_DAYS} DAYS")
         # days that are all older are pruned before any file is read
         seen = (spark.read.parquet(sink).filter((F.col("run") < run) & (F.col("day") >= F.to_date(oldest))

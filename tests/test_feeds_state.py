@@ -40,3 +40,19 @@ def test_latest_state_over_runs(spark):
     assert got == {"x": "extracted", "y": "inbox"}
     pub = spark.createDataFrame([("y",)], "id string")
     assert [r.id for r in latest_state(m, pub).collect()] == ["x"]
+
+
+def test_snapshot_reads_touched_buckets_only(spark, tmp_path):
+    from curation.plans.digest import merge_snapshot, unpublished
+    cols = "id string, run_id string, status string, last_seen_at timestamp, errors array<string>"
+    def at(d):
+        return dt.datetime(2024, 1, d)
+    path = str(tmp_path / "snapshot")
+    runs = [[("a", "r1", "inbox", at(1), []), ("b", "r1", "selected", at(1), ["e"]), ("c", "r1", "inbox", at(5), None)],
+            [("a", "r2", "selected", at(2), []), ("c", "r2", "selected", at(2), []), ("d", "r2", "inbox", at(2), [])]]
+    for run in (runs[0], runs[1], runs[1], []):
+        merge_snapshot(spark, path, spark.createDataFrame(run, cols), buckets=5)
+    got = {r.id: (r.run_id, r.status) for r in spark.read.parquet(path).collect()}
+    assert got == {"a": ("r2", "selected"), "b": ("r1", "selected"), "c": ("r1", "inbox"), "d": ("r2", "inbox")}
+    left = unpublished(spark, path, spark.createDataFrame([("b",), ("b",), (None,)], "id string"))
+    assert sorted(r.id for r in left.collect()) == ["a", "c", "d"] and "bucket" not in left.columns
