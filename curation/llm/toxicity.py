@@ -53,8 +53,9 @@ BLOCK = 64
 #: Share of the examples from which on a term is common, the relative error
 #: that a sum in single precision may have, and rows summed again at a time.
 COMMON, SLACK, EXACT_ROWS = 0.06, 2e-4, 1024
-#: Bytes of text cut into terms, and texts compared with the examples, at a time.
-TERM_BYTES, TEXTS = 1 << 20, 128
+#: Bytes of text cut into terms, texts compared with the examples, and texts
+#: whose postings are added, at a time.
+TERM_BYTES, TEXTS, POSTED_TEXTS = 1 << 20, 128, 16
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 
@@ -156,10 +157,15 @@ class BlockMaxIndex:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         at = self.place[term]
         some = at < 0
-        first, size = self.ptr[term[some]].astype(np.int64), np.diff(self.ptr)[term[some]]
-        post = ranges(first, size)
-        rare = np.bincount(np.repeat(row[some] * self.n, size) + self.post[post], minlength=n * self.n,
-                           weights=np.repeat(weight[some], size) * self.post_weight[post]).reshape(n, self.n).astype(float)
+        rare = np.zeros((n, self.n))
+        t, w, r = term[some], weight[some], row[some]
+        cut = np.searchsorted(r, np.arange(0, n + POSTED_TEXTS, POSTED_TEXTS))
+        for i, (x, y) in enumerate(zip(cut[:-1], cut[1:])):  # a text has tens of thousands of postings
+            first, size = self.ptr[t[x:y]].astype(np.int64), self.ptr[t[x:y] + 1] - self.ptr[t[x:y]]
+            post = ranges(first, size)
+            here = rare[i * POSTED_TEXTS:(i + 1) * POSTED_TEXTS]
+            here += np.bincount(np.repeat((r[x:y] - i * POSTED_TEXTS) * self.n, size) + self.post[post], minlength=here.size,
+                                weights=np.repeat(w[x:y], size) * self.post_weight[post]).reshape(here.shape)
         q = np.zeros((n, self.common.shape[1]), np.float32)
         q[row[~some], at[~some]] = weight[~some]
         score = rare.astype(np.float32)
@@ -216,6 +222,7 @@ class Model:
         """The model of a state, made once in a process."""
         if "model" not in state:
             state["model"] = Model(state)
+            del state["rows"]  # the index holds what is in them
         return state["model"]
 
     def scores(self, row: np.ndarray, term: np.ndarray, count: np.ndarray, rest: np.ndarray, step: int = TEXTS):
