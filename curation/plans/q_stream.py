@@ -106,7 +106,7 @@ def first_deliveries(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("job_queue_stream")
 def job_queue_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The jobs left in the queue, by the stream with keyed state."""
+    """The jobs left in the queue, by the stream with its table of open jobs."""
     return _flow_runs(spark, sf)[0]
 
 

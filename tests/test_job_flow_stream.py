@@ -34,3 +34,34 @@ def test_stream_equals_batch_after_a_restart(spark):
     for x, y in zip(got, job_flow(j, p, d)):
         assert x.columns == y.columns
         assert sorted(map(str, x.collect())) == sorted(map(str, y.collect()))
+
+
+def test_open_jobs_are_rows_in_no_python_task(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    root = scratch_root(spark, "test-open")
+    cols = {"j": "job_id long, url string, run_id string, created_at timestamp_ntz", "p": "ts timestamp_ntz",
+            "d": "job_id long, ts timestamp_ntz, ok boolean, url string, run_id string, raw_text string, chars int, "
+                 "language string, error string"}
+    big = 2**60 + 1  # no double holds it
+
+    def land(part, jobs, polls, done):
+        log = queue_events(*(spark.createDataFrame(r, cols[k]) for k, r in (("j", jobs), ("p", polls), ("d", done))))
+        log.coalesce(1).write.parquet(f"{root}/source/part={part}")
+        return run_job_flow_stream(spark, f"{root}/source", root)
+
+    def at(i):
+        return t0 + dt.timedelta(minutes=i)
+    # 1 is claimed, 2 waits, 3 is reported before any poll; a report of nothing
+    land(1, [(1, "u", "r", at(0)), (2, "u", "r", at(9)), (2, "u", "r", at(9)), (3, "u", "r", at(1))], [(at(5),)],
+         [(3, at(4), True, "u", "r", "t", 1, "en", None), (99, at(4), False, "u", "r", "t", 1, "en", None)])
+    # later: 2 is claimed by an older poll than its own time, 1 is removed
+    queue, outcomes = land(2, [(big, "u", "r", at(20))], [(at(7),), (at(8),)], [(1, at(6), True, "u", "r", "t", 1, "en", None)])
+    assert sorted((r.job_id, r.status, r.picked_at) for r in queue.collect()) == [(2, "processing", at(7)), (big, "pending", None)]
+    assert sorted(r.job_id for r in outcomes.collect()) == [1, 3, 99]
+    plans = [d._jdf.queryExecution().toString() for d in (queue, outcomes)]
+    assert not any("Pandas" in p or "Python" in p for p in plans)
+    from curation.streaming.job_flow import _touched_jobs
+    events = spark.read.parquet(f"{root}/source").drop("part")
+    before = spark.read.parquet(f"{root}/open/1")
+    plan = _touched_jobs(events, before)._jdf.queryExecution().toString()
+    assert "Pandas" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
