@@ -1,6 +1,6 @@
 """HTML column expressions: readable text, title, meta tags, embeds.
 
-A document is scanned in one Arrow-batched ``pandas_udf`` (``tagscan``) for
+A document is scanned in one ``arrow_udf`` (``tagscan``, by slices) for
 all that is asked of it: the full HTML5 table of entities needs Python in any
 case, and the scans are linear in the page, which the rules as JVM regexes are
 not.  What is short (embeds, tests of a page's beginning) stays in the JVM.
@@ -9,15 +9,14 @@ not.  What is short (embeds, tests of a page's beginning) stays in the JVM.
 from __future__ import annotations
 
 import html as _html
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType, StructField, StructType
 
 from curation.functions import tagscan
+from curation.functions.slices import text_udf
 from curation.functions.text import SPACE, collapse_ws
 
 
@@ -27,9 +26,7 @@ def _unescape_one(x):
     return _html.unescape(x)
 
 
-@pandas_udf(StringType())
-def _unescape_batch(s: pd.Series) -> pd.Series:
-    return s.map(_unescape_one)
+_unescape_batch = text_udf(_unescape_one, StringType())
 
 
 def unescape(c: Column) -> Column:
@@ -47,11 +44,7 @@ def _strings(*names: str) -> StructType:
 
 def _scan(make: Callable[[str], str]):
     """A column function from a function of one page (null stays null)."""
-    @pandas_udf(StringType())
-    def scan(pages: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in pages:
-            yield part.map(lambda x: None if x is None else make(x))
-    return scan
+    return text_udf(lambda x: None if x is None else make(x), StringType())
 
 
 def html_to_text(raw: Column) -> Column:
@@ -88,18 +81,15 @@ def page_title(raw: Column) -> Column:
     return F.coalesce(_scan(_title_of)(raw), F.lit(""))
 
 
-@pandas_udf(_strings("title", "description", "text"))
-def _page_parts(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for part in pages:
-        rows = []
-        for page in part:
-            if page is None:
-                rows.append(("", "", None))
-                continue
-            meta = tagscan.MetaTags(page)
-            rows.append((meta.content(TITLE_NAMES) or tagscan.title_element(page), meta.content(DESCRIPTION_NAMES),
-                         tagscan.text_of(page)))
-        yield pd.DataFrame(rows, columns=["title", "description", "text"], dtype=object)
+def _parts_of(page: str | None) -> dict:
+    if page is None:
+        return {"title": "", "description": "", "text": None}
+    meta = tagscan.MetaTags(page)
+    return {"title": meta.content(TITLE_NAMES) or tagscan.title_element(page),
+            "description": meta.content(DESCRIPTION_NAMES), "text": tagscan.text_of(page)}
+
+
+_page_parts = text_udf(_parts_of, _strings("title", "description", "text"))
 
 
 def page_parts(raw: Column) -> Column:
@@ -107,12 +97,13 @@ def page_parts(raw: Column) -> Column:
     return _page_parts(raw)
 
 
-@pandas_udf(_strings("title", "desc"))
-def _collected(pages: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for part in pages:
-        rows = [("", "") if x is None else
-                (tagscan.title_element(x), tagscan.MetaTags(x).content_behind(COLLECTOR_DESCRIPTION_NAMES)) for x in part]
-        yield pd.DataFrame(rows, columns=["title", "desc"], dtype=object)
+def _collected_of(page: str | None) -> dict:
+    if page is None:
+        return {"title": "", "desc": ""}
+    return {"title": tagscan.title_element(page), "desc": tagscan.MetaTags(page).content_behind(COLLECTOR_DESCRIPTION_NAMES)}
+
+
+_collected = text_udf(_collected_of, _strings("title", "desc"))
 
 
 def collector_meta(raw: Column) -> Column:

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
-from pyspark.sql.functions import ArrowUDFType, arrow_udf
+from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType
 
@@ -41,4 +41,4 @@ def text_udf(make: Callable[[str | None], object], kind: DataType) -> Callable[[
         for texts in batches:
             for begin, end in slice_bounds(texts):
                 yield pa.array([make(x) for x in texts[begin:end].to_pylist()], arrow)
-    return arrow_udf(scan, kind, ArrowUDFType.SCALAR_ITER)
+    return arrow_udf(scan, kind)

@@ -2,7 +2,8 @@
 
 import pyarrow as pa
 
-from curation.functions.slices import slice_bounds
+from curation.functions import html as H
+from curation.functions.slices import SLICE_BYTES, slice_bounds
 from curation.operators.chunk import chunk_documents, route_documents, split_page
 
 
@@ -26,3 +27,20 @@ def test_chunks_are_rows_of_one_python_step(spark):
     assert routed.columns == ["k", "route", "part_no", "part"]
     assert sorted((r.k, r.part_no, r.part) for r in routed.filter("route = 'segmented'").collect()) \
         == [("k0", 0, "x" * 3000), ("k0", 1, "x" * 2000)]
+
+
+def test_page_scans_send_results_on_by_slices():
+    page = "<html><title>T&amp;{}</title><body>" + "x" * 400_000 + "</body></html>"
+    texts = pa.array([page.format(i) for i in range(20)] + [None, "<title>z"])
+    for scan, fields in ((H._page_parts, ["title", "description", "text"]), (H._collected, ["title", "desc"])):
+        taken, rows = [], []
+
+        def batches():
+            taken.append(1)
+            yield texts
+            taken.append(2)
+            yield texts[:0]
+        for part in scan.func(batches()):
+            assert sum(len(x or "") for r in part.to_pylist() for x in r.values()) <= SLICE_BYTES and taken == [1]
+            rows += part.to_pylist()
+        assert [r["title"] for r in rows] == [f"T&{i}" for i in range(20)] + ["", ""] and [*rows[0]] == fields
