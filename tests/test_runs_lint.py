@@ -47,3 +47,35 @@ def test_late_batch_keeps_the_clock(spark):
         spark.createDataFrame(rows, cols).coalesce(1).write.parquet(f"{root}/in/{name}")
     out = spark.read.parquet(run_incremental_feed(spark, f"{root}/in", cols, root)).collect()
     assert sorted((r.id, r.run_at) for r in out) == [("near", t), ("new", t)]
+
+
+def test_feed_runs_over_folders_and_batches(spark):
+    """Posts that two runs look at, ids that two accounts share, null accounts
+    and late posts, against runs one after the other; what no earlier run
+    looked at is written for all runs at once."""
+    import random
+    rnd = random.Random(5)
+    root, t0 = scratch_root(spark, "folders"), datetime(2024, 1, 1)
+    cols = "account string, id string, created_at timestamp_ntz, type string"
+    batches = [{f: [(rnd.choice(["a", "b", "c", None]), f"i{rnd.randint(0, 60)}", t0 + timedelta(hours=rnd.randint(lo, hi)),
+                     rnd.choice(["post", "post", "reply"])) for _ in range(n)] for f, n, lo, hi in part}
+               for part in ([("p1", 30, 0, 60), ("p2", 20, 30, 90)], [("q1", 20, 60, 130), ("q2", 6, 300, 310)])]
+    landed, seen, want, clock = [], [], [], t0
+    for batch in batches:
+        for folder in sorted(batch):
+            rows = batch[folder]
+            spark.createDataFrame(rows, cols).coalesce(2).write.parquet(f"{root}/in/{folder}")
+            for day in sorted({r[2].date() for r in rows}):
+                new = [r for r in rows if r[2].date() == day]
+                landed += new
+                clock = max([clock] + [r[2] for r in new])
+                known = {i for i, at in seen if at >= clock - timedelta(days=7)}
+                for acc in ("a", "b", "c", None):
+                    mine = sorted((r for r in landed if r[0] == acc and r[3] != "reply" and r[2] >= clock - timedelta(hours=24)),
+                                  key=lambda r: (r[2], r[1]), reverse=True)[:5]
+                    want += [(str(acc), r[1], r[2], clock) for r in [r for r in mine if r[1] not in known][:3]]
+                seen += [(i, at) for _, i, _, at in want if at == clock]
+        sink = run_incremental_feed(spark, f"{root}/in", cols, root)
+    out = spark.read.parquet(sink)
+    assert sorted((str(r.account), r.id, r.created_at, r.run_at) for r in out.collect()) == sorted(want)
+    assert {r.step for r in out.select("step").distinct().collect()} == {0, 1}
