@@ -240,10 +240,21 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows of one id are one document, of which the smallest row stays; rows
     with a null id all stay, as no group can name them."""
     groups = simhash_groups(docs, id_col, text_col, shingle, radius)
-    stay = groups.where("id = component_id").select(F.col("id").alias("_stay")).distinct()
-    one = (docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("_id"))
-           .agg(F.min(F.struct(*docs.columns)).alias("_row")))
-    return (one.join(stay, F.col("_id") == F.col("_stay"), "left_semi").select("_row.*")
+    stay = checkpoint(groups.where("id is not null").groupBy(F.col("id").alias("_stay"))
+                      .agg(F.count("*").alias("_n"), F.max(F.expr("id = component_id")).alias("_first"))
+                      .where("_first").select("_stay", "_n"))
+    rows = (docs.where(F.col(id_col).isNotNull())
+            .select(F.col(id_col).cast("long").alias("_id"), F.struct(*docs.columns).alias("_row")))
+
+    def of(ids: DataFrame) -> DataFrame:
+        # the ids are hashed and the rows stream past them: no text is sorted
+        return rows.join(ids.hint("shuffle_hash"), F.col("_id") == F.col("_stay"), "left_semi")
+
+    # by an expression of the row: a shuffle of its own, before which Spark
+    # takes the minimum of each task, and AQE may split the rows of a hot id
+    repeated = (of(stay.where("_n > 1")).groupBy(F.col("_row").getField(id_col).cast("long"))
+                .agg(F.min("_row").alias("_row")))
+    return (of(stay.where("_n = 1")).select("_row.*").unionByName(repeated.select("_row.*"))
             .unionByName(docs.where(F.col(id_col).isNull())))
 
 

@@ -7,6 +7,7 @@ import public_tokenizers as public
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from curation.llm.simhash import one_of_each
 
 DOCS = ("doc_id long, text string, lang string, source string, n_chars long, "
         "score string, evidence long, id string, fp long, component_id string, spans int, _base int")
@@ -80,3 +81,19 @@ def test_empty_tables(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == 0
     sf = tables(spark, tmp_path / "docs", [(1, "some words"), (2, None), (None, "")], [], [])
     assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == {1, 2, None}
+
+
+def test_one_of_each_sorts_no_text(spark):
+    """Rows of ids that come once stream past the kept ids; only repeated
+    rows are sorted, to find the smallest."""
+    rnd = random.Random(4)
+    vocab = [word(i) for i in range(300)]
+    once = [(i, " ".join(rnd.choice(vocab) for _ in range(30)), "b") for i in range(60)]
+    again = [(i, once[i][1], "a") for i in (7, 8)] + [(8, "", "c"), (None, "", "a"), (None, "", "a")] \
+        + [(99, once[3][1], "d"), (99, once[4][1], "d")]
+    for data, plain in ((once, True), (once + again, False)):
+        out = one_of_each(spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3))
+        want = sorted(min(r for r in data if r[0] == i) for i in range(60)) + [r for r in data if r[0] is None]
+        assert sorted(map(tuple, out.collect()), key=lambda r: (r[0] is None, r)) == want
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert ("Sort" in final) != plain
